@@ -190,20 +190,22 @@ def dataset_summary(social: DataFrame, surv: DataFrame, env: DataFrame) -> DataF
     (bounded by the number of platforms / diseases).
     """
     s = social.agg(F.lit("social_media").alias("table"), F.count(F.lit(1)).alias("records"),
-                   F.min("created_at").cast("string").alias("start"),
-                   F.max("created_at").cast("string").alias("end"),
+                   F.min("created_at").cast("timestamp_ntz").alias("start"),
+                   F.max("created_at").cast("timestamp_ntz").alias("end"),
                    F.array_sort(F.collect_set("platform")).alias("categories"),
                    F.avg(_dbl("polarity")).alias("mean_value"),
                    F.lit(None).cast("double").alias("min_value"),
                    F.lit(None).cast("double").alias("max_value"))
     v = surv.agg(F.lit("surveillance").alias("table"), F.count(F.lit(1)).alias("records"),
-                 F.min("date").cast("string").alias("start"), F.max("date").cast("string").alias("end"),
+                 F.min("date").cast("timestamp_ntz").alias("start"),
+                 F.max("date").cast("timestamp_ntz").alias("end"),
                  F.array_sort(F.collect_set("disease")).alias("categories"),
                  _rate("outbreak").alias("mean_value"),
                  F.lit(None).cast("double").alias("min_value"),
                  F.lit(None).cast("double").alias("max_value"))
     e = env.agg(F.lit("environmental").alias("table"), F.count(F.lit(1)).alias("records"),
-                F.min("date").cast("string").alias("start"), F.max("date").cast("string").alias("end"),
+                F.min("date").cast("timestamp_ntz").alias("start"),
+                F.max("date").cast("timestamp_ntz").alias("end"),
                 F.lit(None).cast("array<string>").alias("categories"),
                 F.avg(_dbl("humidity")).alias("mean_value"),
                 F.min(_dbl("temperature")).alias("min_value"),

@@ -103,3 +103,436 @@ from h left join codes on h.disease = codes.disease"""
 def q_flagship(spark, sf):
     surv = label_outbreaks(proxy.surveillance(spark, sf), with_trend=False)
     return prepare_ml_features(surv, proxy.environment(spark, sf), proxy.social_with_text(spark, sf))
+
+
+# ----------------------------------------------------------------------------- shared pieces
+
+from episcope.functions import calendar as cal  # noqa: E402
+from episcope.functions.text import clean_text, contains_any, extract_keywords  # noqa: E402
+from episcope.operators import aggregates as A  # noqa: E402
+from episcope.operators import filters as FL  # noqa: E402
+from episcope.operators import joins as J  # noqa: E402
+from episcope.operators import topk as T  # noqa: E402
+from episcope.operators import windows as W  # noqa: E402
+from episcope.plans.features import interaction_features, merge_all  # noqa: E402
+
+
+def _surv_l(spark, sf):
+    return label_outbreaks(proxy.surveillance(spark, sf), with_trend=False)
+
+
+SURV_L = Q.SURV_LABELLED
+SOCIAL_DAILY_TEXT = SOCIAL_DAILY_SQL.format(src=Q.SOCIAL_TEXT, extra=SYMPTOMS_SUM)
+SOCIAL_DAILY_PLAIN = SOCIAL_DAILY_SQL.format(src=Q.SOCIAL, extra="")
+
+
+# ----------------------------------------------------------------------------- 2.4 aggregations
+
+@register("a1_daily_social_agg", SOCIAL_DAILY_TEXT, SOCIAL_COLS)
+def q_a1(spark, sf):
+    return A.daily_social_agg(proxy.social_with_text(spark, sf))
+
+
+@register("a2_daily_symptom_mentions", f"""
+select cast(created_at as date) as date,
+       cast(sum(case when symptoms is null then 0 else len(symptoms) end) as bigint) as total_symptom_mentions
+from ({Q.SOCIAL_TEXT}) p where created_at is not null group by 1""")
+def q_a2(spark, sf):
+    return A.daily_symptom_mentions(proxy.social_with_text(spark, sf))
+
+
+@register("a3_dataset_summary", f"""
+select 'social_media' as "table", count(*) as records, min(created_at) as start, max(created_at) as "end",
+       array_to_string(list_sort(list_distinct(list(platform))), ',') as categories,
+       avg(polarity) as mean_value, cast(null as double) as min_value, cast(null as double) as max_value
+from ({Q.SOCIAL}) s
+union all
+select 'surveillance', count(*), cast(min(date) as timestamp), cast(max(date) as timestamp),
+       array_to_string(list_sort(list_distinct(list(disease))), ','), avg(cast(outbreak as double)), null, null
+from ({SURV_L}) v
+union all
+select 'environmental', count(*), cast(min(date) as timestamp), cast(max(date) as timestamp), null,
+       avg(humidity), min(temperature), max(temperature)
+from ({Q.ENV}) e""", ["mean_value", "min_value", "max_value"])
+def q_a3(spark, sf):
+    d = A.dataset_summary(proxy.social(spark, sf), _surv_l(spark, sf), proxy.environment(spark, sf))
+    return d.withColumn("categories", F.array_join("categories", ","))
+
+
+SPAN_DAYS = "datediff('day', min(date), max(date)) / 365.25"
+
+
+@register("a4_report_dataset_summary", f"""
+select count(*) as total_records, count(distinct region) as countries, min(date) as start_date,
+       max(date) as end_date, {Q.r_half_up(SPAN_DAYS, 1)} as span_years,
+       cast(sum(outbreak) as bigint) as total_outbreaks, avg(cast(outbreak as double)) as outbreak_rate,
+       count(distinct case when outbreak = 1 then region end) as countries_with_outbreaks
+from ({SURV_L}) s""", ["span_years", "outbreak_rate"])
+def q_a4(spark, sf):
+    return A.report_dataset_summary(_surv_l(spark, sf))
+
+
+@register("a5_regional_stats", f"""
+select region, count(outbreak) as outbreak_count, cast(sum(outbreak) as bigint) as outbreak_sum,
+       {Q.r_half_up('avg(cast(outbreak as double))', 3)} as outbreak_mean,
+       {Q.r_half_up('avg(cases)', 3)} as cases_mean, {Q.r_half_up('stddev_samp(cases)', 3)} as cases_std,
+       max(cases) as cases_max
+from ({SURV_L}) s group by region""", ["outbreak_mean", "cases_mean", "cases_std"])
+def q_a5(spark, sf):
+    return A.regional_stats(_surv_l(spark, sf))
+
+
+RATES = "count(outbreak) as count, cast(sum(outbreak) as bigint) as sum, avg(cast(outbreak as double)) as mean"
+
+
+@register("a6_region_outbreak_rates", f"select region, {RATES} from ({SURV_L}) s group by region", ["mean"])
+def q_a6(spark, sf):
+    return A.group_rates(_surv_l(spark, sf), "region")
+
+
+@register("a7_seasonal_outbreaks",
+          f"select cast(month(date) as integer) as month, {RATES} from ({SURV_L}) s group by 1", ["mean"])
+def q_a7(spark, sf):
+    return A.seasonal_outbreaks(_surv_l(spark, sf))
+
+
+@register("a8_yearly_outbreaks",
+          f"select cast(year(date) as integer) as year, {RATES} from ({SURV_L}) s group by 1", ["mean"])
+def q_a8(spark, sf):
+    return A.yearly_outbreaks(_surv_l(spark, sf))
+
+
+@register("a9_cases_by_disease", f"select disease, avg(cases) as cases_mean from ({Q.SURV}) s group by disease",
+          ["cases_mean"])
+def q_a9(spark, sf):
+    return A.mean_by(proxy.surveillance(spark, sf), "disease", "cases")
+
+
+@register("a10_outbreak_weeks_by_disease",
+          f"select disease, sum(outbreak) as outbreak_sum from ({SURV_L}) s group by disease")
+def q_a10(spark, sf):
+    return A.sum_by(_surv_l(spark, sf), "disease", "outbreak").withColumn("outbreak_sum", F.col("outbreak_sum").cast("long"))
+
+
+@register("a11_outbreak_rate_by_season", f"""
+select cast(floor((month(date) % 12) / 3) as integer) as season, avg(cast(outbreak as double)) as outbreak_rate
+from ({SURV_L}) s group by 1""", ["outbreak_rate"])
+def q_a11(spark, sf):
+    s = _surv_l(spark, sf).withColumn("season", cal.season_code("date"))
+    return s.groupBy("season").agg(F.avg(F.col("outbreak").cast("double")).alias("outbreak_rate"))
+
+
+@register("a12_platform_counts",
+          f"select platform, count(*) as count from ({Q.SOCIAL}) s where platform is not null group by platform")
+def q_a12(spark, sf):
+    return A.value_counts(proxy.social(spark, sf), "platform")
+
+
+@register("a13_target_distribution", f"select outbreak, count(*) as count from ({SURV_L}) s group by outbreak")
+def q_a13(spark, sf):
+    return _surv_l(spark, sf).groupBy("outbreak").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("a14_symptom_frequency", f"""
+select symptom, count(*) as count from (select unnest(symptoms) as symptom from ({Q.SOCIAL_TEXT}) p) u
+where symptom is not null group by symptom""")
+def q_a14(spark, sf):
+    return A.exploded_counts(proxy.social_with_text(spark, sf), "symptoms", "symptom")
+
+
+def _hist_sql(src: str, col: str, bins: int, by: str | None = None) -> str:
+    byc = f", {by}" if by else ""
+    return f"""
+with x as (select * from ({src}) s where {col} is not null),
+mm as (select min(cast({col} as double)) as lo, max(cast({col} as double)) as hi from x),
+b as (select case when hi = lo then 1 else least(cast(floor((cast({col} as double) - lo) * ({bins}.0 / (hi - lo))) as integer) + 1, {bins}) end as bin{byc}, lo, hi
+      from x, mm)
+select bin{byc}, lo + (bin - 1) * ((hi - lo) / {bins}) as lo, lo + bin * ((hi - lo) / {bins}) as hi, count(*) as count
+from b group by bin{byc}, b.lo, b.hi"""
+
+
+@register("a15_histogram", _hist_sql(Q.SOCIAL, "polarity", 20), ["lo", "hi"])
+def q_a15(spark, sf):
+    return A.histogram(proxy.social(spark, sf), "polarity", 20)
+
+
+@register("a16_histogram_by_class", _hist_sql(SURV_L, "cases", 20, "outbreak"), ["lo", "hi"])
+def q_a16(spark, sf):
+    return A.histogram(_surv_l(spark, sf), "cases", 20, by="outbreak")
+
+
+SURV_ENV = f"select s.*, {', '.join('e.' + c for c in ENV_COLS + ['uv_index'])} from ({SURV_L}) s left join ({Q.ENV}) e on s.date = e.date"
+
+
+def _binned_sql(col: str, bins: int = 5) -> str:
+    w = f"((hi - lo) / {bins})"
+    edges = " + ".join(f"(case when cast({col} as double) > lo + {w} * {i} then 1 else 0 end)" for i in range(1, bins))
+    return f"""
+with x as (select * from ({SURV_ENV}) s where {col} is not null),
+mm as (select min(cast({col} as double)) as lo, max(cast({col} as double)) as hi from x)
+select cast({edges} + 1 as integer) as bin, count(*) as count, avg(cast(outbreak as double)) as rate
+from x, mm group by 1"""
+
+
+def _surv_env(spark, sf):
+    return J.join_environment(_surv_l(spark, sf), proxy.environment(spark, sf))
+
+
+@register("a17_binned_rate", _binned_sql("temperature"), ["rate"])
+def q_a17(spark, sf):
+    return A.binned_rate(_surv_env(spark, sf), "temperature", "outbreak", 5)
+
+
+def _corr_sql(src: str, cols: list[str]) -> str:
+    parts = []
+    for i in range(len(cols)):
+        for j in range(i + 1, len(cols)):
+            a, b = cols[i], cols[j]
+            xa = f"(case when {a} is not null and {b} is not null then cast({a} as double) end)"
+            xb = f"(case when {a} is not null and {b} is not null then cast({b} as double) end)"
+            r = (f"(case when max({xa}) = min({xa}) or max({xb}) = min({xb}) then null else "
+                 f"covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0) end)")
+            parts.append(f"select {i} as i, {j} as j, '{a}' as a, '{b}' as b, {r} as r from ({src}) s")
+    return " union all ".join(parts)
+
+
+SURV_ENV_NUM = ["cases", "deaths", "hospitalizations", "temperature", "humidity", "precipitation",
+                "air_quality_index", "uv_index"]
+
+
+@register("a18_correlation_matrix", _corr_sql(SURV_ENV, SURV_ENV_NUM), ["r"])
+def q_a18(spark, sf):
+    return A.correlation_matrix(_surv_env(spark, sf), SURV_ENV_NUM)
+
+
+@register("a19_environment_correlation", _corr_sql(Q.ENV, ENV_COLS), ["r"])
+def q_a19(spark, sf):
+    return A.correlation_matrix(proxy.environment(spark, sf), ENV_COLS)
+
+
+CORR_FEATURES = ["cases_lag_1", "cases_lag_2", "cases_mean_4w", "cases_std_4w", "cases_trend", "temperature",
+                 "humidity", "temp_humidity_interaction", "temp_squared", "polarity_mean", "id_count",
+                 "month", "quarter", "week_of_year", "day_of_year", "season"]
+
+
+@register("a20_high_correlation_pairs", f"""
+select * from ({_corr_sql(FLAGSHIP_SQL, CORR_FEATURES)}) c where abs(r) > 0.7 order by i, j limit 5""", ["r"])
+def q_a20(spark, sf):
+    return A.high_correlation_pairs(q_flagship(spark, sf), CORR_FEATURES, 0.7, 5)
+
+
+@register("a21_outbreak_threshold", f"""
+select disease, quantile_cont(cast(cases as double), 0.85) as outbreak_threshold from ({Q.SURV}) s group by disease""",
+          ["outbreak_threshold"])
+def q_a21(spark, sf):
+    return W.percentile_threshold(proxy.surveillance(spark, sf), "disease", "cases", 85.0)
+
+
+# ----------------------------------------------------------------------------- 2.2 filters, 2.3 joins
+
+@register("f1_filter_in", f"select * from ({Q.SURV}) s where disease in ('1-URGENT', '2-HIGH')")
+def q_f1(spark, sf):
+    return FL.filter_in(proxy.surveillance(spark, sf), "disease", ["1-URGENT", "2-HIGH"])
+
+
+@register("f2_keyword_filter", """
+select doc_id, source from documents
+where coalesce(instr(lower(text), 'sch') > 0, false) or coalesce(instr(lower(source), 'sch') > 0, false)""")
+def q_f2(spark, sf):
+    d = proxy.table(spark, sf, "documents")
+    return FL.keyword_filter(d, ["text", "source"], ["sch"]).select("doc_id", "source")
+
+
+@register("f3_filter_class", f"select * from ({SURV_L}) s where outbreak = 1", ["outbreak_threshold"])
+def q_f3(spark, sf):
+    return FL.filter_class(_surv_l(spark, sf), "outbreak", 1)
+
+
+@register("f4_filter_min_support", f"""
+select region, {RATES} from ({SURV_L}) s group by region having count(outbreak) >= 10""", ["mean"])
+def q_f4(spark, sf):
+    return FL.filter_min_support(A.group_rates(_surv_l(spark, sf), "region"), "count", 10)
+
+
+MERGE_COLS = ENV_COLS + ["uv_index"] + SOCIAL_COLS + ["id_count", "symptom_mentions"]
+J4_SQL = f"""
+with m as (select s.*, {', '.join('e.' + c for c in ENV_COLS + ['uv_index'])},
+                  {', '.join('sd.' + c for c in SOCIAL_COLS + ['id_count', 'symptom_mentions'])}
+           from ({SURV_L}) s left join ({Q.ENV}) e on s.date = e.date
+           left join ({SOCIAL_DAILY_TEXT}) sd on s.date = sd.date)
+select disease, region, date, cases, deaths, hospitalizations, outbreak_threshold, outbreak,
+       {', '.join(_ffill(c) for c in MERGE_COLS)} from m"""
+
+
+def _j4(spark, sf):
+    return merge_all(_surv_l(spark, sf), proxy.environment(spark, sf),
+                     A.daily_social_agg(proxy.social_with_text(spark, sf)), ("date", "disease", "region"))
+
+
+@register("f5_select_features", f"""
+select * exclude (date, disease, outbreak, cases, deaths,
+       hospitalizations, outbreak_threshold, region) from ({J4_SQL}) q""", ENV_COLS + SOCIAL_COLS)
+def q_f5(spark, sf):
+    m = _j4(spark, sf)
+    return m.select(*FL.select_features(m))
+
+
+@register("f6_forward_fill", J4_SQL, ENV_COLS + SOCIAL_COLS + ["outbreak_threshold"])
+def q_f6(spark, sf):
+    return _j4(spark, sf)
+
+
+@register("f7_fill_zero", f"""
+select s.disease, s.region, s.date, s.cases, coalesce(sd.polarity_mean, 0) as polarity_mean,
+       coalesce(sd.id_count, 0) as id_count
+from ({Q.SURV}) s left join ({SOCIAL_DAILY_PLAIN}) sd on s.date = sd.date""", ["polarity_mean"])
+def q_f7(spark, sf):
+    sd = A.daily_social_agg(proxy.social(spark, sf)).select("date", "polarity_mean", "id_count")
+    j = J.join_social(proxy.surveillance(spark, sf).select("disease", "region", "date", "cases"), sd)
+    return W.fill_zero(j, ["polarity_mean", "id_count"])
+
+
+@register("f8_to_numeric_or_zero", """
+select l_orderkey, l_linenumber, coalesce(try_cast(l_returnflag as double), 0) as returnflag_num,
+       coalesce(try_cast(cast(l_quantity as varchar) as double), 0) as quantity_num
+from lineitem""", ["returnflag_num", "quantity_num"])
+def q_f8(spark, sf):
+    li = proxy.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("returnflag_num"),
+        F.col("l_quantity").cast("string").alias("quantity_num"))
+    return FL.object_columns_to_numeric(li, skip=())
+
+
+@register("f9_every_nth", f"""
+select * exclude (rn_) from (select e.*, row_number() over (order by date) as rn_ from ({Q.ENV}) e) x
+where (rn_ - 1) % 7 = 0""", ENV_COLS)
+def q_f9(spark, sf):
+    return W.every_nth(proxy.environment(spark, sf), ["date"], 7)
+
+
+@register("f10_derive_source_tag", f"select *, 'Environmental_API' as source from ({Q.ENV}) e", ENV_COLS)
+def q_f10(spark, sf):
+    return FL.with_constant(proxy.environment(spark, sf), "source", "Environmental_API")
+
+
+@register("j1_join_environment", SURV_ENV, ENV_COLS + ["outbreak_threshold"])
+def q_j1(spark, sf):
+    return _surv_env(spark, sf)
+
+
+@register("j2_join_social", f"""
+select s.*, {', '.join('sd.' + c for c in SOCIAL_COLS + ['id_count'])}
+from ({Q.SURV}) s left join ({SOCIAL_DAILY_PLAIN}) sd on s.date = sd.date""", SOCIAL_COLS)
+def q_j2(spark, sf):
+    return J.join_social(proxy.surveillance(spark, sf), A.daily_social_agg(proxy.social(spark, sf)))
+
+
+@register("j3_join_symptom_counts", f"""
+select sd.*, sc.total_symptom_mentions from ({SOCIAL_DAILY_SQL.format(src=Q.SOCIAL_TEXT, extra='')}) sd
+left join (select cast(created_at as date) as date,
+                  cast(sum(case when symptoms is null then 0 else len(symptoms) end) as bigint) as total_symptom_mentions
+           from ({Q.SOCIAL_TEXT}) p where created_at is not null group by 1) sc on sd.date = sc.date""", SOCIAL_COLS)
+def q_j3(spark, sf):
+    s = proxy.social_with_text(spark, sf)
+    return J.left_join(A.daily_social_agg(s, symptoms_col=None), A.daily_symptom_mentions(s), "date")
+
+
+@register("j4_merge_all", J4_SQL, ENV_COLS + SOCIAL_COLS + ["outbreak_threshold"])
+def q_j4(spark, sf):
+    return _j4(spark, sf)
+
+
+@register("j5_attach_by_key", f"""
+select s.doc_id, s.label, s.score, d.n_chars from ({Q.SCORED}) s left join documents d on s.doc_id = d.doc_id""",
+          ["score"])
+def q_j5(spark, sf):
+    s = proxy.scored(spark, sf).select("doc_id", "label", "score")
+    return J.attach_by_key(s, proxy.table(spark, sf, "documents"), "doc_id", ["n_chars"])
+
+
+# ----------------------------------------------------------------------------- 2.5 windows
+
+SURV_W = "partition by disease order by date, region"
+
+
+def _wsql(select: str) -> str:
+    return f"select s.*, {select} from ({Q.SURV}) s"
+
+
+def _sw(spark, sf, specs):
+    return W.series_window(proxy.surveillance(spark, sf), ["disease"], ["date", "region"], specs)
+
+
+@register("w1_lag_features", _wsql(f"lag(cases, 1) over ({SURV_W}) as cases_lag_1, lag(cases, 2) over ({SURV_W}) as cases_lag_2"))
+def q_w1(spark, sf):
+    return _sw(spark, sf, [W.lag("cases_lag_1", "cases", 1), W.lag("cases_lag_2", "cases", 2)])
+
+
+def _roll(fn: str, n: int, name: str, lo: int | None = None, hi: int = 0) -> str:
+    lo = n - 1 if lo is None else lo
+    fr = f"({SURV_W} rows between {lo} preceding and {'current row' if hi == 0 else str(hi) + ' following'})"
+    return f"case when count(cases) over {fr} >= {n} then {fn}(cases) over {fr} end as {name}"
+
+
+@register("w2_rolling_mean", _wsql(_roll("avg", 4, "cases_mean_4w")), ["cases_mean_4w"])
+def q_w2(spark, sf):
+    return _sw(spark, sf, [W.rolling_mean("cases_mean_4w", "cases", 4)])
+
+
+@register("w3_rolling_std", _wsql(_roll("stddev_samp", 4, "cases_std_4w")), ["cases_std_4w"])
+def q_w3(spark, sf):
+    return _sw(spark, sf, [W.rolling_std("cases_std_4w", "cases", 4)])
+
+
+@register("w4_centered_mean", _wsql(_roll("avg", 7, "cases_7day_avg", 3, 3)), ["cases_7day_avg"])
+def q_w4(spark, sf):
+    return _sw(spark, sf, [W.centered_mean("cases_7day_avg", "cases", 7)])
+
+
+@register("w5_diff", _wsql(f"cases - lag(cases, 1) over ({SURV_W}) as cases_trend"))
+def q_w5(spark, sf):
+    return _sw(spark, sf, [W.diff("cases_trend", "cases")])
+
+
+W6_SQL = f"""
+with l as (select * from ({SURV_L}) s),
+c as (select l.*, {_roll('avg', 7, 'cases_7day_avg', 3, 3)} from l)
+select c.*, cases_7day_avg - lag(cases_7day_avg, 1) over ({SURV_W}) as cases_trend from c"""
+
+
+@register("w6_label_outbreaks", W6_SQL, ["outbreak_threshold", "cases_7day_avg", "cases_trend"])
+def q_w6(spark, sf):
+    return label_outbreaks(proxy.surveillance(spark, sf), "disease", "cases", 85.0, order=["date", "region"])
+
+
+W7_SQL = f"""
+with p as (select disease, region, date, cases, deaths, hospitalizations,
+                  lead(date) over (partition by disease, region order by date) as nd,
+                  lead(cases) over (partition by disease, region order by date) as nc,
+                  lead(deaths) over (partition by disease, region order by date) as ndt,
+                  lead(hospitalizations) over (partition by disease, region order by date) as nh
+           from ({Q.SURV}) s),
+x as (select p.*, cast(unnest(generate_series(date, coalesce(nd - 1, date), interval 1 day)) as date) as day from p)
+select disease, region, day as date,
+  case when nd is null or day = date then cast(cases as double) else cases + (nc - cases) * (datediff('day', date, day) / datediff('day', date, nd)) end as cases,
+  case when nd is null or day = date then cast(deaths as double) else deaths + (ndt - deaths) * (datediff('day', date, day) / datediff('day', date, nd)) end as deaths,
+  case when nd is null or day = date then cast(hospitalizations as double) else hospitalizations + (nh - hospitalizations) * (datediff('day', date, day) / datediff('day', date, nd)) end as hospitalizations
+from x"""
+
+
+@register("w7_resample_daily_interpolate", W7_SQL, ["cases", "deaths", "hospitalizations"])
+def q_w7(spark, sf):
+    return W.resample_daily_interpolate(proxy.surveillance(spark, sf), ["disease", "region"], "date",
+                                        ["cases", "deaths", "hospitalizations"])
+
+
+@register("w8_encode_rank", f"""
+select s.*, cast(dense_rank() over (order by disease) - 1 as integer) as disease_encoded,
+       cast(dense_rank() over (order by region) - 1 as integer) as region_encoded from ({Q.SURV}) s""")
+def q_w8(spark, sf):
+    return W.encode_rank(W.encode_rank(proxy.surveillance(spark, sf), "disease"), "region")
+
+
+@register("w9_time_series", f"select disease, date, cases from ({Q.SURV}) s order by disease, date")
+def q_w9(spark, sf):
+    return T.sort_series(proxy.surveillance(spark, sf).select("disease", "date", "cases"))
