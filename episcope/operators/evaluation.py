@@ -127,8 +127,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
 
     Points are not thinned (every threshold is kept).
     """
-    d = score_table(df, label, score)
-    cum = running_totals(d, [F.col("score").desc()], ["pos", "neg"])
+    d = score_table(df, label, score).withColumn("_neg_score", -F.col("score"))
+    cum = running_totals(d, ["_neg_score"], ["pos", "neg"])
     tot = d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("_k", F.lit(1))
     x = cum.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k")  # one-row table
     return x.select(F.col("score").alias("threshold"),
@@ -141,8 +141,8 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
 
     AUC = sum over distinct scores of neg_s * (positives scored higher + pos_s / 2) / (P * N).
     """
-    d = score_table(df, label, score)
-    cum = running_totals(d, [F.col("score").desc()], ["pos"])
+    d = score_table(df, label, score).withColumn("_neg_score", -F.col("score"))
+    cum = running_totals(d, ["_neg_score"], ["pos"])
     term = F.col("neg").cast("decimal(38,0)") * (2 * F.col("pos_cum") - F.col("pos")).cast("decimal(38,0)")
     a = cum.agg(F.sum(term).alias("_num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return a.select(F.try_divide(F.col("_num").cast("double"),

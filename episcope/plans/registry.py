@@ -536,3 +536,213 @@ def q_w8(spark, sf):
 @register("w9_time_series", f"select disease, date, cases from ({Q.SURV}) s order by disease, date")
 def q_w9(spark, sf):
     return T.sort_series(proxy.surveillance(spark, sf).select("disease", "date", "cases"))
+
+
+# ----------------------------------------------------------------------------- 2.8 scalar functions
+
+from episcope.operators import evaluation as E  # noqa: E402
+from episcope.operators import sampling as S  # noqa: E402
+from episcope.operators import sets as U  # noqa: E402
+from episcope.operators.scaling import standard_scale  # noqa: E402
+from episcope.operators.sentiment import LEXICON, lexicon_sentiment  # noqa: E402
+from episcope.sources import landed  # noqa: E402
+from episcope.functions.numeric import round_half_up  # noqa: E402
+from episcope.functions.text import parse_list_literal  # noqa: E402
+
+CAL_SQL = ("cast(month(date) as integer) as month, cast(quarter(date) as integer) as quarter, "
+           "cast(weekofyear(date) as integer) as week_of_year, cast(dayofyear(date) as integer) as day_of_year")
+
+
+@register("d1_d4_calendar_features", f"select s.*, {CAL_SQL}, cast(floor((month(date) % 12) / 3) as integer) as season from ({Q.SURV}) s")
+def q_d1(spark, sf):
+    return calendar_features(proxy.surveillance(spark, sf), "date")
+
+
+@register("d5_season_code", f"select date, cast(floor((month(date) % 12) / 3) as integer) as season from ({Q.ENV}) e")
+def q_d5(spark, sf):
+    return proxy.environment(spark, sf).select("date", cal.season_code("date").alias("season"))
+
+
+@register("d6_season_name", f"""
+select date, (['Winter', 'Spring', 'Summer', 'Fall'])[cast(floor((month(date) % 12) / 3) as integer) + 1] as season_name,
+       strftime(date, '%b') as month_name from ({Q.ENV}) e""")
+def q_d6(spark, sf):
+    return proxy.environment(spark, sf).select("date", cal.season_name("date").alias("season_name"),
+                                               cal.month_name("date").alias("month_name"))
+
+
+@register("d7_week_to_date", f"""
+with w as (select distinct cast(year(date) as integer) as year, cast(weekofyear(date) as integer) as week from ({Q.SURV}) s),
+j as (select *, make_date(year, 1, 1) as jan1, make_date(year, 1, 4) as jan4 from w)
+select year, week,
+       cast(jan1 + cast((8 - isodow(jan1)) % 7 as integer) + 7 * (week - 1) as date) as week_date,
+       cast(jan4 - cast(isodow(jan4) - 1 as integer) + 7 * (week - 1) as date) as iso_week_date
+from j""")
+def q_d7(spark, sf):
+    w = proxy.surveillance(spark, sf).select(F.year("date").alias("year"), F.weekofyear("date").alias("week")).distinct()
+    return w.select("year", "week", cal.week_to_date("year", "week").alias("week_date"),
+                    cal.week_to_date("year", "week", iso=True).alias("iso_week_date"))
+
+
+@register("d8_year_to_date", "select distinct cast(year(o_orderdate) as integer) as year, make_date(cast(year(o_orderdate) as integer), 1, 1) as date from orders")
+def q_d8(spark, sf):
+    o = proxy.table(spark, sf, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    return o.select("year", cal.year_to_date("year").alias("date"))
+
+
+@register("d9_truncate_day_span_years", f"""
+select cast(created_at as date) as day, count(*) as posts,
+       datediff('day', min(cast(created_at as date)), max(cast(created_at as date))) / 365.25 as span_years
+from ({Q.SOCIAL}) s group by 1""", ["span_years"])
+def q_d9(spark, sf):
+    s = proxy.social(spark, sf).withColumn("day", cal.truncate_day("created_at"))
+    return s.groupBy("day").agg(F.count(F.lit(1)).alias("posts"),
+                                cal.span_years(F.min("day"), F.max("day")).alias("span_years"))
+
+
+AS_OF = "1995-01-31 00:00:00"
+
+
+@register("d10_lookback_window", f"""
+select * from ({Q.SOCIAL}) s
+where created_at between timestamp '{AS_OF}' - interval 7 day and timestamp '{AS_OF}'""", ["polarity", "subjectivity", "engagement_score"])
+def q_d10(spark, sf):
+    s = proxy.social(spark, sf)
+    start = cal.lookback_start(F.lit(AS_OF).cast("timestamp_ntz"), 7)
+    return s.where(F.col("created_at").between(start, F.lit(AS_OF).cast("timestamp_ntz")))
+
+
+@register("x1_clean_text", f"select doc_id, {Q.clean_text_sql('text')} as text from documents")
+def q_x1(spark, sf):
+    return proxy.posts_text(spark, sf).select("doc_id", clean_text("text").alias("text"))
+
+
+@register("x2_extract_symptoms", f"""
+select doc_id, array_to_string({Q.keywords_sql(Q.clean_text_sql('text'), proxy.PROXY_KEYWORDS)}, ',') as symptoms
+from documents""")
+def q_x2(spark, sf):
+    d = proxy.posts_text(spark, sf)
+    return d.select("doc_id", F.array_join(extract_keywords(clean_text("text"), proxy.PROXY_KEYWORDS), ",")
+                    .alias("symptoms"))
+
+
+LEX_VALUES = ", ".join(f"('{k}', cast({v[0]} as double), cast({v[1]} as double))" for k, v in LEXICON.items())
+X3_SQL = f"""
+with lex(word, pol, subj) as (values {LEX_VALUES}),
+t as (select doc_id, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) as word from documents),
+s as (select doc_id, avg(pol) as p, avg(subj) as q from t join lex on t.word = lex.word group by doc_id)
+select d.doc_id, coalesce(s.p, 0.0) as polarity, coalesce(s.q, 0.0) as subjectivity
+from documents d left join s on d.doc_id = s.doc_id"""
+
+
+@register("x3_lexicon_sentiment", X3_SQL, ["polarity", "subjectivity"])
+def q_x3(spark, sf):
+    return lexicon_sentiment(proxy.posts_text(spark, sf), "text").select("doc_id", "polarity", "subjectivity")
+
+
+U1_SQL = f"""
+with t as (select cast(id as varchar) as id, 'twitter' as platform, text as raw_text, created_at,
+                  cast(coalesce(like_count, 0) + coalesce(retweet_count, 0) as bigint) as engagement_score,
+                  author_id as author from ({Q.TWEETS}) x),
+r as (select id, 'reddit' as platform, coalesce(title, '') || ' ' || coalesce(selftext, '') as raw_text,
+             to_timestamp(created_utc)::timestamp as created_at, cast(score as bigint) as engagement_score,
+             coalesce(author, 'deleted') as author from ({Q.REDDIT}) y),
+u as (select *, {Q.clean_text_sql('raw_text')} as text from (select * from t union all select * from r) z),
+lex(word, pol, subj) as (values {LEX_VALUES}),
+tok as (select id, platform, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) as word from u),
+sc as (select id, platform, avg(pol) as p, avg(subj) as q from tok join lex on tok.word = lex.word group by id, platform)
+select u.id, u.platform, u.raw_text, u.created_at, u.engagement_score, u.author, u.text,
+       coalesce(sc.p, 0.0) as polarity, coalesce(sc.q, 0.0) as subjectivity,
+       array_to_string({Q.keywords_sql('u.text', proxy.PROXY_KEYWORDS)}, ',') as symptoms
+from u left join sc on u.id = sc.id and u.platform = sc.platform"""
+
+
+def _union_posts(spark, sf):
+    tw = landed.normalize_tweets(proxy.tweet_payloads(spark, sf))
+    rd = landed.normalize_reddit(proxy.reddit_payloads(spark, sf), keywords=[""])
+    return U.union_posts(tw, rd, proxy.PROXY_KEYWORDS)
+
+
+@register("u1_union_posts", U1_SQL, ["polarity", "subjectivity"])
+def q_u1(spark, sf):
+    return _union_posts(spark, sf).withColumn("symptoms", F.array_join("symptoms", ","))
+
+
+@register("x4_engagement_score", f"""
+select cast(id as varchar) as id, cast(coalesce(like_count, 0) + coalesce(retweet_count, 0) as bigint) as engagement_score
+from ({Q.TWEETS}) t""")
+def q_x4(spark, sf):
+    from episcope.functions.text import engagement_score
+    t = landed.normalize_tweets(proxy.tweet_payloads(spark, sf))
+    return t.select("id", engagement_score("like_count", "retweet_count").cast("long").alias("engagement_score"))
+
+
+@register("x5_parse_symptom_list", f"""
+select id, case when symptoms is null then null else len(symptoms) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""")
+def q_x5(spark, sf):
+    s = proxy.social_with_text(spark, sf)
+    lit_text = F.when(F.col("symptoms").isNotNull(), F.concat(
+        F.lit("["), F.array_join(F.transform("symptoms", lambda k: F.concat(F.lit("'"), k, F.lit("'"))), ", "),
+        F.lit("]")))
+    return s.select("id", F.size(parse_list_literal(lit_text)).alias("n_symptoms"))
+
+
+M1_SQL = f"""
+select q.*, temperature * humidity as temp_humidity_interaction, pow(temperature, 2) as temp_squared,
+       polarity_mean * symptom_mentions as sentiment_symptoms_interaction,
+       engagement_score_sum / (id_count + 1) as avg_engagement_per_post from ({J4_SQL}) q"""
+
+
+@register("m1_interaction_features", M1_SQL, ENV_COLS + SOCIAL_COLS + [
+    "outbreak_threshold", "temp_humidity_interaction", "temp_squared", "sentiment_symptoms_interaction",
+    "avg_engagement_per_post"])
+def q_m1(spark, sf):
+    return interaction_features(_j4(spark, sf))
+
+
+@register("m2_round_n", f"""
+select id, {Q.r_half_up('polarity', 4)} as polarity_4, {Q.r_half_up('polarity', 3)} as polarity_3,
+       {Q.r_half_up('polarity', 1)} as polarity_1 from ({Q.SOCIAL}) s""", ["polarity_4", "polarity_3", "polarity_1"])
+def q_m2(spark, sf):
+    s = proxy.social(spark, sf)
+    return s.select("id", *[round_half_up("polarity", d).alias(f"polarity_{d}") for d in (4, 3, 1)])
+
+
+# ----------------------------------------------------------------------------- 2.6 top-k, 2.7 sets
+
+@register("t1_top_outbreak_regions", f"""
+select region, {RATES} from ({SURV_L}) s group by region having count(outbreak) >= 10
+order by mean desc, region limit 5""", ["mean"])
+def q_t1(spark, sf):
+    return T.top_outbreak_regions(_surv_l(spark, sf))
+
+
+@register("t2_peak_months", f"""
+select cast(month(date) as integer) as month, {RATES}, strftime(make_date(2000, cast(month(date) as integer), 1), '%b') as month_name
+from ({SURV_L}) s group by 1, 5 order by mean desc, month limit 3""", ["mean"])
+def q_t2(spark, sf):
+    return T.peak_months(_surv_l(spark, sf))
+
+
+@register("t3_recent_years", f"""
+select cast(year(date) as integer) as year, {RATES} from ({SURV_L}) s group by 1 order by year desc limit 5""", ["mean"])
+def q_t3(spark, sf):
+    return T.recent_years(_surv_l(spark, sf))
+
+
+@register("t4_top_symptoms", f"""
+select symptom, count(*) as count from (select unnest(symptoms) as symptom from ({Q.SOCIAL_TEXT}) p) u
+where symptom is not null group by symptom order by count desc, symptom limit 10""")
+def q_t4(spark, sf):
+    return T.top_counts(A.exploded_counts(proxy.social_with_text(spark, sf), "symptoms", "symptom"), "symptom", 10)
+
+
+@register("t8_limit_rows", f"select * from ({Q.SOCIAL}) s order by created_at desc, id limit 100",
+          ["polarity", "subjectivity", "engagement_score"])
+def q_t8(spark, sf):
+    return T.limit_rows(proxy.social(spark, sf), [F.col("created_at").desc(), F.col("id")], 100)
+
+
+@register("u4_distinct_values", f"select distinct disease from ({Q.SURV}) s where disease is not null")
+def q_u4(spark, sf):
+    return U.distinct_values(proxy.surveillance(spark, sf), "disease")

@@ -95,3 +95,32 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.least(F.col("n_chars") / F.lit(SCORE_CHARS), F.lit(1.0))
     return j.select("doc_id", F.col("quality").cast("int").alias("label"), score.alias("score"),
                     (score > 0.5).cast("int").alias("prediction"))
+
+
+def tweet_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed-tweet shape: each document is a tweet, enriched by the event with its id."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    j = d.join(e, d.doc_id == e.event_id)
+    return j.select(F.col("doc_id").alias("id"), "text",
+                    (F.col("ts") - F.expr(f"INTERVAL {SOCIAL_SHIFT_DAYS} DAYS")).alias("created_at"),
+                    F.struct(F.floor("value").cast("long").alias("retweet_count"),
+                             F.col("user_id").alias("like_count"), F.lit(0).cast("long").alias("reply_count"),
+                             F.lit(0).cast("long").alias("quote_count")).alias("public_metrics"),
+                    F.col("user_id").alias("author_id"))
+
+
+def reddit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed-reddit shape: each conversation turn is a post, enriched by the event
+    with the conversation's id (its type is the subreddit)."""
+    c = table(spark, sf_dir, "conversations")
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "event_type")
+    j = c.join(e, c.conv_id == e.event_id)
+    shifted = (F.col("ts") - F.expr(f"INTERVAL {SOCIAL_SHIFT_DAYS} DAYS")).cast("timestamp")
+    return j.select(F.concat(F.lit("r"), F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string")).alias("id"),
+                    F.col("role").alias("title"), F.col("text").alias("selftext"),
+                    F.col("turn").alias("score"), (F.col("value") / 500).alias("upvote_ratio"),
+                    F.col("turn").alias("num_comments"),
+                    (F.unix_seconds(shifted) + F.col("turn")).cast("double").alias("created_utc"),
+                    F.col("event_type").alias("subreddit"),
+                    F.when(F.col("role") == "user", F.col("user_id").cast("string")).alias("author"))

@@ -82,3 +82,16 @@ def _canon_expr(c: str, digits: int) -> str:
     s = f"1e{digits}"
     return (f"(case when abs({c}) < 1e9 then cast(floor({c} * {s} + 0.5) as double) / {s} "
             f"else {c} end)")
+
+TWEETS = f"""
+select d.doc_id as id, d.text, e.ts - interval {SOCIAL_SHIFT_DAYS} day as created_at,
+       cast(floor(e.value) as bigint) as retweet_count, e.user_id as like_count,
+       cast(e.user_id as varchar) as author_id
+from documents d join events e on d.doc_id = e.event_id"""
+
+REDDIT = f"""
+select 'r' || cast(c.conv_id as varchar) || '_' || cast(c.turn as varchar) as id, c.role as title,
+       c.text as selftext, c.turn as score, e.value / 500 as upvote_ratio, c.turn as num_comments,
+       cast(floor(epoch(e.ts - interval {SOCIAL_SHIFT_DAYS} day)) as bigint) + c.turn as created_utc,
+       e.event_type as subreddit, case when c.role = 'user' then cast(e.user_id as varchar) end as author
+from conversations c join events e on c.conv_id = e.event_id"""
