@@ -65,14 +65,18 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     x = x.select("*", f("p0", "r0").alias("f0"), f("p1", "r1").alias("f1"))
     acc = z(F.try_divide((F.col("tp") + F.col("tn")).cast("double"), F.col("n")))
     wavg = lambda a, b: z(F.try_divide(F.col(a) * F.col("s0") + F.col(b) * F.col("s1"), F.col("n")))
+    def row(cls, p, r, f1, sup):
+        return F.struct(F.lit(cls).alias("class"), p.alias("precision"), r.alias("recall"),
+                        f1.alias("f1_score"), sup.cast("long").alias("support"))
+
+    col = F.col
     rows = F.array(
-        F.struct(F.lit("0").alias("class"), F.col("p0").alias("precision"), F.col("r0").alias("recall"),
-                 F.col("f0").alias("f1_score"), F.col("s0").alias("support")),
-        F.struct(F.lit("1"), F.col("p1"), F.col("r1"), F.col("f1"), F.col("s1")),
-        F.struct(F.lit("accuracy"), acc, acc, acc, F.col("n")),
-        F.struct(F.lit("macro avg"), (F.col("p0") + F.col("p1")) / 2, (F.col("r0") + F.col("r1")) / 2,
-                 (F.col("f0") + F.col("f1")) / 2, F.col("n")),
-        F.struct(F.lit("weighted avg"), wavg("p0", "p1"), wavg("r0", "r1"), wavg("f0", "f1"), F.col("n")))
+        row("0", col("p0"), col("r0"), col("f0"), col("s0")),
+        row("1", col("p1"), col("r1"), col("f1"), col("s1")),
+        row("accuracy", acc, acc, acc, col("n")),
+        row("macro avg", (col("p0") + col("p1")) / 2, (col("r0") + col("r1")) / 2,
+            (col("f0") + col("f1")) / 2, col("n")),
+        row("weighted avg", wavg("p0", "p1"), wavg("r0", "r1"), wavg("f0", "f1"), col("n")))
     return x.select(F.explode(rows).alias("r")).select("r.*")
 
 

@@ -746,3 +746,170 @@ def q_t8(spark, sf):
 @register("u4_distinct_values", f"select distinct disease from ({Q.SURV}) s where disease is not null")
 def q_u4(spark, sf):
     return U.distinct_values(proxy.surveillance(spark, sf), "disease")
+
+
+# ----------------------------------------------------------------------------- 2.9 sampling
+
+LEHMER_SQL = "(((({id} % 2147483647) + 42) * 48271) % 2147483647)"
+
+
+@register("ml1_stratified_split", f"""
+with k as (select *, {LEHMER_SQL.format(id='doc_id')} as key_ from ({Q.SCORED}) s),
+r as (select *, row_number() over (partition by label order by key_, doc_id) as rn_,
+             count(*) over (partition by label) as nc_ from k)
+select doc_id, label, score, prediction, rn_ <= floor(nc_ * 0.2 + 0.5) as is_test from r""", ["score"])
+def q_ml1(spark, sf):
+    return S.stratified_split(proxy.scored(spark, sf), "label", "doc_id", 0.2, 42)
+
+
+@register("ml2_stratified_sample", f"""
+with k as (select *, {LEHMER_SQL.format(id='doc_id')} as key_ from ({Q.SCORED}) s),
+r as (select *, row_number() over (partition by label order by key_, doc_id) as rn_ from k),
+n as (select count(*) as n_, sum(case when label = 1 then 1 else 0 end) as n1_ from k)
+select doc_id, label, score, prediction from r, n
+where rn_ <= case when label = 1 then floor(100 * n1_ / n_) else 100 - floor(100 * n1_ / n_) end""", ["score"])
+def q_ml2(spark, sf):
+    return S.stratified_sample(proxy.scored(spark, sf), "label", "doc_id", 100, 42)
+
+
+@register("ml3_cv_subsample", f"""
+select * from ({Q.SOCIAL}) s order by {LEHMER_SQL.format(id='id')}, id limit 5000""",
+          ["polarity", "subjectivity", "engagement_score"])
+def q_ml3(spark, sf):
+    return S.cv_subsample(proxy.social(spark, sf), "id", 5000, 42)
+
+
+# ----------------------------------------------------------------------------- 2.10 / 2.11 evaluation
+
+CONF = f"""(select cast(sum(case when label = 1 and prediction = 1 then 1 else 0 end) as bigint) as tp,
+  cast(sum(case when label = 0 and prediction = 1 then 1 else 0 end) as bigint) as fp,
+  cast(sum(case when label = 1 and prediction = 0 then 1 else 0 end) as bigint) as fn,
+  cast(sum(case when label = 0 and prediction = 0 then 1 else 0 end) as bigint) as tn,
+  count(*) as n from ({Q.SCORED}) s) c"""
+
+AUC_SQL = f"""
+with d as (select cast(score as double) as score, cast(sum(label) as bigint) as pos, cast(sum(1 - label) as bigint) as neg
+           from ({Q.SCORED}) s group by 1),
+c as (select *, sum(pos) over (order by score desc rows between unbounded preceding and current row) as cp from d)
+select cast(sum(neg * (2 * cp - pos)) as double) / (2.0 * sum(pos) * sum(neg)) as auc from c"""
+
+
+@register("e1_roc_auc", AUC_SQL, ["auc"])
+def q_e1(spark, sf):
+    return E.roc_auc(proxy.scored(spark, sf))
+
+
+@register("e2_roc_curve", f"""
+with d as (select cast(score as double) as score, cast(sum(label) as bigint) as pos, cast(sum(1 - label) as bigint) as neg
+           from ({Q.SCORED}) s group by 1),
+c as (select *, sum(pos) over (order by score desc rows between unbounded preceding and current row) as cp,
+             sum(neg) over (order by score desc rows between unbounded preceding and current row) as cn,
+             sum(pos) over () as p_, sum(neg) over () as n_ from d)
+select score as threshold, cast(cn as double) / n_ as fpr, cast(cp as double) / p_ as tpr from c""",
+          ["threshold", "fpr", "tpr"])
+def q_e2(spark, sf):
+    return E.roc_curve(proxy.scored(spark, sf))
+
+
+@register("e3_accuracy", f"select avg(cast(label = prediction as double)) as accuracy from ({Q.SCORED}) s", ["accuracy"])
+def q_e3(spark, sf):
+    return E.accuracy(proxy.scored(spark, sf))
+
+
+@register("e4_confusion_matrix", f"""
+select cast(label as bigint) as actual, cast(sum(case when prediction = 0 then 1 else 0 end) as bigint) as predicted_0,
+       cast(sum(case when prediction = 1 then 1 else 0 end) as bigint) as predicted_1 from ({Q.SCORED}) s group by 1""")
+def q_e4(spark, sf):
+    return E.confusion_matrix(proxy.scored(spark, sf))
+
+
+E5_SQL = f"""
+with c as (select * from {CONF}),
+p as (select *, coalesce(tn / nullif(tn + fn, 0), 0.0) as p0, coalesce(tn / nullif(tn + fp, 0), 0.0) as r0,
+             coalesce(tp / nullif(tp + fp, 0), 0.0) as p1, coalesce(tp / nullif(tp + fn, 0), 0.0) as r1,
+             tn + fp as s0, tp + fn as s1 from c),
+f as (select *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0.0) as f0, coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0.0) as f1,
+             coalesce((tp + tn) / nullif(n, 0), 0.0) as acc from p)
+select '0' as class, p0 as precision, r0 as recall, f0 as f1_score, s0 as support from f
+union all select '1', p1, r1, f1, s1 from f
+union all select 'accuracy', acc, acc, acc, n from f
+union all select 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n from f
+union all select 'weighted avg', coalesce((p0 * s0 + p1 * s1) / nullif(n, 0), 0.0), coalesce((r0 * s0 + r1 * s1) / nullif(n, 0), 0.0),
+                 coalesce((f0 * s0 + f1 * s1) / nullif(n, 0), 0.0), n from f"""
+
+
+@register("e5_classification_report", E5_SQL, ["precision", "recall", "f1_score"])
+def q_e5(spark, sf):
+    return E.classification_report(proxy.scored(spark, sf))
+
+
+@register("e6_detection_impact", f"""
+select tp + fn as test_outbreaks, tp as correctly_predicted, fn as missed_outbreaks,
+       coalesce(cast(tp as double) / nullif(tp + fn, 0), 0.0) as detection_rate from {CONF}""", ["detection_rate"])
+def q_e6(spark, sf):
+    return E.detection_impact(proxy.scored(spark, sf))
+
+
+@register("e7_cost_benefit", f"""
+with x as (select (tp + fp) * 50000 as response_cost, tp * 500000 as avoided_cost, fp * 10000 as false_alarm_cost,
+                  fn * 500000 as missed_cost from {CONF})
+select *, avoided_cost - response_cost - false_alarm_cost - missed_cost as net_benefit,
+       coalesce(cast(avoided_cost - response_cost - false_alarm_cost - missed_cost as double) * 100 / nullif(response_cost, 0), 0.0) as roi_pct
+from x""", ["roi_pct"])
+def q_e7(spark, sf):
+    return E.cost_benefit(proxy.scored(spark, sf))
+
+
+@register("e8_operational_tiers", f"""
+with x as (select coalesce(cast(tp as double) / nullif(tp + fn, 0), 0.0) as detection_rate,
+                  coalesce(cast(tp as double) / nullif(tp + fp, 0), 0.0) as precision from {CONF})
+select *, case when detection_rate > 0.7 then 'HIGH' when detection_rate > 0.5 then 'MODERATE' else 'LOW' end as detection_tier,
+       case when precision > 0.6 then 'HIGH' else 'LOW' end as precision_tier from x""", ["detection_rate", "precision"])
+def q_e8(spark, sf):
+    return E.operational_tiers(proxy.scored(spark, sf))
+
+
+@register("e9_trend_verdict", f"""
+with y as (select cast(year(date) as integer) as year, avg(cast(outbreak as double)) as mean from ({SURV_L}) s group by 1),
+r as (select *, row_number() over (order by year desc) as r_, count(*) over () as n_ from y),
+a as (select max(n_) as n_years, min(year) as first_year, max(year) as last_year,
+             arg_max(mean, year) - arg_min(mean, year) as trend_change from r where r_ <= 5)
+select *, case when trend_change > 0.01 then 'increasing' when trend_change < -0.01 then 'decreasing' else 'stable' end as verdict
+from a where n_years > 3""", ["trend_change"])
+def q_e9(spark, sf):
+    return E.trend_verdict(A.yearly_outbreaks(_surv_l(spark, sf)))
+
+
+@register("e10_coverage_projection", f"""
+with s as (select count(distinct region) as countries_covered, count(*) as records from ({SURV_L}) v),
+p as (select count(*) as social_posts from ({Q.SOCIAL}) q)
+select countries_covered, records, cast(records as double) / nullif(countries_covered, 0) as records_per_country,
+       social_posts, cast(records as double) / nullif(countries_covered, 0) * 195 as global_projection from s, p""",
+          ["records_per_country", "global_projection"])
+def q_e10(spark, sf):
+    return E.coverage_projection(_surv_l(spark, sf), proxy.social(spark, sf))
+
+
+@register("e11_effect_size", f"""
+select auc, ((auc - 0.5) * 2) / 0.2 as effect_size,
+       case when ((auc - 0.5) * 2) / 0.2 > 0.8 then 'Large' when ((auc - 0.5) * 2) / 0.2 > 0.5 then 'Medium' else 'Small' end as magnitude
+from ({AUC_SQL}) a""", ["auc", "effect_size"])
+def q_e11(spark, sf):
+    return E.effect_size(E.roc_auc(proxy.scored(spark, sf)))
+
+
+@register("ml10_balanced_weights", f"""
+with c as (select label, count(*) as nc from ({Q.SCORED}) s group by label),
+t as (select sum(nc) as n, count(*) as k from c)
+select s.*, cast(t.n as double) / (t.k * c.nc) as weight from ({Q.SCORED}) s join c on s.label = c.label, t""",
+          ["score", "weight"])
+def q_ml10(spark, sf):
+    return E.balanced_weights(proxy.scored(spark, sf))
+
+
+@register("ml4_standard_scale", f"""
+with st as (select {', '.join(f'avg({c}) as mu_{c}, stddev_pop({c}) as sd_{c}' for c in ENV_COLS)} from ({Q.ENV}) e)
+select e.date, e.uv_index, {', '.join(f'coalesce(({c} - mu_{c}) / (case when sd_{c} > 0 then sd_{c} end), case when {c} is not null then 0.0 end) as {c}' for c in ENV_COLS)}
+from ({Q.ENV}) e, st""", ENV_COLS)
+def q_ml4(spark, sf):
+    return standard_scale(proxy.environment(spark, sf), ENV_COLS)
