@@ -25,6 +25,8 @@ WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}"
 NON_WHITESPACE_CLASS = "[^" + WHITESPACE_CLASS[1:]
 # Unicode word character (letters, numbers, underscore), the meaning of ``\w`` on str.
 WORD_CLASS = r"[\p{L}\p{N}_]"
+# Every whitespace character except the plain space.
+OTHER_WHITESPACE_CLASS = WHITESPACE_CLASS.replace(" ", "")
 
 # Fixed patterns: web links, then @mentions / #hashtags.
 URL_PATTERN = "(?:http|www)" + NON_WHITESPACE_CLASS + "+"
@@ -39,7 +41,10 @@ def clean_text(c) -> Column:
     """Drop links, drop @mentions and #hashtags, collapse whitespace, trim, lowercase."""
     t = F.regexp_replace(_c(c), URL_PATTERN, "")
     t = F.regexp_replace(t, TAG_PATTERN, "")
-    t = F.regexp_replace(t, WHITESPACE_CLASS + "+", " ")
+    # Same result as replacing runs of whitespace by one space, but a plain single
+    # space (by far the most common match) is left alone instead of rewritten.
+    t = F.regexp_replace(t, OTHER_WHITESPACE_CLASS, " ")
+    t = F.regexp_replace(t, "  +", " ")
     return F.lower(F.trim(t))
 
 
@@ -49,9 +54,12 @@ def extract_keywords(c, keywords=None) -> Column:
     NULL text gives NULL, like the per-row function it replaces would fail.
     """
     kws = list(keywords or HEALTH_KEYWORDS)
-    low = F.lower(_c(c))
-    return F.when(low.isNotNull(),
-                  F.filter(F.array(*[F.lit(k) for k in kws]), lambda k: F.instr(low, k) > 0))
+    # The text is bound once to the lambda variable ``t``; referring to the text
+    # expression once per keyword would evaluate it (cleaning included) per keyword.
+    def hits(t):
+        found = F.array_compact(F.array(*[F.when(F.instr(t, k) > 0, F.lit(k)) for k in kws]))
+        return F.when(t.isNotNull(), found)
+    return F.element_at(F.transform(F.array(F.lower(_c(c))), hits), 1)
 
 
 def contains_any(cols, keywords=None) -> Column:

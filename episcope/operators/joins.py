@@ -13,17 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episcope.operators.ordering import _names
+from episcope.session import cut_lineage
 
 # A daily table for 100 years has ~36,500 rows; anything past this is not "small".
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      materialize: bool = False) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
     The check is ``limit(max_rows + 1).count()``: it stops reading once the bound
-    is exceeded, so it never costs a full scan of a big table.
+    is exceeded.  With ``materialize`` the table (typically a daily aggregate) is
+    first written to the checkpoint folder, so the check and the join read the
+    stored rows instead of recomputing the aggregate twice.
     """
+    if materialize:
+        df = cut_lineage(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -38,7 +44,7 @@ def assert_unique_keys(df: DataFrame, keys) -> None:
 
 def left_join(left: DataFrame, right: DataFrame, on, suffixes=("_x", "_y"),
               max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-              null_safe: bool = False) -> DataFrame:
+              null_safe: bool = False, materialize: bool = True) -> DataFrame:
     """``left.merge(right, on=on, how='left')``.
 
     Non-key columns present on both sides get ``suffixes``.  ``null_safe`` makes
@@ -50,7 +56,7 @@ def left_join(left: DataFrame, right: DataFrame, on, suffixes=("_x", "_y"),
         left = left.withColumnsRenamed({c: c + suffixes[0] for c in both})
         right = right.withColumnsRenamed({c: c + suffixes[1] for c in both})
     if max_broadcast_rows:
-        right = bounded_broadcast(right, max_broadcast_rows)
+        right = bounded_broadcast(right, max_broadcast_rows, materialize)
     if not null_safe:
         return left.join(right, keys, "left")
     r = right.withColumnsRenamed({k: "_r_" + k for k in keys})

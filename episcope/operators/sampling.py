@@ -30,10 +30,10 @@ def _class_sizes(df: DataFrame, label: str) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
-                     seed: int = 42) -> DataFrame:
+                     seed: int = 42, tiebreak=()) -> DataFrame:
     """Add ``is_test``: per class exactly ``round(test_fraction * n_class)`` rows."""
     x = df.withColumn("_key", seeded_key(id_col, seed))
-    x = series_ordinal(x, [label], ["_key", id_col])
+    x = series_ordinal(x, [label], ["_key", id_col, *tiebreak])
     x = x.join(_class_sizes(df, label), [label])
     test = F.col(RN) <= F.floor(F.col("_nc") * F.lit(test_fraction) + F.lit(0.5))
     return x.withColumn("is_test", test).drop("_key", RN, "_nc")

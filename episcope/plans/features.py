@@ -25,6 +25,7 @@ from episcope.operators.filters import (
 )
 from episcope.operators.joins import left_join
 from episcope.operators.ordering import _names
+from episcope.session import cut_lineage
 from episcope.operators.windows import (
     diff, encode_rank, forward_fill, label_outbreaks, lag, resample_daily_interpolate,
     rolling_mean, rolling_std, series_window,
@@ -51,7 +52,7 @@ def merge_all(surv: DataFrame, env: DataFrame, social_daily: DataFrame, ffill_or
               fill_value=0, on: str = "date") -> DataFrame:
     """surveillance LEFT JOIN environment LEFT JOIN daily social on date, then forward
     fill (in ``ffill_order``) and zero-fill of the remaining numeric NULLs."""
-    m = left_join(left_join(surv, env, on), social_daily, on)
+    m = cut_lineage(left_join(left_join(surv, env, on), social_daily, on))
     keys = set(_names(ffill_order))
     fill_cols = [c for c in m.columns if c not in keys]
     return forward_fill(m, fill_cols, ffill_order, fill_value=fill_value)
@@ -77,7 +78,7 @@ def prepare_ml_features(surv: DataFrame, env: DataFrame, social: DataFrame, *,
     """
     social_daily = daily_social_agg(social)
     s = calendar_features(surv, "date")
-    m = merge_all(s, env, social_daily, ffill_order)
+    m = cut_lineage(merge_all(s, env, social_daily, ffill_order))
     m = series_window(m, series, order, weekly_lag_specs("polarity_mean" in m.columns),
                       split_hot=split_hot)
     m = interaction_features(m)
@@ -109,10 +110,10 @@ def daily_feature_pipeline(surv: DataFrame, env: DataFrame, social: DataFrame, *
     social_daily = daily_social_agg(social, symptoms_col=None)
     if "symptoms" in social.columns:
         social_daily = left_join(social_daily, daily_symptom_mentions(social), "date")
-    m = left_join(left_join(daily, social_daily, "date"), env, "date")
+    m = cut_lineage(left_join(left_join(daily, social_daily, "date"), env, "date"))
     fill_cols = [c for c in m.columns if c not in set(ffill_order)]
-    m = forward_fill(m, fill_cols, ffill_order, fill_value=0)
-    m = label_outbreaks(m, "disease", "cases", pct, order=order, split_hot=split_hot)
+    m = cut_lineage(forward_fill(m, fill_cols, ffill_order, fill_value=0))
+    m = cut_lineage(label_outbreaks(m, "disease", "cases", pct, order=order, split_hot=split_hot))
     m = calendar_features(m, "date")
     m = series_window(m, series, order, daily_lag_specs("polarity_mean" in m.columns), split_hot=split_hot)
     m = interaction_features(m, symptoms_col="total_symptom_mentions", squared=False)

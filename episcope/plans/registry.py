@@ -913,3 +913,103 @@ select e.date, e.uv_index, {', '.join(f'coalesce(({c} - mu_{c}) / (case when sd_
 from ({Q.ENV}) e, st""", ENV_COLS)
 def q_ml4(spark, sf):
     return standard_scale(proxy.environment(spark, sf), ENV_COLS)
+
+
+# ----------------------------------------------------------------------------- 2.10 MLlib (rows-only checks)
+
+from episcope.plans import training as ML  # noqa: E402
+
+ML_KEYS = ("disease", "region", "date")
+
+
+def _training_data(spark, sf):
+    feats = q_flagship(spark, sf)
+    cols = [c for c in feats.columns if c not in (*ML_KEYS, "outbreak")]
+    return ML.prepare_training_frame(feats, "outbreak", ML_KEYS), cols
+
+
+def _single(spark, sf, spec):
+    data, cols = _training_data(spark, sf)
+    r, _model, _preds = ML.train_one(spec, data, cols)
+    return spark.createDataFrame([r], ML.PERF_SCHEMA)
+
+
+@register("ml6_train_random_forest")
+def q_ml6(spark, sf):
+    return _single(spark, sf, ML.ANALYSIS_MODELS[1])
+
+
+@register("ml7_train_boosted")
+def q_ml7(spark, sf):
+    return _single(spark, sf, ML.ANALYSIS_MODELS[0])
+
+
+@register("ml8_train_logistic")
+def q_ml8(spark, sf):
+    return _single(spark, sf, ML.ANALYSIS_MODELS[2])
+
+
+@register("ml9_train_svm")
+def q_ml9(spark, sf):
+    return _single(spark, sf, ML.TRAINER_MODELS[3])
+
+
+# ----------------------------------------------------------------------------- ML17 daily pipeline
+
+from episcope.plans.features import daily_feature_pipeline  # noqa: E402
+
+DW = "partition by disease order by date, region"
+SC_SQL = f"""select cast(created_at as date) as date,
+       cast(sum(case when symptoms is null then 0 else len(symptoms) end) as bigint) as total_symptom_mentions
+from ({Q.SOCIAL_TEXT}) p where created_at is not null group by 1"""
+ML17_FILL = ["cases", "deaths", "hospitalizations"] + SOCIAL_COLS + ["id_count", "total_symptom_mentions"] + ENV_COLS + ["uv_index"]
+
+
+def _dr(fn: str, col: str, n: int, name: str) -> str:
+    fr = f"({DW} rows between {n - 1} preceding and current row)"
+    return f"case when count({col}) over {fr} >= {n} then {fn}({col}) over {fr} end as {name}"
+
+
+ML17_FEATURES = (["cases_7day_avg", "cases_trend", "month", "quarter", "week_of_year", "day_of_year", "season",
+                  "cases_lag_1", "cases_lag_7", "cases_lag_14", "cases_mean_7d", "cases_std_7d", "cases_mean_30d",
+                  "polarity_lag_1", "polarity_lag_3", "symptom_mentions_lag_1", "temp_humidity_interaction",
+                  "sentiment_symptoms_interaction", "region_encoded"]
+                 + SOCIAL_COLS + ["id_count", "total_symptom_mentions"] + ENV_COLS + ["uv_index"])
+
+ML17_SQL = f"""
+with d as ({W7_SQL}),
+sd as ({SOCIAL_DAILY_SQL.format(src=Q.SOCIAL_TEXT, extra='')}),
+sdj as (select sd.*, sc.total_symptom_mentions from sd left join ({SC_SQL}) sc on sd.date = sc.date),
+m as (select d.*, {', '.join('sdj.' + c for c in SOCIAL_COLS + ['id_count', 'total_symptom_mentions'])},
+             {', '.join('e.' + c for c in ENV_COLS + ['uv_index'])}
+      from d left join sdj on d.date = sdj.date left join ({Q.ENV}) e on d.date = e.date),
+f as (select disease, region, date, {', '.join(_ffill(c) for c in ML17_FILL)} from m),
+th as (select disease, quantile_cont(cast(cases as double), 0.85) as outbreak_threshold from f group by disease),
+l as (select f.*, th.outbreak_threshold, cast(f.cases > th.outbreak_threshold as integer) as outbreak
+      from f left join th on f.disease = th.disease),
+c7 as (select l.*, case when count(cases) over w >= 7 then avg(cases) over w end as cases_7day_avg
+       from l window w as ({DW} rows between 3 preceding and 3 following)),
+g as (select c7.*, cases_7day_avg - lag(cases_7day_avg, 1) over ({DW}) as cases_trend,
+             {CAL_SQL}, cast(floor((month(date) % 12) / 3) as integer) as season,
+             lag(cases, 1) over ({DW}) as cases_lag_1, lag(cases, 7) over ({DW}) as cases_lag_7,
+             lag(cases, 14) over ({DW}) as cases_lag_14,
+             {_dr('avg', 'cases', 7, 'cases_mean_7d')}, {_dr('stddev_samp', 'cases', 7, 'cases_std_7d')},
+             {_dr('avg', 'cases', 30, 'cases_mean_30d')},
+             lag(polarity_mean, 1) over ({DW}) as polarity_lag_1, lag(polarity_mean, 3) over ({DW}) as polarity_lag_3,
+             lag(total_symptom_mentions, 1) over ({DW}) as symptom_mentions_lag_1,
+             temperature * humidity as temp_humidity_interaction,
+             polarity_mean * total_symptom_mentions as sentiment_symptoms_interaction from c7),
+codes as (select region, cast(dense_rank() over (order by region) - 1 as integer) as region_encoded
+          from (select distinct region from g where region is not null) r)
+select g.disease, g.region, g.date, outbreak, {', '.join(f'coalesce({c}, 0) as {c}' for c in ML17_FEATURES)}
+from g left join codes on g.region = codes.region"""
+
+ML17_DOUBLES = (SOCIAL_COLS + ENV_COLS + ["cases_7day_avg", "cases_trend", "cases_lag_1", "cases_lag_7", "cases_lag_14",
+                "cases_mean_7d", "cases_std_7d", "cases_mean_30d", "polarity_lag_1", "polarity_lag_3",
+                "temp_humidity_interaction", "sentiment_symptoms_interaction"])
+
+
+@register("ml17_daily_feature_pipeline", ML17_SQL, ML17_DOUBLES)
+def q_ml17(spark, sf):
+    return daily_feature_pipeline(proxy.surveillance(spark, sf), proxy.environment(spark, sf),
+                                  proxy.social_with_text(spark, sf))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,10 +53,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    This cuts the lineage like a reliable checkpoint (a lost executor re-reads the
+    files instead of replaying the plan) but computes the frame once, stores it
+    columnar and compressed, and later scans prune columns and push filters.
+    """
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/episcope-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
