@@ -1013,3 +1013,175 @@ ML17_DOUBLES = (SOCIAL_COLS + ENV_COLS + ["cases_7day_avg", "cases_trend", "case
 def q_ml17(spark, sf):
     return daily_feature_pipeline(proxy.surveillance(spark, sf), proxy.environment(spark, sf),
                                   proxy.social_with_text(spark, sf))
+
+
+# ----------------------------------------------------------------------------- 2.1 sources and sinks
+# Each query lands data Spark derives from the supplied tables in the shared
+# checkpoint folder, then reads it back with the library reader.
+
+import uuid  # noqa: E402
+
+from episcope.session import ensure_checkpoint_dir  # noqa: E402
+from episcope.sources import files as IO  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/episcope-io-{name}-{uuid.uuid4().hex}"
+
+
+@register("s1_read_social", f"""
+select cast(id as varchar) as id, platform, created_at, engagement_score, polarity,
+       case when symptoms is null then null else len(symptoms) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""",
+          ["engagement_score", "polarity"])
+def q_s1(spark, sf):
+    p = _scratch(spark, "social")
+    s = proxy.social_with_text(spark, sf).select(
+        F.col("id").cast("string").alias("id"), "platform", "text", "raw_text", "created_at", "engagement_score",
+        F.lit(None).cast("string").alias("author"), "polarity", "subjectivity", "symptoms")
+    IO.write_table(s, p)
+    r = IO.read_social(spark, p)
+    return r.select("id", "platform", "created_at", "engagement_score", "polarity",
+                    F.size("symptoms").alias("n_symptoms"))
+
+
+@register("s2_read_surveillance", f"""
+select disease, region, date, cases, deaths, outbreak, outbreak_threshold from ({SURV_L}) s""", ["outbreak_threshold"])
+def q_s2(spark, sf):
+    p = _scratch(spark, "surv")
+    s = _surv_l(spark, sf)
+    IO.write_table(s.select("disease", "cases", "deaths", "hospitalizations", "region", "date", "outbreak",
+                            "outbreak_threshold"), p)
+    return IO.read_surveillance(spark, p).select("disease", "region", "date", "cases", "deaths", "outbreak",
+                                                 "outbreak_threshold")
+
+
+@register("s3_read_environment", f"select date, temperature, humidity, precipitation, air_quality_index, "
+                                 f"cast(uv_index as double) as uv_index, 'Environmental_API' as source from ({Q.ENV}) e",
+          ENV_COLS + ["uv_index"])
+def q_s3(spark, sf):
+    root = _scratch(spark, "health")
+    env = FL.with_constant(proxy.environment(spark, sf), "source", "Environmental_API")
+    IO.combine_sources({"environmental_data": env}, root)
+    return IO.read_environment(spark, root)
+
+
+@register("s4_read_surveillance_json", f"""
+with s as (select disease, region, cases, cast(year(date) as integer) as year, cast(strftime(date, '%W') as integer) as week from ({Q.SURV}) v),
+j as (select *, make_date(year, 1, 1) as jan1 from s)
+select disease, region, cases, year, week,
+       cast(jan1 + cast((8 - isodow(jan1)) % 7 as integer) + 7 * (week - 1) as date) as date from j""")
+def q_s4(spark, sf):
+    root = _scratch(spark, "health")
+    s = proxy.surveillance(spark, sf).select(
+        "disease", "region", "cases", "deaths", "hospitalizations",
+        F.year("date").alias("year"), F.date_format("date", "w").alias("_iso"),
+        # week number with Monday as first day (weeks before the first Monday are week 0)
+        F.floor((F.dayofyear("date") + 6 - F.weekday("date")) / 7).cast("int").alias("week"))
+    IO.combine_sources({"surveillance_data": s.drop("_iso")}, root)
+    return IO.read_surveillance_json(spark, root).select("disease", "region", "cases", "year", "week", "date")
+
+
+@register("s5_flatten_indicators", """
+select 'LIFE_EXPECTANCY' as indicator, n.n_name as country, 2020 as year, cast(n.n_nationkey as double) as value,
+       cast(n.n_nationkey as varchar) as display_value, 'WHO' as source
+from nation n join region r on n.n_regionkey = r.r_regionkey""", ["value"])
+def q_s5(spark, sf):
+    n = proxy.table(spark, sf, "nation")
+    # one payload per region (the API pages by region): value = array of items
+    payload = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(
+        F.col("n_name").alias("SpatialDim"), F.lit(2020).alias("TimeDim"),
+        F.col("n_nationkey").cast("double").alias("NumericValue"),
+        F.col("n_nationkey").cast("string").alias("Value"))).alias("value"))
+    r = proxy.table(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"))
+    return landed.flatten_indicators(payload.join(r, "n_regionkey"), "LIFE_EXPECTANCY")
+
+
+OWID_SQL = """
+select n.n_name as location, cast(o.o_orderdate as date) as date, cast(count(*) as double) as new_cases,
+       cast(sum(case when o.o_orderstatus = 'F' then 1 else 0 end) as double) as new_deaths
+from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
+group by 1, 2"""
+
+
+@register("s6_read_covid", f"""
+select location, date, new_cases, new_deaths, 'OWID' as source from ({OWID_SQL}) x
+where location in ('NATION_1', 'NATION_7', 'NATION_12')""", ["new_cases", "new_deaths"])
+def q_s6(spark, sf):
+    p = _scratch(spark, "owid")
+    o = proxy.table(spark, sf, "orders")
+    c = proxy.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = J.bounded_broadcast(proxy.table(spark, sf, "nation").select("n_nationkey", "n_name"), 100_000)
+    d = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+         .groupBy(F.col("n_name").alias("location"), F.to_date("o_orderdate").alias("date"))
+         .agg(F.count(F.lit(1)).cast("double").alias("new_cases"),
+              F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("double").alias("new_deaths")))
+    IO.write_table(d, p)
+    return IO.read_covid(spark, p, ["NATION_1", "NATION_7", "NATION_12"])
+
+
+TWEET_AS_OF = "1995-01-03 12:00:00"
+
+
+@register("s7_normalize_tweets", f"""
+select cast(id as varchar) as id, text, created_at, retweet_count, like_count, author_id
+from ({Q.TWEETS}) t
+where created_at between timestamp '{TWEET_AS_OF}' - interval 1 day and timestamp '{TWEET_AS_OF}'
+order by created_at desc, cast(id as varchar) limit 100""")
+def q_s7(spark, sf):
+    t = landed.normalize_tweets(proxy.tweet_payloads(spark, sf), as_of=TWEET_AS_OF, days_back=1, max_results=100)
+    return t.select("id", "text", "created_at", "retweet_count", "like_count", "author_id")
+
+
+@register("s8_normalize_reddit", f"""
+select id, title, selftext as text, score, subreddit, coalesce(author, 'deleted') as author from (
+  select *, row_number() over (partition by subreddit order by created_utc desc, id) as rn_
+  from ({Q.REDDIT}) r
+  where coalesce(instr(lower(title), 'sch') > 0, false) or coalesce(instr(lower(selftext), 'sch') > 0, false)) x
+where rn_ <= 5""")
+def q_s8(spark, sf):
+    r = landed.normalize_reddit(proxy.reddit_payloads(spark, sf), keywords=["sch"], limit=5)
+    return r.select("id", "title", "text", "score", "subreddit", "author")
+
+
+@register("s9_write_table", f"select * from ({Q.SCORED}) s", ["score"])
+def q_s9(spark, sf):
+    p = _scratch(spark, "pred")
+    IO.write_table(proxy.scored(spark, sf), p)
+    sch = "doc_id long, label int, score double, prediction int"
+    return spark.read.schema(sch).option("header", True).csv(p)
+
+
+@register("s10_write_report", f"""
+select a.total_records, a.countries, a.total_outbreaks, a.outbreak_rate, a.start_date, a.end_date
+from ({f'''select count(*) as total_records, count(distinct region) as countries, min(date) as start_date,
+       max(date) as end_date, cast(sum(outbreak) as bigint) as total_outbreaks,
+       avg(cast(outbreak as double)) as outbreak_rate from ({SURV_L}) s'''}) a""", ["outbreak_rate"])
+def q_s10(spark, sf):
+    p = _scratch(spark, "report")
+    rep = A.report_dataset_summary(_surv_l(spark, sf))
+    IO.write_report(rep.select(F.struct(*rep.columns).alias("dataset_summary")), p)
+    sch = ("dataset_summary struct<total_records:long, countries:long, start_date:date, end_date:date, "
+           "span_years:double, total_outbreaks:long, outbreak_rate:double, countries_with_outbreaks:long>")
+    r = spark.read.schema(sch).json(p).select("dataset_summary.*")
+    return r.select("total_records", "countries", "total_outbreaks", "outbreak_rate", "start_date", "end_date")
+
+
+@register("s11_combine_sources", f"""
+select 'environmental_data' as source, count(*) as records from ({Q.ENV}) e
+union all select 'owid_data', least(count(*), 1000) from ({OWID_SQL}) o
+union all select 'surveillance_data', count(*) from ({Q.SURV}) s""")
+def q_s11(spark, sf):
+    root = _scratch(spark, "bundle")
+    o = proxy.table(spark, sf, "orders")
+    owid = (o.join(proxy.table(spark, sf, "customer"), o.o_custkey == F.col("c_custkey"))
+            .join(proxy.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .groupBy(F.col("n_name").alias("location"), F.to_date("o_orderdate").alias("date"))
+            .agg(F.count(F.lit(1)).cast("double").alias("new_cases")))
+    paths = IO.combine_sources({"environmental_data": proxy.environment(spark, sf), "owid_data": owid,
+                                "surveillance_data": proxy.surveillance(spark, sf)}, root,
+                               caps={"owid_data": 1000}, order={"owid_data": ["location", "date"]})
+    out = None
+    for key, p in paths.items():
+        part = spark.read.json(p).agg(F.count(F.lit(1)).alias("records")).select(F.lit(key).alias("source"), "records")
+        out = part if out is None else out.unionByName(part)
+    return out
