@@ -1185,3 +1185,17 @@ def q_s11(spark, sf):
         part = spark.read.json(p).agg(F.count(F.lit(1)).alias("records")).select(F.lit(key).alias("source"), "records")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ----------------------------------------------------------------------------- streaming roll-up
+
+from episcope.streaming import posts as STREAM  # noqa: E402
+
+
+@register("stream_daily_social_agg", SOCIAL_DAILY_PLAIN, SOCIAL_COLS)
+def q_stream(spark, sf):
+    src = _scratch(spark, "posts-landing")
+    posts = proxy.social(spark, sf).select(*[F.col(f.name).cast(f.dataType) for f in STREAM.POST_SCHEMA.fields])
+    posts.write.mode("overwrite").parquet(src)  # the landed post files
+    out = STREAM.run_daily_social(spark, src)
+    return STREAM.latest_daily_rows(spark, out)
