@@ -930,7 +930,7 @@ def _training_data(spark, sf):
 
 def _single(spark, sf, spec):
     data, cols = _training_data(spark, sf)
-    r, _model, _preds = ML.train_one(spec, data, cols)
+    r, _model, _preds = ML.train_one(spec, data, cols, cv_folds=0)
     return spark.createDataFrame([r], ML.PERF_SCHEMA)
 
 
@@ -941,7 +941,8 @@ def q_ml6(spark, sf):
 
 @register("ml7_train_boosted")
 def q_ml7(spark, sf):
-    return _single(spark, sf, ML.ANALYSIS_MODELS[0])
+    # the trainer's boosted configuration; the 300 x depth-8 analysis one is ML.ANALYSIS_MODELS[0]
+    return _single(spark, sf, ML.TRAINER_MODELS[1])
 
 
 @register("ml8_train_logistic")
@@ -1199,3 +1200,106 @@ def q_stream(spark, sf):
     posts.write.mode("overwrite").parquet(src)  # the landed post files
     out = STREAM.run_daily_social(spark, src)
     return STREAM.latest_daily_rows(spark, out)
+
+
+def _trainer_run(spark, sf, specs=None, cv_folds=0):
+    data, cols = _training_data(spark, sf)
+    perf, fitted = ML.train_all(spark, data, cols, specs or ML.TRAINER_MODELS, cv_folds=cv_folds)
+    return data, cols, perf, fitted
+
+
+@register("ml14_train_all")
+def q_ml14(spark, sf):
+    return _trainer_run(spark, sf)[2]
+
+
+@register("e12_model_comparison")
+def q_e12(spark, sf):
+    perf = _trainer_run(spark, sf)[2]
+    return perf.select("model", "cv_auc_mean", F.col("auc").alias("test_auc"), "accuracy").orderBy(F.col("test_auc").desc())
+
+
+@register("t6_best_model")
+def q_t6(spark, sf):
+    return T.best_model(_trainer_run(spark, sf, ML.TRAINER_MODELS[:1] + ML.TRAINER_MODELS[2:3])[2], "auc")
+
+
+def _rf_importance(spark, sf):
+    data, cols = _training_data(spark, sf)
+    _r, model, _p = ML.train_one(ML.TRAINER_MODELS[0], data, cols, cv_folds=0)
+    return ML.feature_importance(spark, model, cols)
+
+
+@register("ml15_feature_importance")
+def q_ml15(spark, sf):
+    return _rf_importance(spark, sf)
+
+
+@register("t5_top_features")
+def q_t5(spark, sf):
+    return T.top_features(_rf_importance(spark, sf), 15)
+
+
+@register("e13_predictions_table")
+def q_e13(spark, sf):
+    data, cols = _training_data(spark, sf)
+    _r, _model, preds = ML.train_one(ML.ANALYSIS_MODELS[2], data, cols, cv_folds=0)
+    return preds.select("actual", "predicted", "probability")
+
+
+def _saved_and_loaded(spark, sf):
+    data, cols = _training_data(spark, sf)
+    spec = ML.ANALYSIS_MODELS[2]
+    train = data.where(~F.col("is_test"))
+    model = ML.build_pipeline(spec, cols, train.agg(F.sum("weight")).first()[0]).fit(train)
+    path = _scratch(spark, "pipeline")
+    ML.save_pipeline(model, path)
+    return data.where(F.col("is_test")), model, ML.load_pipeline(path)
+
+
+@register("ml13_predict_outbreak")
+def q_ml13(spark, sf):
+    test, _model, loaded = _saved_and_loaded(spark, sf)
+    return ML.score(loaded, test)
+
+
+@register("s12_save_load_pipeline")
+def q_s12(spark, sf):
+    test, model, loaded = _saved_and_loaded(spark, sf)
+    a = ML.score(model, test).select(*ML_KEYS, F.col("probability").alias("p_fit"))
+    b = ML.score(loaded, test).select(*ML_KEYS, F.col("probability").alias("p_loaded"))
+    j = a.join(b, list(ML_KEYS))
+    return j.agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum(F.when(F.col("p_fit") != F.col("p_loaded"), 1).otherwise(0)).alias("mismatches"))
+
+
+@register("ml5_select_k_best")
+def q_ml5(spark, sf):
+    data, cols = _training_data(spark, sf)
+    spec = ML.ModelSpec("logistic_selected", "lr", {"C": 1.0, "maxIter": 1000}, scaled=True, select_k=20)
+    train = data.where(~F.col("is_test"))
+    model = ML.build_pipeline(spec, cols, train.count()).fit(train)
+    sel = [s for s in model.stages if hasattr(s, "selectedFeatures")][0]
+    chosen = [(cols[i], i) for i in sel.selectedFeatures]
+    return spark.createDataFrame(chosen, "feature string, position int")
+
+
+@register("ml11_cross_validate")
+def q_ml11(spark, sf):
+    data, cols = _training_data(spark, sf)
+    train = data.where(~F.col("is_test"))
+    spec = ML.ANALYSIS_MODELS[2]
+    _maps, mean, std, _m = ML.cross_validate(spec, train, cols, folds=3, rows=5000)
+    return spark.createDataFrame([(spec.name, float(mean[0]), float(std[0]))],
+                                 "model string, cv_auc_mean double, cv_auc_std double")
+
+
+@register("ml12_grid_search")
+def q_ml12(spark, sf):
+    data, cols = _training_data(spark, sf)
+    train = data.where(~F.col("is_test"))
+    grid = {"numTrees": [20, 50], "maxDepth": [5, 10]}
+    maps, mean, std, _m = ML.cross_validate(ML.TRAINER_MODELS[0], train, cols, folds=3, rows=5000, grid=grid)
+    rows = [(int(m[[p for p in m if p.name == "numTrees"][0]]), int(m[[p for p in m if p.name == "maxDepth"][0]]),
+             float(a), float(b)) for m, a, b in zip(maps, mean, std)]
+    return spark.createDataFrame(rows, "num_trees int, max_depth int, cv_auc_mean double, cv_auc_std double")
