@@ -9,6 +9,8 @@ shuffle, whole texts.  A lexicon given as a DataFrame is joined instead
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +44,25 @@ def _mean_of(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, total / F.size(arr)).otherwise(F.lit(0.0))
 
 
+def known_words(text, words) -> Column:
+    """Lexicon words occurring as whole tokens, in text order (one regex pass).
+
+    A word matches only between non-word characters (or the text ends), exactly
+    the tokens a split on non-word runs would produce; only these few matches reach
+    the per-word lookups.
+    """
+    col = F.col(text) if isinstance(text, str) else text
+    alt = "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True))
+    pattern = f"(?<!{WORD_CLASS})({alt})(?!{WORD_CLASS})"
+    return F.regexp_extract_all(F.lower(col), F.lit(pattern), 1)
+
+
 def sentiment_columns(text, lexicon: dict | None = None) -> tuple[Column, Column]:
     """(polarity, subjectivity) expressions for a text column using an inlined lexicon."""
     lex = lexicon or LEXICON
     pol = F.create_map(*[x for k, v in lex.items() for x in (F.lit(k), F.lit(float(v[0])))])
     sub = F.create_map(*[x for k, v in lex.items() for x in (F.lit(k), F.lit(float(v[1])))])
-    toks = tokens(text)
-    known = F.filter(toks, lambda t: F.map_contains_key(pol, t))
+    known = known_words(text, list(lex))
     p = _mean_of(F.transform(known, lambda t: F.element_at(pol, t)))
     s = _mean_of(F.transform(known, lambda t: F.element_at(sub, t)))
     return (F.when(F.col(text).isNull() if isinstance(text, str) else text.isNull(), F.lit(0.0)).otherwise(p),
