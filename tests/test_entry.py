@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-SLOW = {n for n in entry.queries() if n.startswith(("ml6", "ml7", "ml8", "ml9", "ml11", "ml12", "ml13",
+SLOW = {n for n in entry.queries() if n.startswith(("ml5", "ml6", "ml7", "ml8", "ml9", "ml11", "ml12", "ml13",
                                                      "ml14", "ml15", "e12", "e13", "t5", "t6", "s12"))}
 
 
