@@ -112,13 +112,13 @@ def exploded_counts(df: DataFrame, list_col: str, name: str = "symptom") -> Data
 
 
 def _with_min_max(df: DataFrame, col: str) -> DataFrame:
-    """Attach the global min/max of ``col`` to every row.
+    """Attach the global min/max of ``col`` to every row as literals.
 
-    The min/max table is a one-row aggregate (a proven bound), broadcast and
-    joined on a constant key, so the big side is not shuffled.
+    The one-row aggregate (two numbers) is fetched first; the main pass is then
+    purely map-side, with no join at all.
     """
-    mm = df.agg(F.min(_dbl(col)).alias("_lo"), F.max(_dbl(col)).alias("_hi")).withColumn("_k", F.lit(1))
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(mm), "_k").drop("_k")
+    lo, hi = df.agg(F.min(_dbl(col)), F.max(_dbl(col))).first()
+    return df.withColumn("_lo", F.lit(lo).cast("double")).withColumn("_hi", F.lit(hi).cast("double"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20, by: str | None = None) -> DataFrame:

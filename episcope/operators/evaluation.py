@@ -133,11 +133,10 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
     """
     d = score_table(df, label, score).withColumn("_neg_score", -F.col("score"))
     cum = running_totals(d, ["_neg_score"], ["pos", "neg"])
-    tot = d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("_k", F.lit(1))
-    x = cum.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k")  # one-row table
-    return x.select(F.col("score").alias("threshold"),
-                    F.try_divide(F.col("neg_cum").cast("double"), F.col("N")).alias("fpr"),
-                    F.try_divide(F.col("pos_cum").cast("double"), F.col("P")).alias("tpr"))
+    p_tot, n_tot = d.agg(F.sum("pos"), F.sum("neg")).first()  # one row: two numbers
+    return cum.select(F.col("score").alias("threshold"),
+                      F.try_divide(F.col("neg_cum").cast("double"), F.lit(n_tot).cast("long")).alias("fpr"),
+                      F.try_divide(F.col("pos_cum").cast("double"), F.lit(p_tot).cast("long")).alias("tpr"))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -180,9 +179,9 @@ def trend_verdict(yearly: DataFrame, year: str = "year", rate: str = "mean", las
 def coverage_projection(surv: DataFrame, social: DataFrame, region: str = "region",
                         countries: int = GLOBAL_COUNTRIES) -> DataFrame:
     """Regions covered, records per region, posts, projected records for all countries."""
-    s = surv.agg(F.count_distinct(region).alias("countries_covered"), F.count(F.lit(1)).alias("records"))
-    p = social.agg(F.count(F.lit(1)).alias("social_posts"))
-    x = s.withColumn("_k", F.lit(1)).join(F.broadcast(p.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    posts = social.agg(F.count(F.lit(1))).first()[0]  # one number
+    x = surv.agg(F.count_distinct(region).alias("countries_covered"), F.count(F.lit(1)).alias("records")) \
+        .withColumn("social_posts", F.lit(posts).cast("long"))
     rpc = F.try_divide(F.col("records").cast("double"), F.col("countries_covered"))
     return x.select("countries_covered", "records", rpc.alias("records_per_country"), "social_posts",
                     (rpc * countries).alias("global_projection"))
@@ -194,7 +193,7 @@ def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -
     The class-count table has one row per class (bounded), so it is broadcast.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.withColumn("_j", F.lit(1)).join(tot.withColumn("_j", F.lit(1)), "_j") \
-        .select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
+    n = F.sum("_nc").over(Window.partitionBy())  # over the class table: one row per class
+    k = F.count(F.lit(1)).over(Window.partitionBy())
+    w = counts.select(label, (n / (k * F.col("_nc"))).alias(out))
     return df.join(F.broadcast(w), [label], "left")

@@ -43,12 +43,10 @@ def stratified_sample(df: DataFrame, label: str, id_col: str, n: int, seed: int
     """``n`` rows keeping the share of class 1: ``int(n * ratio)`` of it, the rest from class 0."""
     x = df.withColumn("_key", seeded_key(id_col, seed))
     x = series_ordinal(x, [label], ["_key", id_col])
-    sizes = df.agg(F.count(F.lit(1)).alias("_n"),
-                   F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("_n1")).withColumn("_j", F.lit(1))
-    x = x.withColumn("_j", F.lit(1)).join(F.broadcast(sizes), "_j")  # one row
-    take1 = F.floor(F.lit(n) * F.col("_n1") / F.col("_n"))
-    quota = F.when(F.col(label) == 1, take1).otherwise(F.lit(n) - take1)
-    return x.where(F.col(RN) <= quota).drop("_key", RN, "_j", "_n", "_n1")
+    total, n1 = df.agg(F.count(F.lit(1)), F.sum(F.when(F.col(label) == 1, 1).otherwise(0))).first()
+    take1 = (n * (n1 or 0)) // total if total else 0
+    quota = F.when(F.col(label) == 1, F.lit(take1)).otherwise(F.lit(n - take1))
+    return x.where(F.col(RN) <= quota).drop("_key", RN)
 
 
 def cv_subsample(df: DataFrame, id_col: str, n: int = 5000, seed: int = 42) -> DataFrame:

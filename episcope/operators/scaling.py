@@ -19,13 +19,13 @@ def standard_scale(df: DataFrame, cols, fitted: DataFrame | None = None, suffix:
     """z = (x - mean) / population std; a constant column scales to 0.
 
     ``fitted`` (from :func:`fit_standard_scaler`, e.g. on the training split) is a
-    one-row table, broadcast and joined on a constant key.
+    one-row table; its numbers are inlined as literals (no join).
     """
     cols = list(cols)
-    st = fitted if fitted is not None else fit_standard_scaler(df, cols)
-    x = df.withColumn("_k", F.lit(1)).join(F.broadcast(st.withColumn("_k", F.lit(1))), "_k")
-    repl = {c + suffix: F.coalesce(F.try_divide(F.col(c).cast("double") - F.col(f"_mu_{c}"),
-                                                F.when(F.col(f"_sd_{c}") > 0, F.col(f"_sd_{c}"))),
-                                   F.when(F.col(c).isNotNull(), F.lit(0.0)))
-            for c in cols}
-    return x.withColumns(repl).drop("_k", *[c for c in st.columns])
+    st = (fitted if fitted is not None else fit_standard_scaler(df, cols)).first().asDict()  # one row
+    repl = {}
+    for c in cols:
+        mu, sd = st[f"_mu_{c}"], st[f"_sd_{c}"]
+        z = (F.col(c).cast("double") - F.lit(mu)) / F.lit(sd) if sd else F.lit(0.0)
+        repl[c + suffix] = F.when(F.col(c).isNotNull(), z)
+    return df.withColumns(repl)

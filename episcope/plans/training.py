@@ -148,8 +148,8 @@ def train_one(spec: ModelSpec, data: DataFrame, feature_cols, cv_folds: int = 3,
     t0 = time.time()
     model = build_pipeline(spec, feature_cols, wsum).fit(train)
     preds = score(model, test)
-    m = E.roc_auc(preds, "actual", "probability").crossJoin(
-        E.accuracy(preds, "actual", "predicted")).first()
+    m = {"auc": E.roc_auc(preds, "actual", "probability").first()["auc"],
+         "accuracy": E.accuracy(preds, "actual", "predicted").first()["accuracy"]}
     elapsed = time.time() - t0
     _, cv_mean, cv_std, _ = cross_validate(spec, train, feature_cols, cv_folds, cv_rows) if cv_folds else ([], [None], [None], None)
     f = lambda v: None if v is None else float(v)

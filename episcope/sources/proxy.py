@@ -75,7 +75,9 @@ def social(spark: SparkSession, sf_dir: str) -> DataFrame:
 def social_with_text(spark: SparkSession, sf_dir: str, keywords=None) -> DataFrame:
     """``social`` plus ``raw_text``, cleaned ``text`` and ``symptoms`` from the document
     whose id equals the event id (posts without a document have NULL text)."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("raw_text"))
+    # Text tables are never broadcast: the shuffle join also spreads the text work
+    # (cleaning, keyword search) over the shuffle partitions.
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("raw_text")).hint("merge")
     s = social(spark, sf_dir)
     j = s.join(d, s.id == d.doc_id, "left").drop("doc_id")
     return (j.withColumn("text", clean_text("raw_text"))
@@ -99,7 +101,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tweet_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed-tweet shape: each document is a tweet, enriched by the event with its id."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text").hint("merge")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     j = d.join(e, d.doc_id == e.event_id)
     return j.select(F.col("doc_id").alias("id"), "text",
@@ -113,7 +115,7 @@ def tweet_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reddit_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed-reddit shape: each conversation turn is a post, enriched by the event
     with the conversation's id (its type is the subreddit)."""
-    c = table(spark, sf_dir, "conversations")
+    c = table(spark, sf_dir, "conversations").hint("merge")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "event_type")
     j = c.join(e, c.conv_id == e.event_id)
     shifted = (F.col("ts") - F.expr(f"INTERVAL {SOCIAL_SHIFT_DAYS} DAYS")).cast("timestamp")
