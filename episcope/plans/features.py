@@ -27,7 +27,7 @@ from episcope.operators.joins import left_join
 from episcope.operators.ordering import _names
 from episcope.session import cut_lineage
 from episcope.operators.windows import (
-    diff, encode_rank, forward_fill, label_outbreaks, lag, resample_daily_interpolate,
+    centered_mean, diff, encode_rank, forward_fill, label_outbreaks, lag, resample_daily_interpolate,
     rolling_mean, rolling_std, series_window,
 )
 
@@ -113,9 +113,13 @@ def daily_feature_pipeline(surv: DataFrame, env: DataFrame, social: DataFrame, *
     m = cut_lineage(left_join(left_join(daily, social_daily, "date"), env, "date"))
     fill_cols = [c for c in m.columns if c not in set(ffill_order)]
     m = cut_lineage(forward_fill(m, fill_cols, ffill_order, fill_value=0))
-    m = cut_lineage(label_outbreaks(m, "disease", "cases", pct, order=order, split_hot=split_hot))
+    # percentile label, then ONE skew-safe window pass for the centred mean, its
+    # trend and every lag / rolling feature (same series, same order)
+    m = label_outbreaks(m, "disease", "cases", pct, order=order, with_trend=False)
     m = calendar_features(m, "date")
-    m = series_window(m, series, order, daily_lag_specs("polarity_mean" in m.columns), split_hot=split_hot)
+    specs = [centered_mean("cases_7day_avg", "cases", 7), diff("cases_trend", "cases_7day_avg")]
+    specs += daily_lag_specs("polarity_mean" in m.columns)
+    m = series_window(m, series, order, specs, split_hot=split_hot)
     m = interaction_features(m, symptoms_col="total_symptom_mentions", squared=False)
     for c, t in m.dtypes:
         if t == "string" and c not in DAILY_FEATURE_EXCLUDE and c not in keys:
