@@ -209,7 +209,7 @@ def q_a9(spark, sf):
 
 
 @register("a10_outbreak_weeks_by_disease",
-          f"select disease, sum(outbreak) as outbreak_sum from ({SURV_L}) s group by disease")
+          f"select disease, cast(sum(outbreak) as bigint) as outbreak_sum from ({SURV_L}) s group by disease")
 def q_a10(spark, sf):
     return A.sum_by(_surv_l(spark, sf), "disease", "outbreak").withColumn("outbreak_sum", F.col("outbreak_sum").cast("long"))
 
@@ -678,7 +678,7 @@ def q_x4(spark, sf):
 
 
 @register("x5_parse_symptom_list", f"""
-select id, case when symptoms is null then null else len(symptoms) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""")
+select id, case when symptoms is null then null else cast(len(symptoms) as integer) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""")
 def q_x5(spark, sf):
     s = proxy.social_with_text(spark, sf)
     lit_text = F.when(F.col("symptoms").isNotNull(), F.concat(
@@ -1032,7 +1032,7 @@ def _scratch(spark, name):
 
 @register("s1_read_social", f"""
 select cast(id as varchar) as id, platform, created_at, engagement_score, polarity,
-       case when symptoms is null then null else len(symptoms) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""",
+       case when symptoms is null then null else cast(len(symptoms) as integer) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""",
           ["engagement_score", "polarity"])
 def q_s1(spark, sf):
     p = _scratch(spark, "social")
