@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from episcope.operators.joins import bounded_broadcast
 from episcope.operators.ordering import (
     BUCKET, HALO, RB, RN, _names, halo_buckets, range_bucket, series_ordinal,
 )
@@ -180,7 +181,9 @@ def label_outbreaks(df: DataFrame, group: str = "disease", col: str = "cases",
                     split_hot: bool = True) -> DataFrame:
     """``outbreak = cases > per-group percentile`` (strict) plus optional 7-row centred
     mean ``cases_7day_avg`` and its first difference ``cases_trend``."""
-    th = percentile_threshold(df, group, col, pct)
+    # one row per group: materialised, size-checked and broadcast, so a hot group
+    # never meets a sort-merge join on its key
+    th = bounded_broadcast(percentile_threshold(df, group, col, pct), materialize=True)
     out = df.join(th, [group], "left").withColumn(
         "outbreak", (F.col(col) > F.col("outbreak_threshold")).cast("int"))
     if with_trend:
@@ -216,13 +219,13 @@ def encode_rank(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Label code = 0-based rank of the value among the sorted distinct values.
 
     The distinct-value table is small by nature (a category list); it is built
-    with a map-side ``distinct`` and joined back, AQE broadcasting it after
-    measuring it.  NULL keeps NULL.
+    with a map-side ``distinct``, materialised, size-checked and broadcast (a hot
+    category never meets a sort-merge join).  NULL keeps NULL.
     """
     out = out or f"{col}_encoded"
     codes = (df.select(col).where(F.col(col).isNotNull()).distinct()
              .withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int")))
-    return df.join(codes, [col], "left")
+    return df.join(bounded_broadcast(codes, materialize=True), [col], "left")
 
 
 def every_nth(df: DataFrame, order, n: int = 7, split_hot: bool = True) -> DataFrame:
