@@ -27,11 +27,20 @@ POST_SCHEMA = T.StructType([
 
 def daily_social_stream(spark: SparkSession, source_dir: str, schema: T.StructType = POST_SCHEMA,
                         fmt: str = "parquet", watermark: str = "2 days", max_files: int = 1000) -> DataFrame:
-    """Streaming per-day aggregates (same columns as the batch roll-up, unrounded)."""
-    s = (spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(source_dir)
-         .withColumn("created_at", F.col("created_at").cast("timestamp")))
-    return (s.withWatermark("created_at", watermark)
-            .groupBy(F.window("created_at", "1 day").alias("w"))
+    """Streaming per-day aggregates (same columns as the batch roll-up, unrounded).
+
+    ``created_at`` is a wall-clock time (TIMESTAMP_NTZ).  The event time used for the
+    watermark and the day windows is that wall clock read as UTC, built from its
+    date and time-of-day parts, so days are calendar days whatever the session
+    time zone.
+    """
+    s = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(source_dir)
+    ts = F.col("created_at")
+    secs = (F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+            + F.second(ts))
+    s = s.withColumn("event_time", F.timestamp_seconds(secs))
+    return (s.withWatermark("event_time", watermark)
+            .groupBy(F.window("event_time", "1 day").alias("w"))
             .agg(F.avg("polarity").alias("polarity_mean"), F.stddev_samp("polarity").alias("polarity_std"),
                  F.min("polarity").alias("polarity_min"), F.max("polarity").alias("polarity_max"),
                  F.avg("subjectivity").alias("subjectivity_mean"),
@@ -63,7 +72,7 @@ def latest_daily_rows(spark: SparkSession, out_dir: str, digits: int = 4) -> Dat
     """Current table: the newest version of each day, rounded like the batch roll-up."""
     x = spark.read.parquet(out_dir)
     vals = [c for c in x.columns if c not in ("w", "batch_id")]
-    latest = x.groupBy(F.col("w.start").alias("start")).agg(
-        F.max_by(F.struct(*vals), F.col("batch_id")).alias("v"))
-    out = latest.select(F.to_date("start").alias("date"), "v.*")
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
+    latest = x.groupBy(day.alias("date")).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("v"))
+    out = latest.select("date", "v.*")
     return out.withColumns({c: round_half_up(c, digits) for c in vals if c != "id_count"})
