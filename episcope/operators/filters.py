@@ -39,7 +39,7 @@ def filter_min_support(df: DataFrame, count_col: str = "count", min_count: int =
     return df.filter(F.col(count_col) >= min_count)
 
 
-def select_features(df: DataFrame, exclude=None, keep=None) -> list[str]:
+def select_features(df: DataFrame, exclude=None) -> list[str]:
     """All column names except the exclusion list (order kept)."""
     ex = set(FEATURE_EXCLUDE if exclude is None else exclude)
     return [c for c in df.columns if c not in ex]

@@ -228,7 +228,7 @@ def encode_rank(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     return df.join(bounded_broadcast(codes, materialize=True), [col], "left")
 
 
-def every_nth(df: DataFrame, order, n: int = 7, split_hot: bool = True) -> DataFrame:
+def every_nth(df: DataFrame, order, n: int = 7) -> DataFrame:
     """Rows 1, 1+n, 1+2n, ... of a total order (``iloc[::n]``)."""
     x = series_ordinal(df, [], order)
     return x.filter(F.pmod(F.col(RN) - 1, F.lit(n)) == 0).drop(RN)

@@ -108,7 +108,7 @@ def q_flagship(spark, sf):
 # ----------------------------------------------------------------------------- shared pieces
 
 from episcope.functions import calendar as cal  # noqa: E402
-from episcope.functions.text import clean_text, contains_any, extract_keywords  # noqa: E402
+from episcope.functions.text import clean_text, extract_keywords  # noqa: E402
 from episcope.operators import aggregates as A  # noqa: E402
 from episcope.operators import filters as FL  # noqa: E402
 from episcope.operators import joins as J  # noqa: E402
@@ -1088,7 +1088,8 @@ select 'LIFE_EXPECTANCY' as indicator, n.n_name as country, 2020 as year, cast(n
 from nation n join region r on n.n_regionkey = r.r_regionkey""", ["value"])
 def q_s5(spark, sf):
     n = proxy.table(spark, sf, "nation")
-    # one payload per region (the API pages by region): value = array of items
+    # one payload per region (the API pages by region): value = array of items.  The
+    # nation dimension is a fixed-size table, so each payload array is bounded.
     payload = n.groupBy("n_regionkey").agg(F.collect_list(F.struct(
         F.col("n_name").alias("SpatialDim"), F.lit(2020).alias("TimeDim"),
         F.col("n_nationkey").cast("double").alias("NumericValue"),
