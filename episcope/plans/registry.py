@@ -922,10 +922,24 @@ from episcope.plans import training as ML  # noqa: E402
 ML_KEYS = ("disease", "region", "date")
 
 
+_TRAINING_TABLES: dict = {}
+
+
 def _training_data(spark, sf):
-    feats = q_flagship(spark, sf)
-    cols = [c for c in feats.columns if c not in (*ML_KEYS, "outbreak")]
-    return ML.prepare_training_frame(feats, "outbreak", ML_KEYS), cols
+    """Feature matrix + split + weights, materialised once per application and scale.
+
+    The table lives in the shared checkpoint folder (a written table, like a
+    feature store); every ML query of the session re-reads it instead of
+    rebuilding the feature pipeline.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINING_TABLES:
+        feats = q_flagship(spark, sf)
+        cols = [c for c in feats.columns if c not in (*ML_KEYS, "outbreak")]
+        data = ML.prepare_training_frame(feats, "outbreak", ML_KEYS)
+        _TRAINING_TABLES[key] = (data.inputFiles(), data.schema, cols)
+    files, schema, cols = _TRAINING_TABLES[key]
+    return spark.read.schema(schema).parquet(*files), cols
 
 
 def _single(spark, sf, spec):
