@@ -1 +1 @@
-"""Composed pipelines: feature matrices, reports, MLlib training."""
+"""Composed plans: feature matrices, reports, MLlib training."""

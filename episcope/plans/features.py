@@ -1,10 +1,10 @@
-"""Feature pipelines (the flagship).
+"""Feature plans (the flagship).
 
 ``prepare_ml_features``  weekly surveillance + daily environment + posts
     -> daily social roll-up -> calendar parts -> left joins on date -> forward
     fill -> per-disease lags / rolling stats -> interactions -> encodings ->
     feature matrix.
-``daily_feature_pipeline``  the daily variant: weekly counts interpolated to
+``daily_features``  the daily variant: weekly counts interpolated to
     days, percentile outbreak labels, 1/7/14-day lags and 7/30-day windows.
 
 Plan shape at scale: the post roll-up and environment are map-side partial
@@ -98,7 +98,7 @@ def daily_lag_specs(has_social: bool):
     return specs
 
 
-def daily_feature_pipeline(surv: DataFrame, env: DataFrame, social: DataFrame, *,
+def daily_features(surv: DataFrame, env: DataFrame, social: DataFrame, *,
                            interp_series=("disease", "region"), value_cols=("cases", "deaths", "hospitalizations"),
                            series=("disease",), order=("date", "region"),
                            ffill_order=("date", "disease", "region"), pct: float = 85.0,

@@ -971,7 +971,7 @@ def q_ml9(spark, sf):
 
 # ----------------------------------------------------------------------------- ML17 daily pipeline
 
-from episcope.plans.features import daily_feature_pipeline  # noqa: E402
+from episcope.plans.features import daily_features  # noqa: E402
 
 DW = "partition by disease order by date, region"
 SC_SQL = f"""select cast(created_at as date) as date,
@@ -1024,9 +1024,9 @@ ML17_DOUBLES = (SOCIAL_COLS + ENV_COLS + ["cases_7day_avg", "cases_trend", "case
                 "temp_humidity_interaction", "sentiment_symptoms_interaction"])
 
 
-@register("ml17_daily_feature_pipeline", ML17_SQL, ML17_DOUBLES)
+@register("ml17_daily_features", ML17_SQL, ML17_DOUBLES)
 def q_ml17(spark, sf):
-    return daily_feature_pipeline(proxy.surveillance(spark, sf), proxy.environment(spark, sf),
+    return daily_features(proxy.surveillance(spark, sf), proxy.environment(spark, sf),
                                   proxy.social_with_text(spark, sf))
 
 
@@ -1278,7 +1278,7 @@ def q_ml13(spark, sf):
     return ML.score(loaded, test)
 
 
-@register("s12_save_load_pipeline")
+@register("s12_save_load_model")
 def q_s12(spark, sf):
     test, model, loaded = _saved_and_loaded(spark, sf)
     a = ML.score(model, test).select(*ML_KEYS, F.col("probability").alias("p_fit"))
