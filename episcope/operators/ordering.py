@@ -30,6 +30,8 @@ from episcope.session import default_parallelism
 RN, BUCKET, HALO, RB = "_rn", "_bkt", "_halo", "_rb"
 MAX_BUCKETS = 1024        # literal boundaries inlined in one expression
 SAMPLES_PER_BUCKET = 32
+MIN_SAMPLE = 50_000       # a sample this large also tells whether the input is small
+MIN_BUCKET_ROWS = 20_000  # small inputs are not cut finer than this
 
 
 def _names(cols) -> list:
@@ -45,11 +47,16 @@ def _sort_key(row):
     return tuple((v is not None, v) for v in row)
 
 
-def sample_bounds(df: DataFrame, keys: list[str], buckets: int, seed: int = 42) -> list[tuple]:
-    """``buckets - 1`` ascending boundary tuples of ``keys`` from a bounded random sample."""
-    k = min(buckets * SAMPLES_PER_BUCKET, 100_000)
+def sample_bounds(df: DataFrame, keys: list[str], buckets: int, seed: int = 42,
+                  adaptive: bool = False) -> list[tuple]:
+    """Ascending boundary tuples of ``keys`` (at most ``buckets - 1``) from a bounded
+    random sample.  With ``adaptive`` an input smaller than the sample (its exact
+    size is then known) gets one bucket per ``MIN_BUCKET_ROWS`` rows instead."""
+    k = min(max(buckets * SAMPLES_PER_BUCKET, MIN_SAMPLE if adaptive else 0), 100_000)
     rows = df.select(*keys).orderBy(F.rand(seed)).limit(k).collect()  # at most k rows
     rows = sorted((tuple(r) for r in rows), key=_sort_key)
+    if adaptive and len(rows) < k:
+        buckets = min(buckets, max(1, -(-len(rows) // MIN_BUCKET_ROWS)))
     if not rows or buckets <= 1:
         return []
     out = []
@@ -64,10 +71,12 @@ def range_bucket(df: DataFrame, keys, buckets: int | None = None, seed: int = 42
     """Column with the 0-based range bucket of ``struct(keys)`` (binary search on literals).
 
     Rows in bucket b sort before rows in bucket b+1; equal keys share a bucket.
+    Without an explicit ``buckets`` the count follows the session parallelism, and
+    inputs known to be small get fewer buckets.
     """
     keys = _names(keys)
     n = min(buckets or default_parallelism(df.sparkSession), MAX_BUCKETS)
-    bounds = sample_bounds(df, keys, n, seed)
+    bounds = sample_bounds(df, keys, n, seed, adaptive=buckets is None)
     types = dict(df.select(*keys).dtypes)
     key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
     lits = [F.struct(*[F.lit(v).cast(types[k]).alias(f"k{i}") for i, (k, v) in enumerate(zip(keys, b))])
