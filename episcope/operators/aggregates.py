@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episcope.functions.numeric import round_half_up
+from episcope.session import cut_lineage
 from episcope.operators.ordering import _names
 
 
@@ -163,18 +164,30 @@ def pearson(a: str, b: str) -> Column:
     return F.when(~const, F.try_divide(cov, den))
 
 
-def correlation_matrix(df: DataFrame, cols) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols, chunk: int = 24) -> DataFrame:
     """Pairwise Pearson correlations (upper triangle, i<j) as rows (i, j, a, b, r).
 
-    One ``agg`` computes all pairs in a single pass with partial aggregation.
+    Each ``agg`` computes up to ``chunk`` pairs in one pass with partial
+    aggregation.  Wider inputs are first written once (only the needed columns)
+    and then scanned once per chunk, which keeps every generated aggregate small.
     """
     cols = list(cols)
     pairs = list(combinations(range(len(cols)), 2))
-    row = df.agg(*[pearson(cols[i], cols[j]).alias(f"_r{i}_{j}") for i, j in pairs])
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("a"),
-                 F.lit(cols[j]).alias("b"), F.col(f"_r{i}_{j}").alias("r")) for i, j in pairs]))
-    return row.select(stacked.alias("p")).select("p.*")
+    src = df.select(*cols)
+    if len(pairs) > chunk:
+        src = cut_lineage(src, "corr")
+    parts = []
+    for start in range(0, len(pairs), chunk):
+        block = pairs[start:start + chunk]
+        row = src.agg(*[pearson(cols[i], cols[j]).alias(f"_r{i}_{j}") for i, j in block])
+        stacked = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("a"),
+                     F.lit(cols[j]).alias("b"), F.col(f"_r{i}_{j}").alias("r")) for i, j in block]))
+        parts.append(row.select(stacked.alias("p")).select("p.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def high_correlation_pairs(df: DataFrame, cols, threshold: float = 0.7, top: int = 5) -> DataFrame:

@@ -50,13 +50,18 @@ def _sort_key(row):
 def sample_bounds(df: DataFrame, keys: list[str], buckets: int, seed: int = 42,
                   adaptive: bool = False) -> list[tuple]:
     """Ascending boundary tuples of ``keys`` (at most ``buckets - 1``) from a bounded
-    random sample.  With ``adaptive`` an input smaller than the sample (its exact
-    size is then known) gets one bucket per ``MIN_BUCKET_ROWS`` rows instead."""
-    k = min(max(buckets * SAMPLES_PER_BUCKET, MIN_SAMPLE if adaptive else 0), 100_000)
+    random sample.  With ``adaptive`` a ``limit(MIN_SAMPLE).count()`` (it stops
+    reading early) detects small inputs, which get one bucket per
+    ``MIN_BUCKET_ROWS`` rows -- and no sample at all when one bucket suffices."""
+    if adaptive:
+        small = df.limit(MIN_SAMPLE).count()
+        if small < MIN_SAMPLE:
+            buckets = min(buckets, max(1, -(-small // MIN_BUCKET_ROWS)))
+    if buckets <= 1:
+        return []
+    k = min(buckets * SAMPLES_PER_BUCKET, 100_000)
     rows = df.select(*keys).orderBy(F.rand(seed)).limit(k).collect()  # at most k rows
     rows = sorted((tuple(r) for r in rows), key=_sort_key)
-    if adaptive and len(rows) < k:
-        buckets = min(buckets, max(1, -(-len(rows) // MIN_BUCKET_ROWS)))
     if not rows or buckets <= 1:
         return []
     out = []
