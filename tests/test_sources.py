@@ -67,3 +67,21 @@ def test_stream_matches_batch(spark):
     for r in rows:
         exp[r[2].date()] = exp.get(r[2].date(), 0) + 1
     assert got == exp
+
+
+def test_stream_days_do_not_depend_on_session_zone(spark):
+    d = tempfile.mkdtemp(prefix="episcope-stream-tz-")
+    src = os.path.join(d, "in")
+    base = dt.datetime(2024, 1, 1, 20, 0)
+    rows = [(i, "x", base + dt.timedelta(hours=i), 0.1, 0.5, 1.0) for i in range(30)]
+    spark.createDataFrame(rows, STREAM.POST_SCHEMA).write.parquet(src)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r.date: r.id_count for r in STREAM.latest_daily_rows(spark, STREAM.run_daily_social(spark, src)).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    exp = {}
+    for r in rows:
+        exp[r[2].date()] = exp.get(r[2].date(), 0) + 1
+    assert got == exp
