@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episcope.llm import packing, secrets, sharding, token_index, topk_search, toxicity, warc
+from episcope.llm import decontamination, ngram_join, packing, secrets, sharding, token_index, topk_search, toxicity, warc
 from episcope.llm.common import shared_path, ship_code, table, utf8_size
 
 
@@ -33,6 +33,25 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "record_type", "refers_to")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+OP3_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') w from documents),
+s as (select doc_id, list_distinct(case when len(w) = 0 then []::varchar[] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) s from w),
+n as (select doc_id, len(s)::bigint n from s),
+e as (select doc_id, unnest(s) x from s),
+both_ as (select a.doc_id a, b.doc_id b, count(*) c from e a join e b on a.x = b.x and a.doc_id <> b.doc_id group by all),
+links as (select a, b from both_ join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 90 * (na.n + nb.n - c)),
+reach(node, root) as (select doc_id, doc_id from n union select l.b, r.root from reach r join links l on l.a = r.node)
+select n.doc_id, n.n n_shingles, min(root) component_id from n join reach on node = doc_id group by all
+"""
+
+
 def held_out(key: str = "doc_id") -> F.Column:
     """Rows that never train: crc32 of the id as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -61,6 +80,30 @@ def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP6_SQL = r"""
+with d as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') w from documents),
+i as (select distinct item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{M}\p{N}]+') w from benchmark),
+ik as (select item_id, w, least(len(w), 5) k from i where len(w) > 0),
+ig as (select item_id, k, list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p:p + k - 1], ' ')) g from ik),
+dg as (select doc_id, k, list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p:p + k - 1], ' ')) g
+       from d, (select distinct k from ik)),
+iu as (select item_id, k, len(g) m, unnest(g) x, unnest(range(len(g))) place from ig),
+du as (select doc_id, k, len(g) n, g, unnest(range(len(g))) pos from dg),
+wins as (select distinct doc_id, k, m, greatest(0, least(pos - place, n - m)) s, g from du join iu using (k) where g[pos + 1] = x),
+wing as (select doc_id, k, m, s, unnest(g[s + 1:s + m]) x, len(g[s + 1:s + m]) len from wins),
+wc as (select doc_id, k, m, s, x, len, count(*) c from wing group by all),
+ic as (select item_id, k, m, x, count(*) c from iu group by all),
+sim as (select doc_id, item_id, s, len + m - sum(least(wc.c, ic.c)) u, sum(least(wc.c, ic.c)) b
+        from wc join ic using (k, m, x) group by doc_id, item_id, k, s, len, m)
+select doc_id, item_id, arg_max(s, (b::double / u::double, -s))::int start_word, max(b::double / u::double) similarity
+from sim where b * 100 >= u * 80 group by doc_id, item_id
+"""
+
+
 OP8_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) e from embeddings
            where embedding is not null and vec_id is not null
@@ -103,8 +146,10 @@ def _shipped(query):
 _QUERIES = {
     "op1_sharding": (op1_sharding, None),
     "op2_warc": (op2_warc, None),
+    "op3_ngram_join": (op3_ngram_join, OP3_SQL),
     "op4_toxicity": (op4_toxicity, None),
     "op5_token_index": (op5_token_index, None),
+    "op6_decontamination": (op6_decontamination, OP6_SQL),
     "op8_topk_search": (op8_topk_search, OP8_SQL),
     "op9_secrets": (op9_secrets, None),
     "op10_packing": (op10_packing, None),
