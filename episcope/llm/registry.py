@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episcope.llm import decontamination, ngram_join, packing, secrets, sharding, token_index, topk_search, toxicity, warc
+from episcope.llm import decontamination, ngram_join, packing, secrets, sharding, suffix_dedup, token_index, topk_search, toxicity, warc
 from episcope.llm.common import shared_path, ship_code, table, utf8_size
 
 
@@ -74,6 +74,13 @@ def op5_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = topk_search.quantise(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256.0)
     return topk_search.topk_join(rows.filter("id % 50 = 0"), rows, k=5) \
@@ -150,6 +157,7 @@ _QUERIES = {
     "op4_toxicity": (op4_toxicity, None),
     "op5_token_index": (op5_token_index, None),
     "op6_decontamination": (op6_decontamination, OP6_SQL),
+    "op7_suffix_dedup": (op7_suffix_dedup, None),
     "op8_topk_search": (op8_topk_search, OP8_SQL),
     "op9_secrets": (op9_secrets, None),
     "op10_packing": (op10_packing, None),
