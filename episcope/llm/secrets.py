@@ -81,19 +81,21 @@ def _count(batches):
                                       pa.array(sums[label, pair])], names=["label", "pair", "n"])
 
 
-def train(docs: DataFrame, text: str = "text", smoothing: float = 0.5) -> np.ndarray | None:
+def train(docs: DataFrame, text: str = "text", backoff: float = 20.0) -> np.ndarray | None:
     """Log-likelihood ratio of each transition, learned from all documents; None without a
-    training secret.  The driver receives at most 2 * 69 * 69 sums."""
+    training secret.  The driver receives at most 2 * 69 * 69 sums.  A transition's share is
+    smoothed by ``backoff`` rows of the model's overall character shares."""
     rows = docs.select(text).mapInArrow(_count, "label int, pair int, n long") \
         .groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()
-    counts = np.full((2, STATES * STATES), smoothing)
+    counts = np.zeros((2, STATES, STATES))
     for r in rows:
-        counts[r["label"], r["pair"]] += r["n"]
-    if not any(r["label"] == 1 for r in rows):
+        counts[r["label"], r["pair"] // STATES, r["pair"] % STATES] += r["n"]
+    if not counts[1].any():
         return None
-    logp = np.log(counts.reshape(2, STATES, STATES))
-    grid = counts.reshape(2, STATES, STATES)[:, :, 1:].sum(axis=2, keepdims=True)
-    return logp[1] - np.log(grid[1]) - logp[0] + np.log(grid[0])
+    overall = counts.sum(axis=1) + 0.5
+    overall /= overall[:, 1:].sum(axis=1, keepdims=True)
+    share = (counts + backoff * overall[:, None, :]) / (counts.sum(axis=2, keepdims=True) + backoff)
+    return np.log(share[1]) - np.log(share[0])
 
 
 def markov_spans(text: str, spans: list, llr: np.ndarray, min_length: int, min_total: float,
