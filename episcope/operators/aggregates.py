@@ -32,9 +32,9 @@ def symptom_count(col: str = "symptoms") -> Column:
 
 
 def daily_social_agg(social: DataFrame, ts_col: str = "created_at", digits: int = 4,
-                     symptoms_col: str | None = "symptoms") -> DataFrame:
+                     symptoms_col: str | None = "symptoms", symptoms_name: str = "symptom_mentions") -> DataFrame:
     """Per day: polarity mean/std/min/max, subjectivity mean/std, engagement
-    sum/mean/max, post count, rounded to ``digits``; plus ``symptom_mentions``
+    sum/mean/max, post count, rounded to ``digits``; plus ``symptoms_name``
     (sum of symptom-list lengths) in the same pass when ``symptoms_col`` exists."""
     r = (lambda c: round_half_up(c, digits)) if digits is not None else (lambda c: c)
     aggs = [
@@ -50,7 +50,7 @@ def daily_social_agg(social: DataFrame, ts_col: str = "created_at", digits: int
         F.count("id").alias("id_count"),
     ]
     if symptoms_col and symptoms_col in social.columns:
-        aggs.append(F.sum(symptom_count(symptoms_col)).cast("long").alias("symptom_mentions"))
+        aggs.append(F.sum(symptom_count(symptoms_col)).cast("long").alias(symptoms_name))
     return (social.withColumn("date", F.to_date(ts_col))
             .where(F.col("date").isNotNull()).groupBy("date").agg(*aggs))
 

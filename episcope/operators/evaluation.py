@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from episcope.operators.joins import bounded_broadcast
 from episcope.operators.ordering import running_totals
+from episcope.session import cut_lineage
 
 # Unit costs of the cost-benefit report (currency units).
 COST_PER_RESPONSE = 50_000
@@ -40,11 +42,13 @@ def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> D
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """2x2 counts: one row per actual class with ``predicted_0`` / ``predicted_1``."""
-    y, p = _i(label), _i(pred)
-    return (df.groupBy(y.alias("actual"))
-            .agg(F.sum(F.when(p == 0, 1).otherwise(0)).cast("long").alias("predicted_0"),
-                 F.sum(F.when(p == 1, 1).otherwise(0)).cast("long").alias("predicted_1")))
+    """2x2 counts: a row for each actual class, 0 and 1, with ``predicted_0`` / ``predicted_1``
+    (a class without rows has zeros)."""
+    c = confusion_counts(df, label, pred)
+    zero = F.lit(0).cast("long")
+    cell = [F.struct(F.lit(0).alias("actual"), F.coalesce("tn", zero).alias("predicted_0"), F.coalesce("fp", zero).alias("predicted_1")),
+            F.struct(F.lit(1).alias("actual"), F.coalesce("fn", zero).alias("predicted_0"), F.coalesce("tp", zero).alias("predicted_1"))]
+    return c.select(F.explode(F.array(*cell)).alias("m")).select("m.*")
 
 
 def classification_report(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -131,8 +135,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
 
     Points are not thinned (every threshold is kept).
     """
-    d = score_table(df, label, score).withColumn("_neg_score", -F.col("score"))
-    cum = running_totals(d, ["_neg_score"], ["pos", "neg"])
+    d = cut_lineage(score_table(df, label, score).withColumn("_neg_score", -F.col("score")), "scores")
+    cum = running_totals(d, ["_neg_score"], ["pos", "neg"], stable=True)
     p_tot, n_tot = d.agg(F.sum("pos"), F.sum("neg")).first()  # one row: two numbers
     return cum.select(F.col("score").alias("threshold"),
                       F.try_divide(F.col("neg_cum").cast("double"), F.lit(n_tot).cast("long")).alias("fpr"),
@@ -190,10 +194,10 @@ def coverage_projection(surv: DataFrame, social: DataFrame, region: str = "regio
 def balanced_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Class weight n / (n_classes * n_class) per row.
 
-    The class-count table has one row per class (bounded), so it is broadcast.
+    The class-count table has one row per class; it is broadcast after a size check.
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     n = F.sum("_nc").over(Window.partitionBy())  # over the class table: one row per class
     k = F.count(F.lit(1)).over(Window.partitionBy())
     w = counts.select(label, (n / (k * F.col("_nc"))).alias(out))
-    return df.join(F.broadcast(w), [label], "left")
+    return df.join(bounded_broadcast(w, materialize=True), [label], "left")

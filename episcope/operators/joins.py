@@ -17,21 +17,24 @@ from episcope.session import cut_lineage
 
 # A daily table for 100 years has ~36,500 rows; anything past this is not "small".
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialize: bool = False) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+                      materialize: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows and ``max_bytes`` bytes (8 a field,
+    strings by their length), else ``df`` unchanged.
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the bound
-    is exceeded.  With ``materialize`` the table (typically a daily aggregate) is
+    The check reads at most ``max_rows + 1`` rows.  With ``materialize`` the table (typically a daily aggregate) is
     first written to the checkpoint folder, so the check and the join read the
     stored rows instead of recomputing the aggregate twice.
     """
     if materialize:
         df = cut_lineage(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")),
+                F.lit(8 * len(df.columns)))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def assert_unique_keys(df: DataFrame, keys) -> None:

@@ -7,8 +7,7 @@ third of all rows) into a single task.  The helpers here cut the order into
 contiguous *range buckets* and stitch the buckets back together with small carry
 tables (one row per bucket and series).
 
-Bucket boundaries are sampled once (a bounded ``orderBy(rand).limit(k)`` sample) and
-inlined as literals, so the bucket of a row is a deterministic expression: a
+Bucket boundaries are sampled once (a bounded random sample) and inlined as literals, so the bucket of a row is a deterministic expression: a
 recomputed task after an executor loss lands every row in the same bucket.
 
 * :func:`range_bucket` -- deterministic contiguous bucket id of a sort key.
@@ -25,13 +24,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episcope.session import default_parallelism
+from episcope.session import cut_lineage, default_parallelism
 
 RN, BUCKET, HALO, RB = "_rn", "_bkt", "_halo", "_rb"
-MAX_BUCKETS = 1024        # literal boundaries inlined in one expression
+FLAT_BUCKETS = 64         # bounds searched by one nested comparison; more are searched in two levels
 SAMPLES_PER_BUCKET = 32
-MIN_SAMPLE = 50_000       # a sample this large also tells whether the input is small
-MIN_BUCKET_ROWS = 20_000  # small inputs are not cut finer than this
 
 
 def _names(cols) -> list:
@@ -47,25 +44,19 @@ def _sort_key(row):
     return tuple((v is not None, v) for v in row)
 
 
-def sample_bounds(df: DataFrame, keys: list[str], buckets: int, seed: int = 42,
-                  adaptive: bool = False) -> list[tuple]:
-    """Ascending boundary tuples of ``keys`` (at most ``buckets - 1``) from a bounded
-    random sample.  With ``adaptive`` a ``limit(MIN_SAMPLE).count()`` (it stops
-    reading early) detects small inputs, which get one bucket per
-    ``MIN_BUCKET_ROWS`` rows -- and no sample at all when one bucket suffices."""
-    if adaptive:
-        small = df.limit(MIN_SAMPLE).count()
-        if small < MIN_SAMPLE:
-            buckets = min(buckets, max(1, -(-small // MIN_BUCKET_ROWS)))
+def sample_bounds(df: DataFrame, keys: list[str], buckets: int, seed: int = 42) -> list[tuple]:
+    """Ascending boundary tuples of ``keys`` (at most ``buckets - 1``) from a random sample.
+
+    The sample is cut down in the scan to about ``buckets * SAMPLES_PER_BUCKET`` rows, so what
+    reaches the driver is bounded by the bucket count, not by the input.  ``df`` is read twice
+    (count and sample); callers materialise it first."""
     if buckets <= 1:
         return []
-    k = min(buckets * SAMPLES_PER_BUCKET, 100_000)
-    rows = df.select(*keys).orderBy(F.rand(seed)).limit(k).collect()  # at most k rows
-    rows = sorted((tuple(r) for r in rows), key=_sort_key)
-    if not rows or buckets <= 1:
-        return []
+    k, n = buckets * SAMPLES_PER_BUCKET, df.count()
+    some = df.select(*keys) if n <= 2 * k else df.select(*keys).where(F.rand(seed) < 1.5 * k / n)
+    rows = sorted((tuple(r) for r in some.collect()), key=_sort_key)
     out = []
-    for i in range(1, buckets):
+    for i in range(1, buckets if rows else 1):
         b = rows[min(len(rows) - 1, (len(rows) * i) // buckets)]
         if not out or _sort_key(b) > _sort_key(out[-1]):
             out.append(b)
@@ -73,44 +64,53 @@ def sample_bounds(df: DataFrame, keys: list[str], buckets: int, seed: int = 42,
 
 
 def range_bucket(df: DataFrame, keys, buckets: int | None = None, seed: int = 42) -> Column:
-    """Column with the 0-based range bucket of ``struct(keys)`` (binary search on literals).
+    """Column with the 0-based range bucket of ``struct(keys)``.
 
-    Rows in bucket b sort before rows in bucket b+1; equal keys share a bucket.
-    Without an explicit ``buckets`` the count follows the session parallelism, and
-    inputs known to be small get fewer buckets.
+    Rows in bucket b sort before rows in bucket b+1; equal keys share a bucket.  Without an
+    explicit ``buckets`` their number is the session's shuffle partitions.  Up to FLAT_BUCKETS
+    bounds are a binary search on literals.  More are searched in two levels: that binary
+    search over every s-th bound (s near the root of their number), then a count of the
+    smaller bounds in the one block found, a literal array.  So there is no largest number.
     """
     keys = _names(keys)
-    n = min(buckets or default_parallelism(df.sparkSession), MAX_BUCKETS)
-    bounds = sample_bounds(df, keys, n, seed, adaptive=buckets is None)
+    bounds = sample_bounds(df, keys, buckets or default_parallelism(df.sparkSession), seed)
     types = dict(df.select(*keys).dtypes)
     key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
     lits = [F.struct(*[F.lit(v).cast(types[k]).alias(f"k{i}") for i, (k, v) in enumerate(zip(keys, b))])
             for b in bounds]
 
-    def search(lo: int, hi: int) -> Column:  # number of bounds <= key among bounds[lo:hi] (+ lo)
+    def search(at: list[Column], lo: int, hi: int) -> Column:  # number of bounds <= key among at[lo:hi] (+ lo)
         if lo >= hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(key >= lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(lits)).cast("int")
+        return F.when(key >= at[mid], search(at, mid + 1, hi)).otherwise(search(at, lo, mid))
 
-
-def null_safe_on(left: DataFrame, right: DataFrame, keys) -> Column:
-    """Equi-join condition that also matches NULL with NULL (pandas merge behaviour)."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    if len(lits) <= FLAT_BUCKETS:
+        return search(lits, 0, len(lits)).cast("int")
+    step = int(len(lits) ** 0.5)
+    blocks = [lits[i:i + step] for i in range(0, len(lits), step)]
+    block = search([b[0] for b in blocks[1:]], 0, len(blocks) - 1)
+    arrays = F.array(*[F.array(*b) for b in blocks])
+    # the block is bound once: a one-element array of (block, key) turned into the bucket number
+    bound = F.transform(F.array(F.struct(block.alias("at"), key.alias("key"))),
+                        lambda b: b["at"] * step + F.aggregate(F.get(arrays, b["at"]), F.lit(0),
+                                                               lambda n, x: n + F.when(x <= b["key"], 1).otherwise(0)))
+    return F.get(bound, F.lit(0)).cast("int")
 
 
 def series_ordinal(df: DataFrame, series, order, buckets: int | None = None,
-                   col: str = RN) -> DataFrame:
+                   col: str = RN, stable: bool = False) -> DataFrame:
     """Add the exact 1-based row number of each row inside its series.
 
     Rows are numbered inside (range bucket, series) and offset by the row counts of
     the earlier buckets of the same series.  The count table has at most
     ``buckets + series`` rows; it is joined back without a hint so AQE broadcasts
-    it once it has measured it.
+    it once it has measured it.  The input is read four times (count, sample, counts,
+    rows), so it is written once first unless the caller says that it is ``stable``
+    (a written table with at most projections on top).
     """
     series, order = _names(series), _names(order)
+    df = df if stable else cut_lineage(df, "ordered")
     x0 = df.withColumn(RB, range_bucket(df, series + order, buckets))
     w = Window.partitionBy(RB, *series).orderBy(*order)
     x = x0.withColumn("_local", F.row_number().over(w))
@@ -148,19 +148,23 @@ def halo_buckets(df: DataFrame, rn_col: str, before: int, after: int,
 
 
 def running_totals(df: DataFrame, order, sum_cols, buckets: int | None = None,
-                   suffix: str = "_cum") -> DataFrame:
-    """Inclusive running sums of ``sum_cols`` in an ascending total ``order``.
+                   suffix: str = "_cum", series=None, stable: bool = False) -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` in an ascending total ``order`` (per ``series``).
 
-    Two levels: bucket totals (one row per range bucket, a proven bound, broadcast)
-    are carried forward and added to in-bucket running sums.
+    Two levels: bucket totals (one row per range bucket and series) are carried forward and
+    added to in-bucket running sums.  The input is written once unless ``stable``.
     """
-    order, sum_cols = _names(order), _names(sum_cols)
-    x = df.withColumn(RB, range_bucket(df, order, buckets))
-    tot = x.groupBy(RB).agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
-    wc = Window.orderBy(RB).rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(F.col(RB).alias("_c_rb"),
-                     *[F.coalesce(F.sum("_t_" + c).over(wc), F.lit(0)).alias("_c_" + c) for c in sum_cols])
-    out = x.join(F.broadcast(tot), x[RB] == tot["_c_rb"])
-    wi = Window.partitionBy(RB).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = out.withColumns({c + suffix: F.col("_c_" + c) + F.sum(c).over(wi) for c in sum_cols})
+    order, sum_cols, series = _names(order), _names(sum_cols), _names(series)
+    df = df if stable else cut_lineage(df, "ordered")
+    x = df.withColumn(RB, range_bucket(df, series + order, buckets))
+    tot = x.groupBy(RB, *series).agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
+    wc = (Window.partitionBy(*series) if series else Window).orderBy(RB) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*[F.col(c).alias("_c_" + c) for c in [RB, *series]],
+                     *[F.coalesce(F.sum("_t_" + c).over(wc), F.lit(0)).alias("_s_" + c) for c in sum_cols])
+    cond = [x[RB] == tot["_c_" + RB]] + [x[s].eqNullSafe(tot["_c_" + s]) for s in series]
+    # without series the totals have one row per bucket: a proven bound
+    out = x.join(tot if series else F.broadcast(tot), reduce(lambda a, b: a & b, cond))
+    wi = Window.partitionBy(RB, *series).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumns({c + suffix: F.col("_s_" + c) + F.sum(c).over(wi) for c in sum_cols})
     return out.drop(*tot.columns, RB)

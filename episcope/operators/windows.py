@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 
 from episcope.operators.joins import bounded_broadcast
 from episcope.operators.ordering import (
-    BUCKET, HALO, RB, RN, _names, halo_buckets, range_bucket, series_ordinal,
+    BUCKET, HALO, RB, RN, _names, halo_buckets, range_bucket, running_totals, series_ordinal,
 )
+from episcope.session import cut_lineage
 
-DEFAULT_BUCKET_ROWS = 50_000
+DEFAULT_BUCKET_ROWS = 50_000      # rows of a series in one task; callers and tests may set it
+
+MAX_ONE_TASK = 100_000            # distinct category values that one task ranks
 
 
 @dataclass(frozen=True)
@@ -99,8 +102,8 @@ def _reach(specs: list[Spec]) -> tuple[int, int]:
 
 
 def series_window(df: DataFrame, series, order, specs: list[Spec], split_hot: bool = True,
-                  bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                  buckets: int | None = None) -> DataFrame:
+                  bucket_rows: int | None = None,
+                  buckets: int | None = None, stable: bool = False) -> DataFrame:
     """Add window features per series in ``order`` (ROWS frames, pandas semantics).
 
     ``split_hot=False`` is the textbook ``Window.partitionBy(series)`` plan (one
@@ -114,8 +117,8 @@ def series_window(df: DataFrame, series, order, specs: list[Spec], split_hot: bo
             df = df.withColumn(s.name, _expr(s, w))
         return df
     before, after = _reach(specs)
-    x = series_ordinal(df, series, order, buckets)
-    x = halo_buckets(x, RN, before, after, bucket_rows)
+    x = series_ordinal(df, series, order, buckets, stable=stable)
+    x = halo_buckets(x, RN, before, after, bucket_rows or DEFAULT_BUCKET_ROWS)
     w = Window.partitionBy(*series, BUCKET).orderBy(RN)
     for s in specs:
         x = x.withColumn(s.name, _expr(s, w))
@@ -123,7 +126,7 @@ def series_window(df: DataFrame, series, order, specs: list[Spec], split_hot: bo
 
 
 def forward_fill(df: DataFrame, cols, order, partition_by=None, fill_value=None,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, stable: bool = False) -> DataFrame:
     """Replace NULLs by the last non-NULL value before them in ``order`` (``ffill``).
 
     Two levels, so a global fill (no partition key, as in the reference) does not
@@ -133,6 +136,7 @@ def forward_fill(df: DataFrame, cols, order, partition_by=None, fill_value=None,
     ``fill_value`` then replaces what is still NULL (``.fillna(0)``) in numeric columns.
     """
     cols, order, part = _names(cols), _names(order), _names(partition_by)
+    df = df if stable else cut_lineage(df, "ordered")
     x = df.withColumn(RB, range_bucket(df, part + order, buckets))
     okey = F.struct(*[F.col(o) for o in order])
     lastv = x.groupBy(RB, *part).agg(*[
@@ -169,18 +173,30 @@ def fill_zero(df: DataFrame, cols=None) -> DataFrame:
 def percentile_threshold(df: DataFrame, group: str, col: str, pct: float = 85.0) -> DataFrame:
     """Per-group linear-interpolation percentile (``numpy.percentile``), exact.
 
-    ``percentile`` aggregates map-side into value counts, so a hot group costs
-    its number of distinct values, not its row count.
+    The distinct values of a group are counted (combined map-side), and running counts over
+    range buckets find the two order statistics, so the values of a hot group are spread
+    over the buckets however many they are.
     """
-    return df.groupBy(group).agg(F.percentile(F.col(col).cast("double"), pct / 100.0)
-                                 .alias("outbreak_threshold"))
+    v = df.where(F.col(col).isNotNull()).groupBy(group, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    v = running_totals(v, ["_v"], ["_n"], suffix="_upto", series=[group])
+    totals = v.groupBy(F.col(group).alias("_g")).agg(F.max("_n_upto").alias("_all"))
+    at = F.lit(pct / 100.0) * (F.col("_all") - 1)
+    x = v.join(totals, F.col(group).eqNullSafe(F.col("_g"))).withColumn("_at", at)
+
+    def statistic(index):
+        return F.max(F.when((F.col("_n_upto") > index) & (F.col("_n_upto") - F.col("_n") <= index), F.col("_v")))
+
+    lo, hi = statistic(F.floor("_at")), statistic(F.ceil("_at"))
+    out = x.groupBy(group).agg(lo.alias("_lo"), hi.alias("_hi"), F.max("_at").alias("_at"))
+    return out.select(group, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))).alias("outbreak_threshold"))
 
 
 def label_outbreaks(df: DataFrame, group: str = "disease", col: str = "cases",
                     pct: float = 85.0, order=("date",), with_trend: bool = True,
-                    split_hot: bool = True) -> DataFrame:
+                    split_hot: bool = True, stable: bool = False) -> DataFrame:
     """``outbreak = cases > per-group percentile`` (strict) plus optional 7-row centred
     mean ``cases_7day_avg`` and its first difference ``cases_trend``."""
+    df = df if stable else cut_lineage(df, "labels")
     # one row per group: materialised, size-checked and broadcast, so a hot group
     # never meets a sort-merge join on its key
     th = bounded_broadcast(percentile_threshold(df, group, col, pct), materialize=True)
@@ -189,7 +205,7 @@ def label_outbreaks(df: DataFrame, group: str = "disease", col: str = "cases",
     if with_trend:
         out = series_window(out, [group], order, [
             centered_mean("cases_7day_avg", col, 7), diff("cases_trend", "cases_7day_avg")],
-            split_hot=split_hot)
+            split_hot=split_hot, stable=True)
     return out
 
 
@@ -198,11 +214,13 @@ def resample_daily_interpolate(df: DataFrame, series, date_col: str, value_cols,
     """Weekly (any irregular) points -> one row per day, values linearly interpolated.
 
     Each point is expanded to the days up to (not including) the next point of its
-    series; the last point of a series yields only itself.
+    series; the last point of a series yields only itself, and so does a point that
+    another of the same date follows (in the order of the values).
     """
     series, value_cols = _names(series), _names(value_cols)
     specs = [lead("_next_date", date_col, 1)] + [lead("_next_" + c, c, 1) for c in value_cols]
-    x = series_window(df, series, [date_col], specs, split_hot=split_hot)
+    x = series_window(df, series, [date_col, *value_cols], specs, split_hot=split_hot)
+    x = x.withColumn("_next_date", F.when(F.col("_next_date") > F.col(date_col), F.col("_next_date")))
     nd = F.col("_next_date")
     days = F.sequence(F.col(date_col), F.coalesce(F.date_sub(nd, 1), F.col(date_col)))
     x = x.withColumn("_day", F.explode(days))
@@ -218,13 +236,17 @@ def resample_daily_interpolate(df: DataFrame, series, date_col: str, value_cols,
 def encode_rank(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Label code = 0-based rank of the value among the sorted distinct values.
 
-    The distinct-value table is small by nature (a category list); it is built
-    with a map-side ``distinct``, materialised, size-checked and broadcast (a hot
-    category never meets a sort-merge join).  NULL keeps NULL.
+    The distinct values (a category list) are found map-side and written; up to
+    MAX_ONE_TASK of them are ranked in one task, more by range buckets.  The codes are
+    size-checked and broadcast (a hot category never meets a sort-merge join).  NULL
+    keeps NULL.
     """
     out = out or f"{col}_encoded"
-    codes = (df.select(col).where(F.col(col).isNotNull()).distinct()
-             .withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int")))
+    values = cut_lineage(df.select(col).where(F.col(col).isNotNull()).distinct(), "codes")
+    if values.limit(MAX_ONE_TASK + 1).count() <= MAX_ONE_TASK:
+        codes = values.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    else:
+        codes = series_ordinal(values, [], [col], stable=True).withColumn(out, (F.col(RN) - 1).cast("int")).drop(RN)
     return df.join(bounded_broadcast(codes, materialize=True), [col], "left")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episcope.functions.calendar import calendar_features
-from episcope.operators.aggregates import daily_social_agg, daily_symptom_mentions
+from episcope.operators.aggregates import daily_social_agg
 from episcope.operators.filters import (
     DAILY_FEATURE_EXCLUDE, FEATURE_EXCLUDE, feature_frame, object_columns_to_numeric,
 )
@@ -52,7 +52,7 @@ def merge_all(surv: DataFrame, env: DataFrame, social_daily: DataFrame, ffill_or
               fill_value=0, on: str = "date") -> DataFrame:
     """surveillance LEFT JOIN environment LEFT JOIN daily social on date, then forward
     fill (in ``ffill_order``) and zero-fill of the remaining numeric NULLs."""
-    m = cut_lineage(left_join(left_join(surv, env, on), social_daily, on))
+    m = left_join(left_join(surv, env, on), social_daily, on)
     keys = set(_names(ffill_order))
     fill_cols = [c for c in m.columns if c not in keys]
     return forward_fill(m, fill_cols, ffill_order, fill_value=fill_value)
@@ -79,11 +79,11 @@ def prepare_ml_features(surv: DataFrame, env: DataFrame, social: DataFrame, *,
     social_daily = daily_social_agg(social)
     s = calendar_features(surv, "date")
     m = cut_lineage(merge_all(s, env, social_daily, ffill_order))
+    if "disease" in m.columns:           # before the windows: the codes come from the written table
+        m = encode_rank(m, "disease")
     m = series_window(m, series, order, weekly_lag_specs("polarity_mean" in m.columns),
-                      split_hot=split_hot)
+                      split_hot=split_hot, stable=True)
     m = interaction_features(m)
-    if "disease" in m.columns:
-        m = encode_rank(m, "disease")
     m = object_columns_to_numeric(m, skip=("date", "disease", *keys))
     return feature_frame(m, FEATURE_EXCLUDE if exclude is None else exclude, keys=keys)
 
@@ -107,15 +107,14 @@ def daily_features(surv: DataFrame, env: DataFrame, social: DataFrame, *,
     -> 1/7/14-day lags and 7/30-day windows -> interactions -> encodings."""
     base = surv.select(*_names(interp_series), "date", *value_cols)
     daily = resample_daily_interpolate(base, interp_series, "date", value_cols, split_hot=split_hot)
-    social_daily = daily_social_agg(social, symptoms_col=None)
-    if "symptoms" in social.columns:
-        social_daily = left_join(social_daily, daily_symptom_mentions(social), "date")
-    m = cut_lineage(left_join(left_join(daily, social_daily, "date"), env, "date"))
+    social_daily = daily_social_agg(social, symptoms_col="symptoms" if "symptoms" in social.columns else None,
+                                    symptoms_name="total_symptom_mentions")
+    m = left_join(left_join(daily, social_daily, "date"), env, "date")
     fill_cols = [c for c in m.columns if c not in set(ffill_order)]
     m = cut_lineage(forward_fill(m, fill_cols, ffill_order, fill_value=0))
     # percentile label, then ONE skew-safe window pass for the centred mean, its
     # trend and every lag / rolling feature (same series, same order)
-    m = label_outbreaks(m, "disease", "cases", pct, order=order, with_trend=False)
+    m = label_outbreaks(m, "disease", "cases", pct, order=order, with_trend=False, stable=True)
     m = calendar_features(m, "date")
     specs = [centered_mean("cases_7day_avg", "cases", 7), diff("cases_trend", "cases_7day_avg")]
     specs += daily_lag_specs("polarity_mean" in m.columns)

@@ -433,8 +433,8 @@ left join (select cast(created_at as date) as date,
                   cast(sum(case when symptoms is null then 0 else len(symptoms) end) as bigint) as total_symptom_mentions
            from ({Q.SOCIAL_TEXT}) p where created_at is not null group by 1) sc on sd.date = sc.date""", SOCIAL_COLS)
 def q_j3(spark, sf):
-    s = proxy.social_with_text(spark, sf)
-    return J.left_join(A.daily_social_agg(s, symptoms_col=None), A.daily_symptom_mentions(s), "date")
+    # both sides of the join are day tables of one source: aggregated in one pass over it
+    return A.daily_social_agg(proxy.social_with_text(spark, sf), symptoms_name="total_symptom_mentions")
 
 
 @register("j4_merge_all", J4_SQL, ENV_COLS + SOCIAL_COLS + ["outbreak_threshold"])

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_WRITTEN: dict[str, list[str]] = {}      # application -> intermediate tables
 
 
 def build_session(master: str | None = None, app: str = "episcope",
@@ -40,12 +42,15 @@ def build_session(master: str | None = None, app: str = "episcope",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The folder comes from ``spark.checkpoint.dir``.  Only when the session has
-    none (local tests) do we make one, under ``fallback`` or a fresh temp folder.
+    The folder comes from ``spark.checkpoint.dir``.  Only a local session without
+    one (tests) gets ``fallback`` or a fresh temp folder; on a cluster that would be
+    another folder on every machine, so there it is an error.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         path = fallback or tempfile.mkdtemp(prefix="episcope-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     if not sc.getCheckpointDir():
@@ -64,9 +69,21 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/episcope-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+def drop_intermediate(spark: SparkSession) -> int:
+    """Delete the tables that :func:`cut_lineage` wrote in this application, once no result
+    that reads them is needed any more.  Returns their number."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(conf).delete(at, True)
+    return len(paths)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Partition count used by the order-sensitive operators."""
     try:

@@ -1,9 +1,9 @@
 """Daily social roll-up over a stream of landed post files.
 
-Collectors land post files continuously; the same per-day aggregates as the batch
-``daily_social_agg`` are maintained as streaming state (one state row per day),
-with a watermark on ``created_at`` bounding how late a post may arrive.  Each
-micro-batch upserts the changed days into a Parquet folder; the current table is
+Collectors land post files continuously, in any order of days; the same per-day
+aggregates as the batch ``daily_social_agg`` are maintained as streaming state.  The
+state is one row per day, so it needs no watermark to stay small, and without one
+no post is ever too late.  Each micro-batch upserts the changed days into a Parquet folder; the current table is
 the latest version of every day.
 """
 
@@ -26,21 +26,20 @@ POST_SCHEMA = T.StructType([
 
 
 def daily_social_stream(spark: SparkSession, source_dir: str, schema: T.StructType = POST_SCHEMA,
-                        fmt: str = "parquet", watermark: str = "2 days", max_files: int = 1000) -> DataFrame:
+                        fmt: str = "parquet", max_files: int = 1000) -> DataFrame:
     """Streaming per-day aggregates (same columns as the batch roll-up, unrounded).
 
-    ``created_at`` is a wall-clock time (TIMESTAMP_NTZ).  The event time used for the
-    watermark and the day windows is that wall clock read as UTC, built from its
-    date and time-of-day parts, so days are calendar days whatever the session
-    time zone.
+    ``created_at`` is a wall-clock time (TIMESTAMP_NTZ).  The event time of the day windows
+    is that wall clock read as UTC, built from its date and time-of-day parts, so
+    days are calendar days whatever the session time zone.  ``max_files`` bounds a
+    micro-batch, not the result.
     """
     s = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(source_dir)
     ts = F.col("created_at")
     secs = (F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
             + F.second(ts))
     s = s.withColumn("event_time", F.timestamp_seconds(secs))
-    return (s.withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", "1 day").alias("w"))
+    return (s.groupBy(F.window("event_time", "1 day").alias("w"))
             .agg(F.avg("polarity").alias("polarity_mean"), F.stddev_samp("polarity").alias("polarity_std"),
                  F.min("polarity").alias("polarity_min"), F.max("polarity").alias("polarity_max"),
                  F.avg("subjectivity").alias("subjectivity_mean"),
