@@ -26,12 +26,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/episcope-{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Write ``df`` (zstd Parquet) to the shared checkpoint folder and read it back: later
-    jobs and lost executors reread the files instead of replaying the plan."""
-    path = shared_path(df.sparkSession, name)
+    jobs and lost executors reread the files instead of replaying the plan.  ``tidy`` asks the
+    driver's JVM to collect its garbage then: Spark deletes the shuffle files of a finished
+    plan only once the plan is collected, and after a large step that should be soon."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if tidy:
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def free_name(base: str, *frames: DataFrame) -> str:

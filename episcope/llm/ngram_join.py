@@ -2,13 +2,17 @@
 
 A document's set of shingles is hashed into a bit sketch: each shingle flips one bit, so the
 Hamming distance of two sketches is at most the size of the sets' symmetric difference.  Sets
-with Jaccard similarity of at least t differ in at most (|A| + |B|) (1 - t) / (1 + t) shingles.
-Sizes are cut into bands; a band's sketches have one 64-bit word more than that bound allows
-differences for its sizes, so linked documents agree on at least one word (pigeonhole).
-Documents compare in the band of the larger one: each sends its words to its own band and, if
+with Jaccard similarity of at least t differ in at most d = (|A| + |B|) (1 - t) / (1 + t)
+shingles.  Sizes are cut into bands; a band's sketches have more than d blocks for its sizes, so
+linked documents have a block in which nothing differs (pigeonhole).  The join is on that block:
+on the XOR of its shingles' 64-bit hashes, which is equal when the block's shingles are and tells
+apart what the block's few parity bits do not.  Blocks without shingles would agree by chance;
+as there are a few blocks more than d + 1, a document with more than d filled blocks leaves its
+empty ones out (an untouched block that is filled remains), the rare others keep them.
+Documents compare in the band of the larger one: each sends its blocks to its own band and, if
 a partner may lie there, to the next band.
 
-Equal sets are one class; only its smallest id joins.  Rows that agree on a word form a
+Equal sets are one class; only its smallest id joins.  Rows that agree on a block form a
 bucket, and no bucket is expanded into pairs:
 
 1. every member is verified against the bucket's smallest id (a star), links are followed to
@@ -84,16 +88,24 @@ def bound(a, b, percent: int):
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def sketch(shingles: np.ndarray, blocks: int) -> np.ndarray:
-    """``blocks`` 64-bit words of parities."""
+def sketch(shingles: np.ndarray, band: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket ids of the blocks that join, parity bits: 16 a block) for a band whose linked
+    sets differ in at most ``most`` shingles."""
+    blocks = most + 1 + max(1, (most + 1) // 16)
     r = mix64(shingles ^ K[7])
-    flat = (r % np.uint64(blocks)).astype(np.int64) * 64 + (r >> np.uint64(58)).astype(np.int64)
-    bits = (np.bincount(flat, minlength=64 * blocks) & 1).astype(np.uint8)
-    return np.packbits(bits, bitorder="little").view("<u8").astype(np.int64)
-
-
-def _sketches(n: int, shingles: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
-    """(band, sketch) for the document's own band and, if a larger partner may lie there, the next."""
+    block = (r % np.uint64(blocks)).astype(np.int64)
+    bits = (np.bincount(block * 16 + (r >> np.uint64(60)).astype(np.int64), minlength=16 * blocks) & 1).astype(np.uint8)
+    order = np.argsort(block, kind="stable")
+    filled, first = np.unique(block[order], return_index=True)
+    xors = np.zeros(blocks, dtype=np.uint64)
+    xors[filled] = np.bitwise_xor.reduceat(r[order], first)
+    at = filled if len(filled) > most else np.arange(blocks)
+    bucket = (mix64(xors[at] + mix64(at.astype(np.uint64) * K[0] + np.uint64(band))) << np.uint64(BAND_BITS)) | np.uint64(band)
+    return bucket.view(np.int64), np.packbits(bits, bitorder="little")
+
+
+def _sketches(n: int, shingles: np.ndarray, percent: int) -> list[tuple[int, np.ndarray, bytes]]:
+    """(band, buckets, bits) for the document's own band and, if a larger partner may lie there, the next."""
     if n == 0:
         return []
     edges = bands(int(n * 100 / percent) + 1)
@@ -102,9 +114,10 @@ def _sketches(n: int, shingles: np.ndarray, percent: int) -> list[tuple[int, np.
     for band in (own, own + 1):
         if band == own or n * 100 // percent >= edges[band]:
             top = (edges[band + 1] if band + 1 < len(edges) else max(edges[band] + 1, int(edges[band] * RATIO))) - 1
-            blocks = bound(top, top, percent) + 1
-            if blocks > 1:                       # else only equal sets link, which are one class already
-                out.append((band, sketch(shingles, blocks)))
+            most = bound(top, top, percent)
+            if most > 0:                         # else only equal sets link, which are one class already
+                buckets, bits = sketch(shingles, band, most)
+                out.append((band, buckets, bits.tobytes()))
     return out
 
 
@@ -116,11 +129,13 @@ def _describe(size: int, percent: int):
                 s = shingle_set(text, size)
                 sums = [int((mix64(s ^ k)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0 for k in (K[5], K[6])]
                 sk = _sketches(len(s), s, percent) if key is not None else []
-                rows.append((key, len(s), *sums, [x[0] for x in sk], [x[1].tolist() for x in sk]))
+                rows.append((key, len(s), *sums, [x for _, b, _ in sk for x in b.tolist()],
+                             [{"band": x[0], "bits": x[2]} for x in sk]))
             cols = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int64()))]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()),
+                     pa.list_(pa.struct([("band", pa.int32()), ("bits", pa.binary())]))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=["key", "n", "h1", "h2", "band", "words"])
+                                             names=["key", "n", "h1", "h2", "buckets", "sketches"])
     return run
 
 
@@ -156,7 +171,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     pairs = cut(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     found = docs.join(ids, docs["key"] == ids["id"], "left_semi").mapInArrow(sets, "id long, set binary")
-    found = cut(found, "sets")
+    found = cut(found, "sets", tidy=True)
     width = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_CHUNK).cast("int").alias("parts"))
     centres = found.join(width, F.col("id") == F.col("a")) \
         .select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "set")
@@ -164,7 +179,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
         .select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "set")
     n = partitions_of(docs.sparkSession)
     rows = centres.unionByName(members).repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return cut(rows.mapInArrow(_verify(percent), "a long, b long").distinct(), "links")
+    return cut(rows.mapInArrow(_verify(percent), "a long, b long").distinct(), "links", tidy=True)
 
 
 def _cross_pairs(percent: int):
@@ -174,7 +189,7 @@ def _cross_pairs(percent: int):
         out = []
         if len(pdf):
             ids, comp, n = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["n"].to_numpy()
-            words = np.array(pdf["words"].tolist(), dtype=np.int64).view(np.uint64)
+            words = np.frombuffer(b"".join(pdf["bits"]), dtype=np.uint8).reshape(len(pdf), -1).view("<u2")
             for i in np.flatnonzero(pdf["mine"].to_numpy()):
                 j = np.flatnonzero(comp != comp[i])
                 far = np.bitwise_count(words[j] ^ words[i]).sum(axis=1, dtype=np.int64)
@@ -187,19 +202,16 @@ def _cross_pairs(percent: int):
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """(key, n_shingles, component_id): one row per row of ``docs``."""
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = cut(src.mapInArrow(_describe(size, percent), "key long, n long, h1 long, h2 long, band array<int>, words array<array<long>>"), "sketches")
+    rows = cut(src.mapInArrow(_describe(size, percent), "key long, n long, h1 long, h2 long, buckets array<long>, sketches array<struct<band:int,bits:binary>>"), "sketches")
     of_set = ["n", "h1", "h2"]
     classes = rows.filter("n > 0").groupBy(*of_set).agg(F.min("key").alias("rep"))
 
     reps = rows.join(classes.withColumnsRenamed({c: "_" + c for c in of_set}),
                      (F.col("key") == F.col("rep")) & F.expr("n = _n and h1 = _h1 and h2 = _h2"), "left_semi")
-    sketches = reps.select(F.col("key").alias("id"), "n", F.explode(F.arrays_zip("band", "words")).alias("s")) \
-        .select("id", "n", F.col("s.band").alias("band"), F.col("s.words").alias("words"))
-    words = sketches.select("id", "band", F.posexplode("words").alias("at", "word")) \
-        .select((F.shiftleft(F.xxhash64("band", "at", "word"), BAND_BITS).bitwiseOR(F.col("band").cast("long"))).alias("bucket"), "id")
+    words = reps.select(F.explode("buckets").alias("bucket"), F.col("key").alias("id"))
     stars = words.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("last > centre")
     members = cut(words.join(stars.withColumnRenamed("bucket", "_bucket"), F.col("bucket") == F.col("_bucket"))
-                  .select("bucket", "id", "centre"), "buckets")
+                  .select("bucket", "id", "centre"), "buckets", tidy=True)
 
     pairs = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = verified(pairs, src, size, percent)
@@ -216,16 +228,16 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     band = F.col("bucket").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
     open_ = state.filter("c > 1 and m > 2").groupBy("m", "who", "main", band.alias("band")).agg(F.min("bucket").alias("bucket"))
     rest = cut(known.join(open_.select(F.col("bucket").alias("_b"), "main", "band"), F.col("bucket") == F.col("_b"))
-               .select("bucket", "band", "id", "component", (F.col("component") != F.col("main")).alias("mine")), "open")
+               .select("bucket", "band", "id", "component", (F.col("component") != F.col("main")).alias("mine")), "open", tidy=True)
     if not rest.isEmpty():
         chunks = rest.filter("mine").groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / PAIR_CHUNK).cast("int").alias("chunks"))
-        sk = sketches.select(F.col("id").alias("_id"), "n", F.col("band").alias("_band"), "words")
-        wanted = rest.select(F.col("id").alias("_wid"), F.col("band").alias("_wband")).distinct()
-        sk = sk.join(wanted, (F.col("_id") == F.col("_wid")) & (F.col("_band") == F.col("_wband"))).drop("_wid", "_wband")
+        wanted = rest.select(F.col("id").alias("_id"), F.col("band").alias("_band")).distinct()
+        sk = rows.select("key", "n", F.explode("sketches").alias("s")).join(wanted, (F.col("key") == F.col("_id")) & (F.col("s.band") == F.col("_band"))) \
+            .select("_id", "_band", "n", F.col("s.bits").alias("bits")).dropDuplicates(["_id", "_band"])
         full = rest.join(sk, (F.col("id") == F.col("_id")) & (F.col("band") == F.col("_band"))).join(chunks, F.col("bucket") == F.col("_b")) \
             .withColumn("home", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")) \
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
-            .select("bucket", "chunk", "id", "component", "n", "words", (F.col("mine") & (F.col("home") == F.col("chunk"))).alias("mine"))
+            .select("bucket", "chunk", "id", "component", "n", "bits", (F.col("mine") & (F.col("home") == F.col("chunk"))).alias("mine"))
         more = full.groupBy("bucket", "chunk").applyInPandas(_cross_pairs(percent), "a long, b long").distinct()
         more = more.join(pairs.select(F.least("a", "b").alias("_pa"), F.greatest("a", "b").alias("_pb")),
                          (F.col("a") == F.col("_pa")) & (F.col("b") == F.col("_pb")), "left_anti")
