@@ -78,6 +78,15 @@ def year_to_date(year) -> Column:
     return F.make_date(_c(year).cast("int"), F.lit(1), F.lit(1))
 
 
+def health_features(df: DataFrame, date_col: str = "date", year_col: str = "year") -> DataFrame:
+    """Calendar features of health records: without a date column the date is January 1st of
+    the year; then month, quarter, day_of_year, ISO week_of_year and the season's name."""
+    if date_col not in df.columns:
+        df = df.withColumn(date_col, year_to_date(year_col))
+    out = calendar_features(df.withColumn(date_col, F.to_date(date_col)), date_col)
+    return out.withColumn("season", season_name(date_col))
+
+
 def truncate_day(c) -> Column:
     return F.to_date(_c(c))
 

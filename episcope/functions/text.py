@@ -78,7 +78,12 @@ def engagement_score(*cols) -> Column:
 def parse_list_literal(c) -> Column:
     """``"['fever', 'cough']"`` -> array<string>; text that is not a list gives NULL.
 
-    Replaces evaluating file content as Python: the literal is read as JSON after
-    swapping quote characters.
+    Replaces evaluating file content as Python.  Elements are quoted by either quote
+    character; a backslash in them escapes the next character, and the other quote
+    character is an ordinary one (``"don't"``).
     """
-    return F.from_json(F.regexp_replace(_c(c), "'", '"'), "array<string>")
+    item = r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
+    text = _c(c)
+    inner = F.transform(F.regexp_extract_all(text, F.lit(item), 1),
+                        lambda x: F.regexp_replace(F.substring(x, F.lit(2), F.length(x) - 2), r"\\(.)", "$1"))
+    return F.when(text.rlike(rf"^\s*\[\s*({item}\s*(,\s*{item}\s*)*)?\]\s*$"), inner)

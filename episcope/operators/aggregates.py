@@ -7,13 +7,11 @@ one partial row per map task, not its row count.
 
 from __future__ import annotations
 
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episcope.functions.numeric import round_half_up
-from episcope.session import cut_lineage
 from episcope.operators.ordering import _names
 
 
@@ -112,28 +110,38 @@ def exploded_counts(df: DataFrame, list_col: str, name: str = "symptom") -> Data
             .groupBy(name).agg(F.count(F.lit(1)).alias("count")))
 
 
-def _with_min_max(df: DataFrame, col: str) -> DataFrame:
-    """Attach the global min/max of ``col`` to every row as literals.
+def _with_min_max(df: DataFrame, col: str) -> tuple[DataFrame, float | None, float | None]:
+    """Attach the global min/max of ``col`` to every row as literals; also returns the two.
 
     The one-row aggregate (two numbers) is fetched first; the main pass is then
     purely map-side, with no join at all.
     """
     lo, hi = df.agg(F.min(_dbl(col)), F.max(_dbl(col))).first()
-    return df.withColumn("_lo", F.lit(lo).cast("double")).withColumn("_hi", F.lit(hi).cast("double"))
+    return df.withColumn("_lo", F.lit(lo).cast("double")).withColumn("_hi", F.lit(hi).cast("double")), lo, hi
+
+
+def _with_empty_bins(out: DataFrame, x: DataFrame, bins: int, by: str | None, fill: dict) -> DataFrame:
+    """``out`` with a row for every bin 1..``bins`` (of every class of ``by`` in ``x``)."""
+    grid = x.select(by).distinct() if by else x.sparkSession.range(1).select()
+    grid = grid.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
+    keys = ["bin", *([by] if by else [])]
+    r = out.withColumnsRenamed({k: "_g_" + k for k in keys})
+    on = [F.col(k).eqNullSafe(F.col("_g_" + k)) for k in keys]
+    return grid.join(r, on, "left").drop(*["_g_" + k for k in keys]).na.fill(fill)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 20, by: str | None = None) -> DataFrame:
     """Equal-width histogram between min and max; last bin closed on the right.
 
-    Returns ``bin`` (1..bins), optional ``by`` class, ``lo``/``hi`` edges and ``count``.
-    Bins with no rows are not emitted.
+    Returns every ``bin`` (1..bins) of every class ``by`` (optional) with its ``lo``/``hi``
+    edges and ``count``, 0 for bins without rows.  No rows: no bins.
     """
-    x = _with_min_max(df.where(F.col(col).isNotNull()), col)
+    x, lo, hi = _with_min_max(df.where(F.col(col).isNotNull()), col)
     norm = F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(1)).otherwise(
         F.least(F.floor((_dbl(col) - F.col("_lo")) * norm).cast("int") + 1, F.lit(bins)))
-    keys = [b.alias("bin")] + ([F.col(by)] if by else [])
-    out = x.groupBy(*keys, "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
+    out = x.groupBy(b.alias("bin"), *([F.col(by)] if by else [])).agg(F.count(F.lit(1)).alias("count"))
+    out = _with_empty_bins(out, x, bins, by, {"count": 0}).withColumns({"_lo": F.lit(lo).cast("double"), "_hi": F.lit(hi).cast("double")}).where("_lo is not null")
     w = (F.col("_hi") - F.col("_lo")) / bins
     return out.select("bin", *([by] if by else []),
                       (F.col("_lo") + (F.col("bin") - 1) * w).alias("lo"),
@@ -143,51 +151,37 @@ def histogram(df: DataFrame, col: str, bins: int = 20, by: str | None = None) ->
 def binned_rate(df: DataFrame, col: str, flag: str = "outbreak", bins: int = 5) -> DataFrame:
     """Mean of ``flag`` per equal-width bin of ``col`` (``pd.cut(x, bins)``).
 
-    Bins are right-closed; the bin number is the count of interior edges below x.
+    Bins are right-closed; the bin number is the count of interior edges below x.  Every bin
+    is returned with its edges ``lo`` and ``hi``; a bin without rows has count 0 and no rate.
     """
-    x = _with_min_max(df.where(F.col(col).isNotNull()), col)
+    x, lo, hi = _with_min_max(df.where(F.col(col).isNotNull()), col)
     w = (F.col("_hi") - F.col("_lo")) / bins
-    edges = [F.col("_lo") + w * i for i in range(1, bins)]
-    b = sum((F.when(_dbl(col) > e, 1).otherwise(0) for e in edges), F.lit(0)) + 1
-    return (x.withColumn("bin", b.cast("int")).groupBy("bin")
-            .agg(F.count(F.lit(1)).alias("count"), _rate(flag).alias("rate")))
-
-
-def pearson(a: str, b: str) -> Column:
-    """Pearson r over pairwise-complete rows; NULL when either column is constant."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    xa = F.when(both, _dbl(a))
-    xb = F.when(both, _dbl(b))
-    cov = F.covar_pop(xa, xb)
-    den = F.stddev_pop(xa) * F.stddev_pop(xb)
-    const = (F.max(xa) == F.min(xa)) | (F.max(xb) == F.min(xb))
-    return F.when(~const, F.try_divide(cov, den))
+    b = sum((F.when(_dbl(col) > F.col("_lo") + w * i, 1).otherwise(0) for i in range(1, bins)), F.lit(0)) + 1
+    out = x.withColumn("bin", b.cast("int")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"), _rate(flag).alias("rate"))
+    out = _with_empty_bins(out, x, bins, None, {"count": 0}).withColumns({"_lo": F.lit(lo).cast("double"), "_hi": F.lit(hi).cast("double")}).where("_lo is not null")
+    return out.select("bin", (F.col("_lo") + w * (F.col("bin") - 1)).alias("lo"), (F.col("_lo") + w * F.col("bin")).alias("hi"), "count", "rate")
 
 
-def correlation_matrix(df: DataFrame, cols, chunk: int = 24) -> DataFrame:
-    """Pairwise Pearson correlations (upper triangle, i<j) as rows (i, j, a, b, r).
+def correlation_matrix(df: DataFrame, cols) -> DataFrame:
+    """Pairwise Pearson correlations (upper triangle, i<j) as rows (i, j, a, b, r), over
+    pairwise-complete rows; r is NULL when either column is constant there.
 
-    Each ``agg`` computes up to ``chunk`` pairs in one pass with partial
-    aggregation.  Wider inputs are first written once (only the needed columns)
-    and then scanned once per chunk, which keeps every generated aggregate small.
+    One pass whatever the number of columns: each row gives its pairs of values, which are
+    combined per (i, j) in every task, so the shuffle has one row per pair and task.
     """
     cols = list(cols)
-    pairs = list(combinations(range(len(cols)), 2))
-    src = df.select(*cols)
-    if len(pairs) > chunk:
-        src = cut_lineage(src, "corr")
-    parts = []
-    for start in range(0, len(pairs), chunk):
-        block = pairs[start:start + chunk]
-        row = src.agg(*[pearson(cols[i], cols[j]).alias(f"_r{i}_{j}") for i, j in block])
-        stacked = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("a"),
-                     F.lit(cols[j]).alias("b"), F.col(f"_r{i}_{j}").alias("r")) for i, j in block]))
-        parts.append(row.select(stacked.alias("p")).select("p.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    v = df.select(F.array(*[_dbl(c) for c in cols]).alias("v"))
+    left = v.select("v", F.posexplode("v").alias("i", "x"))
+    pairs = left.select("i", "x", F.posexplode("v").alias("j", "y")).where("j > i and x is not null and y is not null")
+    den = F.stddev_pop("x") * F.stddev_pop("y")
+    const = (F.max("x") == F.min("x")) | (F.max("y") == F.min("y"))
+    r = pairs.groupBy(F.col("i").alias("_i"), F.col("j").alias("_j")) \
+        .agg(F.when(~const, F.try_divide(F.covar_pop("x", "y"), den)).alias("r"))
+    names = F.array(*[F.lit(c) for c in cols])
+    n = len(cols)
+    grid = df.sparkSession.range(n * n).select((F.col("id") / n).cast("int").alias("i"), (F.col("id") % n).cast("int").alias("j")).where("j > i")
+    return grid.join(r, (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")), "left") \
+        .select("i", "j", F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), "r")
 
 
 def high_correlation_pairs(df: DataFrame, cols, threshold: float = 0.7, top: int = 5) -> DataFrame:

@@ -46,8 +46,8 @@ def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "predictio
     (a class without rows has zeros)."""
     c = confusion_counts(df, label, pred)
     zero = F.lit(0).cast("long")
-    cell = [F.struct(F.lit(0).alias("actual"), F.coalesce("tn", zero).alias("predicted_0"), F.coalesce("fp", zero).alias("predicted_1")),
-            F.struct(F.lit(1).alias("actual"), F.coalesce("fn", zero).alias("predicted_0"), F.coalesce("tp", zero).alias("predicted_1"))]
+    cell = [F.struct(zero.alias("actual"), F.coalesce("tn", zero).alias("predicted_0"), F.coalesce("fp", zero).alias("predicted_1")),
+            F.struct(F.lit(1).cast("long").alias("actual"), F.coalesce("fn", zero).alias("predicted_0"), F.coalesce("tp", zero).alias("predicted_1"))]
     return c.select(F.explode(F.array(*cell)).alias("m")).select("m.*")
 
 

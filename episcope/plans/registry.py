@@ -12,6 +12,7 @@ from episcope.functions.calendar import calendar_features
 from episcope.operators.windows import label_outbreaks
 from episcope.plans.canon import canon
 from episcope.plans.features import prepare_ml_features
+from episcope.session import cut_lineage
 from episcope.sources import proxy
 from episcope.sources import proxy_sql as Q
 
@@ -242,13 +243,19 @@ def q_a14(spark, sf):
 
 def _hist_sql(src: str, col: str, bins: int, by: str | None = None) -> str:
     byc = f", {by}" if by else ""
+    grid = f"select g.bin, k.{by} from range(1, {bins + 1}) g(bin), (select distinct {by} from x) k" if by else \
+        f"select g.bin from range(1, {bins + 1}) g(bin)"
+    same = f" and g.{by} is not distinct from c.{by}" if by else ""
     return f"""
 with x as (select * from ({src}) s where {col} is not null),
 mm as (select min(cast({col} as double)) as lo, max(cast({col} as double)) as hi from x),
-b as (select case when hi = lo then 1 else least(cast(floor((cast({col} as double) - lo) * ({bins}.0 / (hi - lo))) as integer) + 1, {bins}) end as bin{byc}, lo, hi
-      from x, mm)
-select bin{byc}, lo + (bin - 1) * ((hi - lo) / {bins}) as lo, lo + bin * ((hi - lo) / {bins}) as hi, count(*) as count
-from b group by bin{byc}, b.lo, b.hi"""
+b as (select case when hi = lo then 1 else least(cast(floor((cast({col} as double) - lo) * ({bins}.0 / (hi - lo))) as integer) + 1, {bins}) end as bin{byc}
+      from x, mm),
+c as (select bin{byc}, count(*) as n from b group by all),
+g as ({grid})
+select cast(g.bin as integer) as bin{', g.' + by if by else ''}, lo + (g.bin - 1) * ((hi - lo) / {bins}) as lo, lo + g.bin * ((hi - lo) / {bins}) as hi,
+       coalesce(c.n, 0) as count
+from g left join c on g.bin = c.bin{same}, mm"""
 
 
 @register("a15_histogram", _hist_sql(Q.SOCIAL, "polarity", 20), ["lo", "hi"])
@@ -268,41 +275,53 @@ def _binned_sql(col: str, bins: int = 5) -> str:
     w = f"((hi - lo) / {bins})"
     edges = " + ".join(f"(case when cast({col} as double) > lo + {w} * {i} then 1 else 0 end)" for i in range(1, bins))
     return f"""
-with x as (select * from ({SURV_ENV}) s where {col} is not null),
-mm as (select min(cast({col} as double)) as lo, max(cast({col} as double)) as hi from x)
-select cast({edges} + 1 as integer) as bin, count(*) as count, avg(cast(outbreak as double)) as rate
-from x, mm group by 1"""
+select '{col}' as feature, cast(g.bin as integer) as bin, lo + {w} * (g.bin - 1) as lo, lo + {w} * g.bin as hi, coalesce(n, 0) as count, rate
+from (select min(cast({col} as double)) as lo, max(cast({col} as double)) as hi from ({SURV_ENV}) s) mm,
+     range(1, {bins + 1}) g(bin)
+left join (select {edges} + 1 as bin, count(*) as n, avg(cast(outbreak as double)) as rate
+           from (select * from ({SURV_ENV}) s where {col} is not null) x,
+                (select min(cast({col} as double)) as lo, max(cast({col} as double)) as hi from ({SURV_ENV}) s) m2 group by 1) c on c.bin = g.bin"""
 
 
 def _surv_env(spark, sf):
     return J.join_environment(_surv_l(spark, sf), proxy.environment(spark, sf))
 
 
-@register("a17_binned_rate", _binned_sql("temperature"), ["rate"])
+@register("a17_binned_rate", " union all ".join(_binned_sql(c) for c in ("temperature", "humidity")), ["lo", "hi", "rate"])
 def q_a17(spark, sf):
-    return A.binned_rate(_surv_env(spark, sf), "temperature", "outbreak", 5)
+    x = cut_lineage(_surv_env(spark, sf))
+    t, h = (A.binned_rate(x, c, "outbreak", 5).select(F.lit(c).alias("feature"), "*") for c in ("temperature", "humidity"))
+    return t.unionByName(h)
 
 
 def _corr_sql(src: str, cols: list[str]) -> str:
-    parts = []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            a, b = cols[i], cols[j]
-            xa = f"(case when {a} is not null and {b} is not null then cast({a} as double) end)"
-            xb = f"(case when {a} is not null and {b} is not null then cast({b} as double) end)"
-            r = (f"(case when max({xa}) = min({xa}) or max({xb}) = min({xb}) then null else "
-                 f"covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0) end)")
-            parts.append(f"select {i} as i, {j} as j, '{a}' as a, '{b}' as b, {r} as r from ({src}) s")
-    return " union all ".join(parts)
+    values = ", ".join(f"cast({c} as double)" for c in cols)
+    names = ", ".join(f"'{c}'" for c in cols)
+    n = len(cols)
+    return f"""
+select g.i, g.j, ([{names}])[g.i + 1] as a, ([{names}])[g.j + 1] as b, c.r
+from (select cast(a.v as integer) as i, cast(b.v as integer) as j from range({n}) a(v), range({n}) b(v) where b.v > a.v) g
+left join (
+  select i, j, case when max(x) = min(x) or max(y) = min(y) then null else covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) end as r
+  from (select p.i, p.j, t.v[p.i + 1] as x, t.v[p.j + 1] as y
+        from (select [{values}] as v from ({src}) s) t,
+             (select a.v as i, b.v as j from range({n}) a(v), range({n}) b(v) where b.v > a.v) p) u
+  where x is not null and y is not null group by i, j) c on g.i = c.i and g.j = c.j"""
 
 
-SURV_ENV_NUM = ["cases", "deaths", "hospitalizations", "temperature", "humidity", "precipitation",
-                "air_quality_index", "uv_index"]
+FLAGSHIP_FEATURES = [
+    "month", "quarter", "week_of_year", "day_of_year", "season", *ENV_COLS, "uv_index", *SOCIAL_COLS, "id_count",
+    "symptom_mentions", "cases_lag_1", "cases_lag_2", "cases_mean_4w", "cases_std_4w", "cases_trend", "polarity_lag_1",
+    "sentiment_trend", "temp_humidity_interaction", "temp_squared", "sentiment_symptoms_interaction",
+    "avg_engagement_per_post", "disease_encoded"]
 
 
-@register("a18_correlation_matrix", _corr_sql(SURV_ENV, SURV_ENV_NUM), ["r"])
+@register("a18_correlation_matrix", _corr_sql(FLAGSHIP_SQL, FLAGSHIP_FEATURES), ["r"])
 def q_a18(spark, sf):
-    return A.correlation_matrix(_surv_env(spark, sf), SURV_ENV_NUM)
+    feats = q_flagship(spark, sf)
+    if sorted(FLAGSHIP_FEATURES) != sorted(set(feats.columns) - {"disease", "region", "date", "outbreak"}):
+        raise ValueError("the list of features does not match the feature matrix")
+    return A.correlation_matrix(feats, FLAGSHIP_FEATURES)
 
 
 @register("a19_environment_correlation", _corr_sql(Q.ENV, ENV_COLS), ["r"])
@@ -310,15 +329,10 @@ def q_a19(spark, sf):
     return A.correlation_matrix(proxy.environment(spark, sf), ENV_COLS)
 
 
-CORR_FEATURES = ["cases_lag_1", "cases_lag_2", "cases_mean_4w", "cases_std_4w", "cases_trend", "temperature",
-                 "humidity", "temp_humidity_interaction", "temp_squared", "polarity_mean", "id_count",
-                 "month", "quarter", "week_of_year", "day_of_year", "season"]
-
-
 @register("a20_high_correlation_pairs", f"""
-select * from ({_corr_sql(FLAGSHIP_SQL, CORR_FEATURES)}) c where abs(r) > 0.7 order by i, j limit 5""", ["r"])
+select * from ({_corr_sql(FLAGSHIP_SQL, FLAGSHIP_FEATURES)}) c where abs(r) > 0.7 order by i, j limit 5""", ["r"])
 def q_a20(spark, sf):
-    return A.high_correlation_pairs(q_flagship(spark, sf), CORR_FEATURES, 0.7, 5)
+    return A.high_correlation_pairs(q_flagship(spark, sf), FLAGSHIP_FEATURES, 0.7, 5)
 
 
 @register("a21_outbreak_threshold", f"""
@@ -335,12 +349,24 @@ def q_f1(spark, sf):
     return FL.filter_in(proxy.surveillance(spark, sf), "disease", ["1-URGENT", "2-HIGH"])
 
 
-@register("f2_keyword_filter", """
-select doc_id, source from documents
-where coalesce(instr(lower(text), 'sch') > 0, false) or coalesce(instr(lower(source), 'sch') > 0, false)""")
+F2_KEYWORDS = ["sch", "idiot", "src7", "worthless"]
+
+
+@register("f2_keyword_filter", "select doc_id, source from documents where " + " or ".join(
+    f"coalesce(instr(lower({c}), '{k}') > 0, false)" for c in ("text", "source") for k in F2_KEYWORDS))
 def q_f2(spark, sf):
     d = proxy.table(spark, sf, "documents")
-    return FL.keyword_filter(d, ["text", "source"], ["sch"]).select("doc_id", "source")
+    return FL.keyword_filter(d, ["text", "source"], F2_KEYWORDS).select("doc_id", "source")
+
+
+@register("f11_flatten_agg_names", f"""
+select platform, avg(polarity) as polarity_mean, max(polarity) as polarity_max, sum(engagement_score) as engagement_score_sum,
+       count(id) as id_count from ({Q.SOCIAL}) s group by platform""", ["polarity_mean", "polarity_max", "engagement_score_sum"])
+def q_f11(spark, sf):
+    wanted = [("polarity", "mean"), ("polarity", "max"), ("engagement_score", "sum"), ("id", "count")]
+    how = {"mean": F.avg, "max": F.max, "sum": F.sum, "count": F.count}
+    aggs = [how[fn](c).alias(name) for (c, fn), name in zip(wanted, FL.flatten_names(wanted))]
+    return proxy.social(spark, sf).groupBy("platform").agg(*aggs)
 
 
 @register("f3_filter_class", f"select * from ({SURV_L}) s where outbreak = 1", ["outbreak_threshold"])
@@ -590,6 +616,20 @@ def q_d8(spark, sf):
     return o.select("year", cal.year_to_date("year").alias("date"))
 
 
+_HEALTH_PARTS = """month(date)::int as month, quarter(date)::int as quarter, dayofyear(date)::int as day_of_year, week(date)::int as week_of_year,
+       (['Winter','Spring','Summer','Fall'])[(month(date) % 12) // 3 + 1] as season"""
+
+
+@register("d8_health_features", f"""
+select *, {_HEALTH_PARTS} from (select 'dated' as kind, year(date)::int as year, date, cases from ({Q.SURV}) s
+  union all select 'yearly', y, make_date(y, 1, 1), n from (select year(date)::int as y, sum(cases)::bigint as n from ({Q.SURV}) s group by 1) t) u""")
+def q_d8_health(spark, sf):
+    s = proxy.surveillance(spark, sf)
+    dated = s.select(F.lit("dated").alias("kind"), F.year("date").alias("year"), "date", "cases")
+    yearly = s.groupBy(F.year("date").alias("year")).agg(F.sum("cases").cast("long").alias("cases")).select(F.lit("yearly").alias("kind"), "*")
+    return cal.health_features(dated).unionByName(cal.health_features(yearly))
+
+
 @register("d9_truncate_day_span_years", f"""
 select cast(created_at as date) as day, count(*) as posts,
        datediff('day', min(cast(created_at as date)), max(cast(created_at as date))) / 365.25 as span_years
@@ -678,13 +718,13 @@ def q_x4(spark, sf):
 
 
 @register("x5_parse_symptom_list", f"""
-select id, case when symptoms is null then null else cast(len(symptoms) as integer) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""")
+select id, array_to_string(symptoms, '|') as symptoms from ({Q.SOCIAL_TEXT}) s""")
 def q_x5(spark, sf):
     s = proxy.social_with_text(spark, sf)
     lit_text = F.when(F.col("symptoms").isNotNull(), F.concat(
         F.lit("["), F.array_join(F.transform("symptoms", lambda k: F.concat(F.lit("'"), k, F.lit("'"))), ", "),
         F.lit("]")))
-    return s.select("id", F.size(parse_list_literal(lit_text)).alias("n_symptoms"))
+    return s.select("id", F.array_join(parse_list_literal(lit_text), "|").alias("symptoms"))
 
 
 M1_SQL = f"""
@@ -944,7 +984,7 @@ def _training_data(spark, sf):
 
 def _single(spark, sf, spec):
     data, cols = _training_data(spark, sf)
-    r, _model, _preds = ML.train_one(spec, data, cols, cv_folds=0)
+    r, _model, _preds = ML.train_one(spec, data, cols)
     return spark.createDataFrame([r], ML.PERF_SCHEMA)
 
 
@@ -1046,7 +1086,7 @@ def _scratch(spark, name):
 
 @register("s1_read_social", f"""
 select cast(id as varchar) as id, platform, created_at, engagement_score, polarity,
-       case when symptoms is null then null else cast(len(symptoms) as integer) end as n_symptoms from ({Q.SOCIAL_TEXT}) s""",
+       array_to_string(symptoms, '|') as symptoms from ({Q.SOCIAL_TEXT}) s""",
           ["engagement_score", "polarity"])
 def q_s1(spark, sf):
     p = _scratch(spark, "social")
@@ -1056,18 +1096,18 @@ def q_s1(spark, sf):
     IO.write_table(s, p)
     r = IO.read_social(spark, p)
     return r.select("id", "platform", "created_at", "engagement_score", "polarity",
-                    F.size("symptoms").alias("n_symptoms"))
+                    F.array_join("symptoms", "|").alias("symptoms"))
 
 
 @register("s2_read_surveillance", f"""
-select disease, region, date, cases, deaths, outbreak, outbreak_threshold from ({SURV_L}) s""", ["outbreak_threshold"])
+select disease, region, date, cases, deaths, hospitalizations, outbreak, outbreak_threshold from ({SURV_L}) s""", ["outbreak_threshold"])
 def q_s2(spark, sf):
     p = _scratch(spark, "surv")
     s = _surv_l(spark, sf)
     IO.write_table(s.select("disease", "cases", "deaths", "hospitalizations", "region", "date", "outbreak",
                             "outbreak_threshold"), p)
-    return IO.read_surveillance(spark, p).select("disease", "region", "date", "cases", "deaths", "outbreak",
-                                                 "outbreak_threshold")
+    return IO.read_surveillance(spark, p).select("disease", "region", "date", "cases", "deaths",
+                                                 "hospitalizations", "outbreak", "outbreak_threshold")
 
 
 @register("s3_read_environment", f"select date, temperature, humidity, precipitation, air_quality_index, "
@@ -1217,7 +1257,7 @@ def q_stream(spark, sf):
     return STREAM.latest_daily_rows(spark, out)
 
 
-def _trainer_run(spark, sf, specs=None, cv_folds=0):
+def _trainer_run(spark, sf, specs=None, cv_folds=3):
     data, cols = _training_data(spark, sf)
     perf, fitted = ML.train_all(spark, data, cols, specs or ML.TRAINER_MODELS, cv_folds=cv_folds)
     return data, cols, perf, fitted
@@ -1236,7 +1276,7 @@ def q_e12(spark, sf):
 
 @register("t6_best_model")
 def q_t6(spark, sf):
-    return T.best_model(_trainer_run(spark, sf, ML.TRAINER_MODELS[:1] + ML.TRAINER_MODELS[2:3])[2], "auc")
+    return T.best_model(_trainer_run(spark, sf, cv_folds=0)[2], "auc")
 
 
 def _rf_importance(spark, sf):
@@ -1275,7 +1315,7 @@ def _saved_and_loaded(spark, sf):
 @register("ml13_predict_outbreak")
 def q_ml13(spark, sf):
     test, _model, loaded = _saved_and_loaded(spark, sf)
-    return ML.score(loaded, test)
+    return ML.predict({"logistic_regression": loaded}, "logistic_regression", test.drop("label", "outbreak"), ML_KEYS)
 
 
 @register("s12_save_load_model")

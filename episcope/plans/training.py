@@ -110,22 +110,33 @@ def prepare_training_frame(features: DataFrame, label: str = "outbreak", keys=("
     return cut_lineage(x)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """actual, predicted, probability of class 1 (or the margin for SVM)."""
+def score(model: PipelineModel, df: DataFrame, keys=("disease", "region", "date"), label: str = "label") -> DataFrame:
+    """The caller's ``keys``, actual (only if ``df`` has ``label``), predicted and the probability
+    of class 1.  An SVM has no probability; the logistic function of its margin stands for it
+    (0.5 at the boundary, monotone in the margin, not calibrated)."""
     out = model.transform(df)
     prob = (vector_to_array("probability")[1] if "probability" in out.columns
-            else vector_to_array("rawPrediction")[1])
-    return out.select(*[c for c in ("disease", "region", "date") if c in df.columns],
-                      F.col("label").cast("int").alias("actual"),
+            else 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1])))
+    actual = [F.col(label).cast("int").alias("actual")] if label in df.columns else []
+    return out.select(*[c for c in keys if c in df.columns], *actual,
                       F.col("prediction").cast("int").alias("predicted"), prob.alias("probability"))
 
 
+def predict(models: dict[str, PipelineModel], name: str, df: DataFrame, keys=("disease", "region", "date")) -> DataFrame:
+    """Predictions of the model called ``name`` for rows that need no label."""
+    if name not in models:
+        raise ValueError(f"no model {name!r}; trained: {sorted(models)}")
+    return score(models[name], df, keys)
+
+
 def cross_validate(spec: ModelSpec, train: DataFrame, feature_cols, folds: int = 3, rows: int = 5000,
                    seed: int = 42, grid: dict | None = None, parallelism: int = 2):
-    """Stratified k-fold AUC (mean, std, per grid point) on a seeded subsample."""
-    sub = cv_subsample(train, "row_id", rows, seed)
-    sub = fold_column(sub, "label", "row_id", folds, seed)
-    wsum = sub.agg(F.sum("weight")).first()[0] if spec.balanced else None
+    """Stratified k-fold AUC (mean, std, per grid point), on a seeded subsample of ``rows`` rows
+    (None: on all rows).  The regularisation is that of a fold's training rows."""
+    sub = train if rows is None else cv_subsample(train, "row_id", rows, seed)
+    sub = cut_lineage(fold_column(sub, "label", "row_id", folds, seed), "folds")
+    total = sub.agg(F.sum("weight") if spec.balanced else F.count(F.lit(1))).first()[0]
+    wsum = total * (folds - 1) / folds
     pipe = build_pipeline(spec, feature_cols, wsum)
     est = pipe.getStages()[-1]
     pg = ParamGridBuilder()
@@ -136,7 +147,7 @@ def cross_validate(spec: ModelSpec, train: DataFrame, feature_cols, folds: int =
                                        metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, foldCol="fold",
                         parallelism=parallelism, seed=seed)
-    m = cv.fit(sub)
+    m = cv.fit(sub)          # refits the best grid point on all of ``sub``: m.bestModel
     return maps, list(m.avgMetrics), list(m.stdMetrics), m
 
 

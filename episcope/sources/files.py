@@ -5,7 +5,7 @@ schema inference on the data path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,6 @@ from episcope.functions.text import parse_list_literal
 
 # Text tokens pandas reads as missing by default (subset used here).
 NA_TOKENS = ["", "NA", "N/A", "n/a", "NaN", "nan", "null", "NULL", "None", "#N/A", "<NA>", "-NaN", "-nan"]
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 SOCIAL_CSV_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("platform", T.StringType()),
@@ -57,28 +56,48 @@ def normalize_missing(df: DataFrame, cols=None, tokens=None) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c).isin(toks), F.lit(None)).otherwise(F.col(c)) for c in cols})
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Columns are matched by header name (any order, missing ones NULL), then typed.
 
-    Cells that do not parse as the field type become NULL.
+    All files of one path must have one header; a file with another order or other columns
+    is an error, never a silent shift of columns (read such files path by path).  Cells that
+    do not parse as the field type, and NaN, become NULL.  ``multi_line`` allows line breaks
+    in cells, at the price of one task per file.
     """
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("inferSchema", False).csv(path))
+    opts = {"header": True, "multiLine": multi_line, "escape": '"'}
+    names = spark.read.options(**opts, inferSchema=False).csv(path).columns
+    raw = spark.read.options(**opts, enforceSchema=False) \
+        .schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
     have = set(raw.columns)
     cols = []
     for f in schema.fields:
         if f.name in have:
             c = F.col(f"`{f.name}`")
-            cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
+            v = c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+                v = F.when(~F.isnan(v), v)
+            cols.append(v.alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return raw.select(*cols)
 
 
+def utc_wall_clock(text) -> Column:
+    """Time text -> TIMESTAMP_NTZ in UTC: a trailing offset (``+02:00``) is taken off, no offset
+    or ``Z`` is UTC already, text that is no time gives NULL."""
+    c = F.trim(text)
+    offset = r"([+-])(\d{2}):?(\d{2})$"
+    is_off = c.rlike(r"\d:\d{2}(:\d{2}(\.\d+)?)?\s*[+-]\d{2}:?\d{2}$")
+    wall = F.regexp_replace(F.when(is_off, F.regexp_replace(c, offset, "")).otherwise(c), r"\s*Z$", "").try_cast("timestamp_ntz")
+    part = lambda i: F.coalesce(F.regexp_extract(c, offset, i).try_cast("int"), F.lit(0))
+    minutes = (part(2) * 60 + part(3)) * F.when(F.regexp_extract(c, offset, 1) == "-", -1).otherwise(1)
+    return F.when(is_off, wall - F.make_dt_interval(mins=minutes)).otherwise(wall)
+
+
 def read_social(spark: SparkSession, path: str, na_cols=("author", "platform")) -> DataFrame:
-    """Posts CSV: ``created_at`` parsed, ``symptoms`` list literal -> array<string>."""
-    df = normalize_missing(_read_csv(spark, path, SOCIAL_CSV_SCHEMA), list(na_cols))
-    return (df.withColumn("created_at", F.to_timestamp_ntz(F.col("created_at"), F.lit(TS_FORMAT)))
+    """Posts CSV: ``created_at`` parsed (see :func:`utc_wall_clock`), ``symptoms`` list literal -> array<string>."""
+    df = normalize_missing(_read_csv(spark, path, SOCIAL_CSV_SCHEMA, multi_line=True), list(na_cols))
+    return (df.withColumn("created_at", utc_wall_clock(F.col("created_at")))
             .withColumn("symptoms", parse_list_literal("symptoms")))
 
 
@@ -138,7 +157,7 @@ def write_table(df: DataFrame, path: str) -> None:
     for c, t in df.dtypes:
         if t.startswith("array"):
             out = out.withColumn(c, F.concat(F.lit("["), F.array_join(
-                F.transform(c, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", "), F.lit("]")))
+                F.transform(c, lambda x: F.concat(F.lit("'"), F.regexp_replace(x, r"(['\\\\])", r"\\$1"), F.lit("'"))), ", "), F.lit("]")))
         elif t.startswith(("struct", "map")):
             out = out.withColumn(c, F.to_json(c))
     (out.write.mode("overwrite").option("header", True).option("escape", '"')

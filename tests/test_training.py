@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from episcope.plans import training as ML
@@ -51,3 +52,35 @@ def test_forest_importance(spark):
     assert abs(sum(imp.values()) - 1.0) < 1e-6
     assert imp["f1"] > imp["f5"] and imp["f0"] > imp["f4"]
     assert r["auc"] > 0.85
+
+
+def test_predict_needs_no_label_and_a_known_model(spark):
+    df, cols = _fixture(spark, n=800)
+    data = ML.prepare_training_frame(df, "outbreak", ("disease", "region", "date"))
+    for spec in (ML.ANALYSIS_MODELS[2], ML.TRAINER_MODELS[3]):
+        _r, model, _p = ML.train_one(spec, data, cols, cv_folds=0)
+        new = df.drop("outbreak").withColumn("own_key", F.col("date"))
+        out = ML.predict({spec.name: model}, spec.name, new, keys=("own_key",))
+        assert out.columns == ["own_key", "predicted", "probability"] and out.count() == 800
+        assert out.where("probability < 0 or probability > 1 or (probability > 0.5) <> (predicted = 1)").count() == 0
+        with pytest.raises(ValueError, match="no model"):
+            ML.predict({spec.name: model}, "other", new)
+
+
+def test_cross_validation_regularises_like_a_fold(spark):
+    df, cols = _fixture(spark, n=900)
+    data = ML.prepare_training_frame(df, "outbreak", ("disease", "region", "date"))
+    spec = ML.ModelSpec("plain", "lr", {"C": 1.0, "maxIter": 50}, scaled=True)
+    _maps, mean, _std, cv = ML.cross_validate(spec, data.where("not is_test"), cols, folds=3, rows=None)
+    assert abs(cv.bestModel.stages[-1].getRegParam() - 1 / (720 * 2 / 3)) < 1e-4 and mean[0] > 0.9
+
+
+def test_boosting_and_selection(spark):
+    df, cols = _fixture(spark, n=800)
+    data = ML.prepare_training_frame(df, "outbreak", ("disease", "region", "date"))
+    r, _m, _p = ML.train_one(ML.ModelSpec("gbt", "gbt", {"maxIter": 5, "maxDepth": 3}), data, cols, cv_folds=0)
+    assert r["auc"] > 0.8
+    spec = ML.ModelSpec("sel", "lr", {"C": 1.0, "maxIter": 50}, scaled=True, select_k=2)
+    _r, model, _p = ML.train_one(spec, data, cols, cv_folds=0)
+    sel = [s for s in model.stages if hasattr(s, "selectedFeatures")][0]
+    assert sorted(cols[i] for i in sel.selectedFeatures) == ["f0", "f1"]
