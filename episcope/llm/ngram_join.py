@@ -7,7 +7,7 @@ shingles.  Sizes are cut into bands; a band's sketches have more than d blocks f
 linked documents have a block in which nothing differs (pigeonhole).  The join is on that block:
 on the XOR of its shingles' 64-bit hashes, which is equal when the block's shingles are and tells
 apart what the block's few parity bits do not.  Blocks without shingles would agree by chance;
-as there are a few blocks more than d + 1, a document with more than d filled blocks leaves its
+as there are more blocks than d + 1, a document with more than d filled blocks leaves its
 empty ones out (an untouched block that is filled remains), the rare others keep them.
 Documents compare in the band of the larger one: each sends its blocks to its own band and, if
 a partner may lie there, to the next band.
@@ -32,6 +32,8 @@ Rows that repeat a key are that document again.  An empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 
 from episcope.llm.common import cut, mix64, partitions_of
 from episcope.llm.components import connected_components
+from episcope.operators.joins import bounded_broadcast
 
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                             0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -88,10 +91,23 @@ def bound(a, b, percent: int):
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def sketch(shingles: np.ndarray, band: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket ids of the blocks that join, parity bits: 16 a block) for a band whose linked
-    sets differ in at most ``most`` shingles."""
-    blocks = most + 1 + max(1, (most + 1) // 16)
+@lru_cache(maxsize=None)
+def blocks_for(least: int, most: int) -> int:
+    """Blocks of a band: enough that a set of ``least`` shingles, the smallest that joins there, is
+    expected to fill more than ``most`` of them by two standard deviations."""
+    n = most + 1
+    while True:
+        empty = (1 - 1 / n) ** least
+        spread = n * empty * max(0.0, 1 - (1 + least / n) * empty)
+        if n * (1 - empty) - 2 * spread ** 0.5 >= most + 1 or n > 2 * (most + 1):
+            return n
+        n += max(1, n // 50)
+
+
+def sketch(shingles: np.ndarray, band: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket ids of the blocks that join, parity bits: 16 a block) for a band whose sets have
+    ``least`` shingles or more and, if linked, differ in at most ``most``."""
+    blocks = blocks_for(least, most)
     r = mix64(shingles ^ K[7])
     block = (r % np.uint64(blocks)).astype(np.int64)
     bits = (np.bincount(block * 16 + (r >> np.uint64(60)).astype(np.int64), minlength=16 * blocks) & 1).astype(np.uint8)
@@ -116,7 +132,7 @@ def _sketches(n: int, shingles: np.ndarray, percent: int) -> list[tuple[int, np.
             top = (edges[band + 1] if band + 1 < len(edges) else max(edges[band] + 1, int(edges[band] * RATIO))) - 1
             most = bound(top, top, percent)
             if most > 0:                         # else only equal sets link, which are one class already
-                buckets, bits = sketch(shingles, band, most)
+                buckets, bits = sketch(shingles, band, max(1, edges[band] * percent // 100), most)
                 out.append((band, buckets, bits.tobytes()))
     return out
 
@@ -206,10 +222,12 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     of_set = ["n", "h1", "h2"]
     classes = rows.filter("n > 0").groupBy(*of_set).agg(F.min("key").alias("rep"))
 
-    reps = rows.join(classes.withColumnsRenamed({c: "_" + c for c in of_set}),
-                     (F.col("key") == F.col("rep")) & F.expr("n = _n and h1 = _h1 and h2 = _h2"), "left_semi")
-    words = reps.select(F.explode("buckets").alias("bucket"), F.col("key").alias("id"))
-    stars = words.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("last > centre")
+    copies = rows.select("key", *of_set).join(classes.withColumnsRenamed({c: "_" + c for c in of_set}), F.expr("n = _n and h1 = _h1 and h2 = _h2")) \
+        .filter("key <> rep").select(F.col("key").alias("_copy")).distinct() \
+        .join(classes.select(F.col("rep").alias("_rep")), F.col("_copy") == F.col("_rep"), "left_anti")
+    words = rows.select("key", "buckets").join(bounded_broadcast(cut(copies, "copies")), F.col("key") == F.col("_copy"), "left_anti") \
+        .select(F.explode("buckets").alias("bucket"), F.col("key").alias("id"))
+    stars = cut(words.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("last > centre").drop("last"), "stars", tidy=True)
     members = cut(words.join(stars.withColumnRenamed("bucket", "_bucket"), F.col("bucket") == F.col("_bucket"))
                   .select("bucket", "id", "centre"), "buckets", tidy=True)
 
