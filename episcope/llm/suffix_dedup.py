@@ -254,7 +254,7 @@ def _compare(width: int):
 def repeated_runs(src: DataFrame, width: int, gram: int, group_rows: int) -> DataFrame:
     """(doc, tag, start, stop): runs of bytes to remove, which may overlap.  src: doc, data, tag."""
     found = src.mapInArrow(_find(width, gram), FOUND)
-    decided = cut(found.repartition("mh").sortWithinPartitions("mh", "eh", "doc", "start", "tag").mapInArrow(_decide(width), FOUND), "extents")
+    decided = cut(found.repartition("mh").sortWithinPartitions("mh", "eh", "doc", "start", "tag").mapInArrow(_decide(width), FOUND), "extents", tidy=True)
     runs = decided.filter(F.col("kind") == REPEAT).select("doc", "tag", "start", F.col("eh").alias("stop"))
 
     ask = decided.filter(F.col("kind") == OPEN).select("mh", F.col("eh").alias("classes"), F.col("doc").alias("d"), F.col("tag").alias("t"), "start",
@@ -262,7 +262,7 @@ def repeated_runs(src: DataFrame, width: int, gram: int, group_rows: int) -> Dat
     ctx = src.join(ask, (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("t"))) \
         .select("mh", "classes", "doc", "tag", "start", "count", "off",
                 F.expr(f"substring(data, cast(start + 1 as int), count + {width - 1})").alias("ctx"))
-    ctx = cut(ctx, "contexts")
+    ctx = cut(ctx, "contexts", tidy=True)
     small = ctx.filter(F.col("classes") <= group_rows).drop("classes").repartition("mh").sortWithinPartitions("mh")
     runs = runs.unionByName(small.mapInArrow(_compare(width), "doc long, tag int, start long, stop long"))
 
@@ -307,7 +307,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     src = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("doc"), data.alias("data")) \
         .withColumn("tag", F.hash("data"))
-    runs = cut(repeated_runs(src, width, gram, group_rows), "runs").groupBy(F.col("doc").alias("d"), F.col("tag").alias("t")) \
+    runs = cut(repeated_runs(src, width, gram, group_rows), "runs", tidy=True).groupBy(F.col("doc").alias("d"), F.col("tag").alias("t")) \
         .agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
     whole = src.join(runs, (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("t")), "left").select("doc", "data", "runs")
     return whole.mapInArrow(_apply, "doc long, n_bytes long, spans array<struct<start:bigint,stop:bigint>>, kept binary") \
