@@ -186,7 +186,9 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 
     pairs = cut(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    found = docs.join(ids, docs["key"] == ids["id"], "left_semi").mapInArrow(sets, "id long, set binary")
+    # the texts stay where they are as long as the list of their ids passes the size check
+    few = bounded_broadcast(cut(ids, "ids"))
+    found = docs.join(few, docs["key"] == few["id"], "left_semi").mapInArrow(sets, "id long, set binary")
     found = cut(found, "sets", tidy=True)
     width = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_CHUNK).cast("int").alias("parts"))
     centres = found.join(width, F.col("id") == F.col("a")) \
