@@ -1318,7 +1318,9 @@ def q_ml13(spark, sf):
     return ML.predict({"logistic_regression": loaded}, "logistic_regression", test.drop("label", "outbreak"), ML_KEYS)
 
 
-@register("s12_save_load_model")
+@register("s12_save_load_model", f"""
+select cast(sum(floor(n * 0.2 + 0.5)) as bigint) as rows, cast(0 as bigint) as mismatches
+from (select outbreak, count(*) as n from ({SURV_L}) s group by outbreak) c""")
 def q_s12(spark, sf):
     test, model, loaded = _saved_and_loaded(spark, sf)
     a = ML.score(model, test).select(*ML_KEYS, F.col("probability").alias("p_fit"))
@@ -1353,8 +1355,12 @@ def q_ml11(spark, sf):
 def q_ml12(spark, sf):
     data, cols = _training_data(spark, sf)
     train = data.where(~F.col("is_test"))
-    grid = {"numTrees": [20, 50], "maxDepth": [5, 10]}
-    maps, mean, std, _m = ML.cross_validate(ML.TRAINER_MODELS[0], train, cols, folds=3, rows=5000, grid=grid)
-    rows = [(int(m[[p for p in m if p.name == "numTrees"][0]]), int(m[[p for p in m if p.name == "maxDepth"][0]]),
-             float(a), float(b)) for m, a, b in zip(maps, mean, std)]
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, cv_auc_mean double, cv_auc_std double")
+    # the whole grid on all training rows; the best point is refitted on all of them
+    maps, mean, std, cv = ML.cross_validate(ML.TRAINER_MODELS[0], train, cols, folds=3, rows=None, grid=ML.RF_GRID, parallelism=4)
+    best = cv.bestModel.stages[-1]
+    rows = []
+    for m, a, b in zip(maps, mean, std):
+        point = {p.name: v for p, v in m.items()}
+        rows.append((int(point["numTrees"]), int(point["maxDepth"]), float(a), float(b),
+                     (best.getNumTrees, best.getMaxDepth()) == (point["numTrees"], point["maxDepth"])))
+    return spark.createDataFrame(rows, "num_trees int, max_depth int, cv_auc_mean double, cv_auc_std double, best boolean")
