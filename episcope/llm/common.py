@@ -126,7 +126,7 @@ class Encoder:
     pre-tokenizer, a normalizer) are encoded text by text.
     """
 
-    def __init__(self, path: str, cache_chunks: int = 700_000):
+    def __init__(self, path: str, cache_chunks: int = 400_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
