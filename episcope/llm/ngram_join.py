@@ -55,7 +55,7 @@ BAND_BITS = 8        # low bits of a bucket's id: its band
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
