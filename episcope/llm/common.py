@@ -46,6 +46,14 @@ def free_name(base: str, *frames: DataFrame) -> str:
     return base
 
 
+def small_batches(batches, rows: int = TEXT_BATCH_ROWS):
+    """The same rows in Arrow batches of at most ``rows``: what a task makes of a batch (Python
+    strings, lists of hashes) is held for so many texts only."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def partitions_of(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, mix64, partitions_of
+from episcope.llm.common import cut, mix64, partitions_of, small_batches
 from episcope.llm.components import connected_components
 from episcope.operators.joins import bounded_broadcast
 
@@ -55,7 +55,7 @@ BAND_BITS = 8        # low bits of a bucket's id: its band
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -139,7 +139,7 @@ def _sketches(n: int, shingles: np.ndarray, percent: int) -> list[tuple[int, np.
 
 def _describe(size: int, percent: int):
     def run(batches):
-        for b in batches:
+        for b in small_batches(batches):
             rows = []
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = shingle_set(text, size)
@@ -164,7 +164,7 @@ def _verify(percent: int):
     """Rows (a, part, b, set), sorted so that the centre's set (b null) comes first in each (a, part)."""
     def run(batches):
         current, centre = None, None
-        for batch in batches:
+        for batch in small_batches(batches):
             found = []
             for a, part, b, s in zip(*(c.to_pylist() for c in batch.columns)):
                 if b is None:
@@ -180,7 +180,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     """Those (a, b) whose sets link.  Sets are made from the whole texts of the documents that
     occur in pairs.  A centre with many partners is copied once for every STAR_CHUNK of them."""
     def sets(batches):
-        for b in batches:
+        for b in small_batches(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, size).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
                                              names=["id", "set"])
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, encoder
+from episcope.llm.common import cut, encoder, small_batches
 
 PIECES = ("key long, start long, length long, ids binary, doc_tokens long, window_id long, "
           "offset long, open boolean, task int")
@@ -97,7 +97,7 @@ def _pack_task(tokenizer: str, end_id: int, window: int, open_windows: int, min_
     def run(batches):
         enc, task = encoder(tokenizer), TaskContext.get().partitionId()
         packer, rows = OnlinePacker(window, open_windows, min_piece, task << 32), []
-        for b in batches:
+        for b in small_batches(batches):
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = memoryview(enc.encode(text or "", end_id))
                 total = len(ids) // 4

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from episcope.llm.common import small_batches
+
 # The base patterns, in the order in which equal starts are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -61,7 +63,7 @@ def _pairs(tokens: list[str]) -> np.ndarray:
 def _count(batches):
     """(label, from, to, n) sums of one task; label 1: secret values, 0: all else."""
     sums = np.zeros((2, STATES * STATES), dtype=np.int64)
-    for b in batches:
+    for b in small_batches(batches):
         for text in b.column(0).to_pylist():
             if not text:
                 continue
@@ -120,7 +122,7 @@ def scan(docs: DataFrame, text: str = "text", model: np.ndarray | None = None, m
                              T.StructField("spans", T._parse_datatype_string(SPAN))])
 
     def run(batches):
-        for b in batches:
+        for b in small_batches(batches):
             found = []
             for t in b.column(b.schema.get_field_index(text)).to_pylist():
                 t = t or ""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, mix64
+from episcope.llm.common import cut, mix64, small_batches
 from episcope.llm.suffix_sort import deep_shallow
 
 LAST = 2 ** 63 - 1                  # stands for a null key
@@ -138,7 +138,7 @@ def _find(width: int, gram: int):
 
     def run(batches):
         parts, held = [], 0
-        for b in batches:
+        for b in small_batches(batches):
             for doc, text, tag in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 if text is None or len(text) < width:
                     continue
@@ -280,7 +280,7 @@ def repeated_runs(src: DataFrame, width: int, gram: int, group_rows: int) -> Dat
 def _apply(batches):
     """(doc, data, runs) -> spans that touch or overlap joined, and the bytes that stay."""
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])), pa.binary()]
-    for b in batches:
+    for b in small_batches(batches):
         out = [[], [], [], []]
         for doc, data, runs in zip(*(c.to_pylist() for c in b.columns)):
             spans, kept, at = [], [], 0

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, encoder, mix64, open_fs, partitions_of, write_whole
+from episcope.llm.common import cut, encoder, mix64, open_fs, partitions_of, small_batches, write_whole
 
 MAGIC, HEAD, TRAILER = b"TOKSHRD1", "<8sQ", "<QQ8s"
 HEAD_BYTES, TRAILER_BYTES = struct.calcsize(HEAD), struct.calcsize(TRAILER)
@@ -59,7 +59,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
 
         def body():
             yield struct.pack(HEAD, MAGIC, 4 if wide else 2)
-            for b in batches:
+            for b in small_batches(batches):
                 for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     ids = np.frombuffer(enc.encode(t or "", end_id), dtype="<u4")
                     keys.append(k or 0)

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from episcope.llm.common import small_batches
+
 BITS = 18
 SENTENCES = "array<struct<start:int,end:int,score:double>>"
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -59,7 +61,7 @@ class NoisyOr:
         got = self._cache.get(word)
         if got is None:
             got = float(self.weights[word_features(word)].sum())
-            if len(self._cache) >= 500_000:
+            if len(self._cache) >= 250_000:
                 self._cache.clear()
             self._cache[word] = got
         return got
@@ -158,7 +160,7 @@ def score(docs: DataFrame, model: NoisyOr, text: str = "text", sentence_floor: f
     sent = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches):
-        for b in batches:
+        for b in small_batches(batches):
             scores, found = [], []
             for t in b.column(b.schema.get_field_index(text)).to_pylist():
                 parts = model.sentences(t or "")
