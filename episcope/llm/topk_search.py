@@ -1,9 +1,10 @@
 """Exact top-k inner products: a Voronoi kNN join.
 
 Pivots are drawn from the data (a bounded sample; their number is a parameter).  Queries and
-data are grouped by their nearest pivot.  Each data group has a summary: its size, radius and
-the distances of its members nearest to the pivot.  For a query group with centre c and
-radius rho, and a data group with pivot p,
+data are grouped by their nearest pivot.  Each data group has a summary: the distances and ids
+of its members nearest to the pivot, as many as leave k whichever one id is left out (a query
+does not count rows of its own id).  For a query group with centre c and radius rho, and a data
+group with pivot p,
 
     q.v <= c.p + rho |p| + |q|max dist(v, p)      q.v >= c.p - rho |p| - |q|max dist(v, p)
 
@@ -23,6 +24,8 @@ beyond 2^53 use Python integers, those beyond long are held at its limits).
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -94,6 +97,19 @@ def best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: in
                          "score": np.concatenate([o[2] for o in out]) if out else np.array([], dtype=np.int64)})
 
 
+def _enough(ids, k: int) -> tuple[list[int], bool]:
+    """Places of the first of ``ids`` (best first) that leave k rows whichever one id is left out,
+    at most k rows of an id and 2 k in all; and whether there are so many."""
+    at, seen = [], Counter()
+    for i, x in enumerate(ids):
+        if seen[x] < k:
+            seen[x] += 1
+            at.append(i)
+            if len(at) - max(seen.values()) >= k:
+                return at, True
+    return at, False
+
+
 def topk_join(queries: DataFrame, data: DataFrame, k: int = 5, pivots: int = 64, pivot_sample: int = 4096,
               query_rows: int = 2048, slice_rows: int = 50_000, seed: int = 11) -> DataFrame:
     """(query_id, rank, id, score): the k best rows of ``data`` for each row of ``queries``;
@@ -133,18 +149,23 @@ def _join_dim(queries: DataFrame, data: DataFrame, dim: int, total: int, k: int,
 
     kind = "id long, vec binary, cell int, dist double, norm double"
     data, queries = cut(data.mapInPandas(assign, kind), "knn-cells"), cut(queries.mapInPandas(assign, kind), "knn-qcells")
-    # summaries: at most `pivots` rows each.  near: the k + 1 smallest distances (one row may be the query itself)
+    # summaries: for each of at most `pivots` cells, the nearest members that `_enough` wants (2 k at most)
+    def nearest(f):
+        f = f.sort_values(["dist", "id"], kind="stable")
+        return f.iloc[_enough(f["id"].tolist(), k)[0]]
+
     def summary(frames):
         near: dict = {}
         for f in frames:
             for c, g in f.groupby("cell"):
-                near[c] = sorted(near.get(c, []) + g["dist"].nsmallest(k + 1).tolist())[:k + 1]
-        yield pd.DataFrame([(c, d) for c, ds in near.items() for d in ds], columns=["cell", "dist"]).astype({"cell": "int32"})
+                near[c] = nearest(pd.concat([near[c], g]) if c in near else g)
+        yield pd.concat(near.values()) if near else pd.DataFrame({"cell": np.zeros(0, np.int32), "dist": np.zeros(0), "id": np.zeros(0, np.int64)})
 
     near: dict = {}
-    for r in data.select("cell", "dist").mapInPandas(summary, "cell int, dist double") \
-            .groupBy("cell").agg(F.slice(F.sort_array(F.collect_list("dist")), 1, k + 1).alias("near")).collect():
-        near[r["cell"]] = list(r["near"])
+    of_cell = "cell int, dist double, id long"
+    for r in data.select("cell", "dist", "id").mapInPandas(summary, of_cell) \
+            .groupBy("cell").applyInPandas(nearest, of_cell).collect():
+        near.setdefault(r["cell"], []).append((r["dist"], r["id"]))
     groups = queries.groupBy("cell").agg(F.max("dist").alias("rho"), F.max("norm").alias("norm"),
                                          F.count(F.lit(1)).alias("n")).collect()
 
@@ -153,8 +174,9 @@ def _join_dim(queries: DataFrame, data: DataFrame, dim: int, total: int, k: int,
     filled = query_rows
     for g in sorted(groups, key=lambda g: (float(p[g["cell"]] @ p[0]), g["cell"])):
         c, rho, qn = g["cell"], g["rho"] * (1 + SLACK) + SLACK, g["norm"] * (1 + SLACK) + SLACK
-        low = sorted((p[c] @ p[j] - rho * p_len[j] - qn * d for j, ds in near.items() for d in ds), reverse=True)
-        floors.append(low[k] if len(low) > k else -np.inf)    # k others at least score that much
+        low = sorted(((p[c] @ p[j] - rho * p_len[j] - qn * d, i) for j, ds in near.items() for d, i in ds), reverse=True)
+        at, enough = _enough([i for _, i in low], k)
+        floors.append(low[at[-1]][0] if enough else -np.inf)  # k rows of other ids at least score that much
         cells.append(c)
         rhos.append(rho)
         if filled + g["n"] > query_rows:

@@ -114,6 +114,21 @@ def test_topk_equals_brute_force(spark, make_docs):
     assert topk_search.topk_join(empty, empty).count() == 0
 
 
+def test_topk_of_an_id_repeated_more_than_k_times(spark, make_docs):
+    """Rows of the query's own id do not count towards the floor under its k-th score."""
+    one = [(50, [1.0, 0.0])] * 6 + [(i, [0.5, i / 16]) for i in range(1, 11)]
+    far = [(100, [1.0, 0.0])] * 40 + [(100, [0.0, 1.0])] * 40 + [(7, [0.25, 0.5])] * 9 + [(8, [0.5, 0.25])] * 3 + [(9, [-1.0, -1.0])] * 9
+    for rows, k in ((one, 5), (far, 5), (far[:80], 3), (far, 20)):
+        data = topk_search.quantise(_vectors(spark, rows), "vec_id", "embedding", 256.0)
+        every = {}
+        for q, r, i, s in _brute_topk(rows, len(rows)):
+            every.setdefault(q, []).append((-s, i))
+        want = [(q, r + 1, i, -s) for q, found in every.items() for r, (s, i) in enumerate(sorted(found)[:k])]
+        for kw in ({}, {"pivots": 2, "query_rows": 2, "slice_rows": 7}):
+            out = topk_search.topk_join(data.filter("id % 50 = 0"), data, k=k, **kw).collect()
+            assert sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in out) == sorted(want)
+
+
 def test_voronoi_bounds_prune_rows(spark, make_docs):
     """Far clusters are not replicated to a query group that they cannot serve."""
     rng = np.random.default_rng(4)
