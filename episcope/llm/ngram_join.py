@@ -17,9 +17,17 @@ bucket, and no bucket is expanded into pairs:
 
 1. every member is verified against the bucket's smallest id (a star), links are followed to
    components, and buckets whose members then lie in one component are done;
-2. in the rest, members outside the component of the smallest id meet all members of other
-   components: chunk against chunk, by the sketches' Hamming distance, and only pairs within
-   the bound are verified.  The chunks have a fixed size, so a large bucket is many tasks.
+2. in the rest, members outside the bucket's main component meet the members of other
+   components by the sketches' Hamming distance, and only pairs within the bound are verified.
+   Buckets of more than PAIR_CHUNK members (documents that share a passage) are not compared as
+   such: their members meet again by a second key, their rarest shingles.  Linked sets share
+   at least ceil(t n) of either's n shingles, so in any one order of all shingles they share one
+   among the first n - ceil(t n) + 1; in order of the number of open documents that have
+   them, the shingles of a passage come last.
+
+Groups are compared chunk by chunk, PAIR_CHUNK rows a side, so a task holds two chunks however
+large its group is.  A group in which even the rare shingles are common (texts put together
+from a few templates) is as many such tasks as it has pairs of chunks.
 
 Verification is exact, on the whole sets of 64-bit shingle hashes.  So no link is lost, and
 components are those of all links.
@@ -47,7 +55,7 @@ from episcope.operators.joins import bounded_broadcast
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                             0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 STAR_CHUNK = 64      # members that meet one copy of a hot star's centre
-PAIR_CHUNK = 256     # members of a bucket that one task compares with others at once
+PAIR_CHUNK = 256     # rows a side that one task compares at once; larger buckets are split by rare shingles
 RATIO = 1.5          # of neighbouring size bands
 BAND_BITS = 8        # low bits of a bucket's id: its band
 
@@ -201,15 +209,16 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 
 
 def _cross_pairs(percent: int):
-    """Within one (bucket, chunk): pairs of the chunk's members with members of other components
-    whose sketches lie within the bound."""
+    """Within one pair of chunks (left: the chunk's own members, right: those they meet): pairs of
+    different components whose sketches lie within the bound."""
     def run(pdf):
         out = []
         if len(pdf):
             ids, comp, n = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["n"].to_numpy()
             words = np.frombuffer(b"".join(pdf["bits"]), dtype=np.uint8).reshape(len(pdf), -1).view("<u2")
-            for i in np.flatnonzero(pdf["mine"].to_numpy()):
-                j = np.flatnonzero(comp != comp[i])
+            left, right = np.flatnonzero(pdf["left"].to_numpy()), np.flatnonzero(pdf["right"].to_numpy())
+            for i in left:
+                j = right[comp[right] != comp[i]]
                 far = np.bitwise_count(words[j] ^ words[i]).sum(axis=1, dtype=np.int64)
                 for k in j[far <= bound(n[j], n[i], percent)]:
                     out.append((min(ids[i], ids[k]), max(ids[i], ids[k])))
@@ -217,6 +226,50 @@ def _cross_pairs(percent: int):
     return run
 
 
+def _chunk_pairs(rest: DataFrame) -> DataFrame:
+    """``rest`` (grp, band, id, component, mine) once for each pair of chunks (x, y) of its group
+    that the row occurs in.  Members outside the main component are chunks 0 to c - 1, the others
+    follow as c to c + d - 1; x < c meets every y >= x, so each pair of members meets once."""
+    def chunks(own):
+        return F.ceil(F.count(F.when(own, 1)) / PAIR_CHUNK).cast("int")
+
+    counts = rest.groupBy(F.col("grp").alias("_g")).agg(chunks(F.col("mine")).alias("c"), chunks(~F.col("mine")).alias("d"))
+    at = F.when(F.col("mine"), F.pmod(F.xxhash64("id"), F.col("c"))).otherwise(F.col("c") + F.pmod(F.xxhash64("id"), F.greatest("d", F.lit(1)))).cast("int")
+    # as the left side with each y from its own chunk on, as the right side with each x before it
+    meets = F.explode(F.sequence(F.lit(0), F.when(F.col("mine"), F.col("c") + F.col("d")).otherwise(F.col("c")) - 1))
+    return rest.join(counts, F.col("grp") == F.col("_g")).withColumn("at", at).withColumn("with", meets) \
+        .select("grp", F.least("at", "with").alias("x"), F.greatest("at", "with").alias("y"), "band", "id", "component",
+                (F.col("mine") & (F.col("at") <= F.col("with"))).alias("left"), (F.col("at") >= F.col("with")).alias("right"))
+
+
+def _rare_groups(large: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(grp, band, id, component, mine): members of large open buckets by their rarest shingles."""
+    def shingles(batches):
+        for b in small_batches(batches, 64):
+            sets = [shingle_set(t, size) for t in b.column(1).to_pylist()]
+            n = [len(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(), n), pa.int64()), pa.array(np.repeat(n, n), pa.int64()),
+                                              pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64())], names=["id", "n", "h"])
+
+    of = cut(large.select(F.col("id").alias("_id"), "band", "component").distinct(), "large")
+    few = bounded_broadcast(cut(of.select("_id").distinct(), "large-ids"))
+    have = docs.join(few, docs["key"] == few["_id"], "left_semi").mapInArrow(shingles, "id long, n long, h long")
+    have = cut(have, "shingles", tidy=True)
+    # a shingle of one document only comes before all others and needs no group
+    common = cut(have.groupBy(F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "common", tidy=True)
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = have.join(bounded_broadcast(common), F.col("h") == F.col("_h")).groupBy("id", "n") \
+        .agg(F.sort_array(F.collect_set(F.struct("df", "h"))).alias("t")) \
+        .withColumn("first", (first - (F.col("n") - F.size("t"))).cast("int")).filter("first > 0") \
+        .select("id", F.explode(F.slice("t", F.lit(1), F.col("first"))["h"]).alias("h"))
+    rare = cut(rare.join(of, F.col("id") == F.col("_id")).select(F.xxhash64("h", "band").alias("grp"), "band", "id", "component"), "rare", tidy=True)
+    parts = rare.groupBy("grp", "band", "component").agg(F.count(F.lit(1)).alias("m"))
+    state = parts.groupBy(F.col("grp").alias("_g"), F.col("band").alias("_band")) \
+        .agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    return rare.join(state, (F.col("grp") == F.col("_g")) & (F.col("band") == F.col("_band"))) \
+        .select("grp", "band", "id", "component", (F.col("component") != F.col("main")).alias("mine"))
+
+
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """(key, n_shingles, component_id): one row per row of ``docs``."""
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
@@ -247,18 +300,20 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     # buckets of the same members are compared once; with two members the star has said it all
     band = F.col("bucket").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
     open_ = state.filter("c > 1 and m > 2").groupBy("m", "who", "main", band.alias("band")).agg(F.min("bucket").alias("bucket"))
-    rest = cut(known.join(open_.select(F.col("bucket").alias("_b"), "main", "band"), F.col("bucket") == F.col("_b"))
-               .select("bucket", "band", "id", "component", (F.col("component") != F.col("main")).alias("mine")), "open", tidy=True)
+    rest = cut(known.join(open_.select(F.col("bucket").alias("_b"), "main", "band", "m"), F.col("bucket") == F.col("_b"))
+               .select(F.col("bucket").alias("grp"), "band", "id", "component", (F.col("component") != F.col("main")).alias("mine"),
+                       (F.col("m") > PAIR_CHUNK).alias("large")), "open", tidy=True)
     if not rest.isEmpty():
-        chunks = rest.filter("mine").groupBy(F.col("bucket").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / PAIR_CHUNK).cast("int").alias("chunks"))
+        large = rest.filter("large")
+        rest = rest.filter("not large").drop("large")
+        if not large.isEmpty():
+            rest = rest.unionByName(cut(_rare_groups(large, src, size, percent), "rare-groups", tidy=True))
         wanted = rest.select(F.col("id").alias("_id"), F.col("band").alias("_band")).distinct()
         sk = rows.select("key", "n", F.explode("sketches").alias("s")).join(wanted, (F.col("key") == F.col("_id")) & (F.col("s.band") == F.col("_band"))) \
             .select("_id", "_band", "n", F.col("s.bits").alias("bits")).dropDuplicates(["_id", "_band"])
-        full = rest.join(sk, (F.col("id") == F.col("_id")) & (F.col("band") == F.col("_band"))).join(chunks, F.col("bucket") == F.col("_b")) \
-            .withColumn("home", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")) \
-            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
-            .select("bucket", "chunk", "id", "component", "n", "bits", (F.col("mine") & (F.col("home") == F.col("chunk"))).alias("mine"))
-        more = full.groupBy("bucket", "chunk").applyInPandas(_cross_pairs(percent), "a long, b long").distinct()
+        full = _chunk_pairs(rest).join(sk, (F.col("id") == F.col("_id")) & (F.col("band") == F.col("_band"))) \
+            .select("grp", "band", "x", "y", "id", "component", "n", "bits", "left", "right")
+        more = full.groupBy("grp", "band", "x", "y").applyInPandas(_cross_pairs(percent), "a long, b long").distinct()
         more = more.join(pairs.select(F.least("a", "b").alias("_pa"), F.greatest("a", "b").alias("_pb")),
                          (F.col("a") == F.col("_pa")) & (F.col("b") == F.col("_pb")), "left_anti")
         labels = connected_components(links.union(verified(more, src, size, percent)))

@@ -79,6 +79,35 @@ def test_join_equals_brute_force(make_docs, monkeypatch):
     assert _components(ngram_join.link_components(docs, size=5, percent=80)) == _brute(rows, 5, 80)
 
 
+def test_join_of_unlinked_documents_that_share_a_passage(make_docs, monkeypatch, tmp_path):
+    """No task holds more than two chunks of a bucket, and the buckets' members do not all meet."""
+    monkeypatch.setattr(ngram_join, "PAIR_CHUNK", 64)
+    rng = random.Random(12)
+    passage, templates = _text(rng, 24), [_text(rng, 12) for _ in range(7)]
+    rows = [(i, f"{passage} {_text(rng, 48)}") for i in range(3000)]
+    rows += [(3000 + i, _edited(rng, rows[7 * i][1], 1 + i % 3)) for i in range(200)]
+    rows += [(4000 + i, " ".join(rng.sample(templates, 5))) for i in range(300)]      # nothing in these is rare
+    rows += rows[:3]
+    inner, told = ngram_join._cross_pairs, tmp_path / "rows"
+    told.mkdir()
+
+    def counted(percent):
+        run, out = inner(percent), str(told)
+
+        def count(pdf):
+            import uuid
+            with open(f"{out}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(pdf)))
+            return run(pdf)
+        return count
+
+    monkeypatch.setattr(ngram_join, "_cross_pairs", counted)
+    assert _components(ngram_join.link_components(make_docs(rows), size=5, percent=80)) == _brute(rows, 5, 80)
+    sizes = [int(f.read_text()) for f in told.iterdir()]
+    assert sizes and max(sizes) <= 4 * 64        # two chunks dealt by a hash
+    assert sum(sizes) < 20 * len(rows)
+
+
 def test_join_edge_rows(make_docs):
     out = ngram_join.link_components(make_docs([(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (9, "A b c d")])).collect()
     assert sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in out) == [(-1, -1), (5, 5), (5, 5), (9, 5)]
