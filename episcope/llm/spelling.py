@@ -32,8 +32,8 @@ from episcope.operators.joins import bounded_broadcast
 
 CELL_WORDS = 16_000      # words that a cell of the upper tree is meant to hold
 SAMPLE = 24              # sampled words a cell
-BUCKET = 24              # words in a leaf of a cell's own tree
-COMPARED = 1 << 22       # numbers in one comparison of queries with a leaf
+BUCKET = 96              # words in a leaf of a cell's own tree
+COMPARED = 1 << 18       # pairs in one comparison of queries with a leaf
 LETTERS = 26 + 64
 LONGEST_CHAIN = 32       # forms grow tenfold at every step, so 19 steps exhaust a 64-bit count
 POINT, SAME, LONGER = 0, 1, 2     # a row's role in a cell: a word of it, a query for words as long or one letter longer
@@ -126,27 +126,31 @@ def cells_of(nodes: list | None, vectors: np.ndarray, rise: int, fall: int):
 
 def range_search(points: np.ndarray, queries: np.ndarray, rise: int, fall: int):
     """(point, query) index pairs whose vectors differ by exactly ``rise`` rises and ``fall`` falls
-    of 1, searched through a k-d tree over the points."""
+    of 1, searched through a k-d tree over the points.  Between words of these lengths that is a
+    squared distance of rise + fall, which a leaf takes from one product of its vectors with those
+    of the queries that reach it (small whole numbers, exact in floating point)."""
     used = (points.max(axis=0) > 0) | (queries.max(axis=0) > 0)
     points, queries = points[:, used], queries[:, used]
-    stack = [(np.arange(len(points)), np.arange(len(queries)), np.full(len(queries), rise), np.full(len(queries), fall))]
+    kind = np.float32 if points.sum(axis=1).max() < 2000 else np.float64
+    p_real, q_real = points.astype(kind), queries.astype(kind)
+    p_square, q_square = (p_real * p_real).sum(axis=1), (q_real * q_real).sum(axis=1) - (rise + fall)
+    stack = [(np.arange(len(points)), np.arange(len(queries)), np.full(len(queries), rise, dtype=np.int8), np.full(len(queries), fall, dtype=np.int8))]
     while stack:
         p, q, r, f = stack.pop()
         plane = best_plane(points[p]) if len(p) > BUCKET else None
         if plane is None:
             for i in range(0, len(p), 4 * BUCKET):
                 some = p[i:i + 4 * BUCKET]
-                step = max(1, COMPARED // (len(some) * points.shape[1]))
-                for j in range(0, len(q), step):
-                    part = q[j:j + step]
-                    gap = points[some][None, :, :] - queries[part][:, None, :]
-                    a, b = np.nonzero(np.abs(gap).sum(axis=2) == rise + fall)
+                for j in range(0, len(q), COMPARED // len(some)):
+                    part = q[j:j + COMPARED // len(some)]
+                    a, b = np.nonzero(2 * (q_real[part] @ p_real[some].T) == q_square[part][:, None] + p_square[some])
                     yield some[b], part[a]
             continue
         dim, value = plane
         left = points[p, dim] <= value
         for own, (ok, r2, f2) in zip((p[left], p[~left]), reached(queries[q, dim], value, r, f)):
-            if ok.any():
+            ok = np.flatnonzero(ok)
+            if len(ok):
                 stack.append((own, q[ok], r2[ok], f2[ok]))
 
 
