@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from episcope.operators.joins import bounded_broadcast
-from episcope.operators.ordering import running_totals
+from episcope.operators.ordering import _names, running_totals
 from episcope.session import cut_lineage
 
 # Unit costs of the cost-benefit report (currency units).
@@ -156,6 +156,18 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
                                  (2 * F.col("P") * F.col("N")).cast("double")).alias("auc"))
 
 
+def roc_auc_by(df: DataFrame, groups, label: str = "label", score: str = "score") -> DataFrame:
+    """Exact area under the ROC curve of each group (``groups``, ``auc``), all groups in one pass.  Rows
+    without a label or score do not count; a group of one class has no area (null)."""
+    groups = _names(groups)
+    d = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))) \
+        .groupBy(*groups, (-F.col(score)).alias("_neg_score")) \
+        .agg(F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) != 1, 1)).alias("neg"))
+    cum = running_totals(d, ["_neg_score"], ["pos"], series=groups)
+    term = F.col("neg").cast("decimal(38,0)") * (2 * F.col("pos_cum") - F.col("pos")).cast("decimal(38,0)")
+    return cum.groupBy(*groups).agg(F.try_divide(F.sum(term).cast("double"), (2 * F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
+
+
 def effect_size(auc_df: DataFrame, auc_col: str = "auc") -> DataFrame:
     """d = ((auc - .5) * 2) / .2; Large > .8, Medium > .5, else Small."""
     d = ((F.col(auc_col) - 0.5) * 2) / 0.2

@@ -958,6 +958,7 @@ def q_ml4(spark, sf):
 # ----------------------------------------------------------------------------- 2.10 MLlib (rows-only checks)
 
 from episcope.plans import training as ML  # noqa: E402
+from episcope.plans import tuning as TUNE  # noqa: E402
 
 ML_KEYS = ("disease", "region", "date")
 
@@ -995,8 +996,7 @@ def q_ml6(spark, sf):
 
 @register("ml7_train_boosted")
 def q_ml7(spark, sf):
-    # the trainer's boosted configuration; the 300 x depth-8 analysis one is ML.ANALYSIS_MODELS[0]
-    return _single(spark, sf, ML.TRAINER_MODELS[1])
+    return _single(spark, sf, ML.ANALYSIS_MODELS[0])
 
 
 @register("ml8_train_logistic")
@@ -1351,17 +1351,25 @@ def q_ml11(spark, sf):
                                  "model string, cv_auc_mean double, cv_auc_std double")
 
 
+def _grid_table(spark, ranked, kinds):
+    """Points of a grid, with the best one marked (the first)."""
+    names = list(kinds)
+    rows = [(*[r[n] for n in names], r["cv_auc_mean"], r["cv_auc_std"], r["folds"], i == 0) for i, r in enumerate(ranked)]
+    schema = ", ".join(f"{n} {k}" for n, k in kinds.items()) + ", cv_auc_mean double, cv_auc_std double, folds long, best boolean"
+    return spark.createDataFrame(rows, schema)
+
+
 @register("ml12_grid_search")
 def q_ml12(spark, sf):
+    # the whole default grid over all training rows: 27 points, 5 folds
     data, cols = _training_data(spark, sf)
-    train = data.where(~F.col("is_test"))
-    # on all training rows; the best point is refitted on all of them
-    grid = {"numTrees": [20, 50], "maxDepth": [5, 10]}
-    maps, mean, std, cv = ML.cross_validate(ML.TRAINER_MODELS[0], train, cols, folds=3, rows=None, grid=grid, parallelism=4)
-    best = cv.bestModel.stages[-1]
-    rows = []
-    for m, a, b in zip(maps, mean, std):
-        point = {p.name: v for p, v in m.items()}
-        rows.append((int(point["numTrees"]), int(point["maxDepth"]), float(a), float(b),
-                     (best.getNumTrees, best.getMaxDepth()) == (point["numTrees"], point["maxDepth"])))
-    return spark.createDataFrame(rows, "num_trees int, max_depth int, cv_auc_mean double, cv_auc_std double, best boolean")
+    ranked, _best, _model = TUNE.tune_forest(data.where(~F.col("is_test")), cols)
+    return _grid_table(spark, ranked, {"trees": "int", "depth": "int", "leaf": "int"})
+
+
+@register("ml12_grid_search_boosted")
+def q_ml12_boosted(spark, sf):
+    # 36 points, 5 folds
+    data, cols = _training_data(spark, sf)
+    ranked, _best, _model = TUNE.tune_boosted(data.where(~F.col("is_test")), cols)
+    return _grid_table(spark, ranked, {"trees": "int", "depth": "int", "rate": "double", "subsample": "double"})

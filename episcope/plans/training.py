@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
@@ -25,13 +26,15 @@ from pyspark.sql import functions as F
 
 from episcope.operators import evaluation as E
 from episcope.operators.sampling import cv_subsample, fold_column, stratified_split
-from episcope.session import cut_lineage
+from episcope.plans import boosting
+from episcope.plans.boosting import BoostedModel
+from episcope.session import cut_lineage, path_exists
 
 
 @dataclass
 class ModelSpec:
     name: str
-    kind: str                 # gbt | rf | lr | svm
+    kind: str                 # hist (plans.boosting) | gbt | rf | lr | svm
     params: dict = field(default_factory=dict)
     scaled: bool = False      # linear models see standardised features
     balanced: bool = False    # class weights n / (2 n_class)
@@ -41,7 +44,7 @@ class ModelSpec:
 # The analysis configuration (boosted trees 300 x depth 8, lr 0.05;
 # forest 200 x depth 15 balanced; logistic C = 0.1 balanced, 2000 iterations).
 ANALYSIS_MODELS = [
-    ModelSpec("boosted_trees", "gbt", {"maxIter": 300, "maxDepth": 8, "stepSize": 0.05}),
+    ModelSpec("boosted_trees", "hist", {"trees": 300, "depth": 8, "rate": 0.05}),
     ModelSpec("random_forest", "rf", {"numTrees": 200, "maxDepth": 15}, balanced=True),
     ModelSpec("logistic_regression", "lr", {"C": 0.1, "maxIter": 2000}, scaled=True, balanced=True),
 ]
@@ -52,9 +55,6 @@ TRAINER_MODELS = [
     ModelSpec("logistic_regression", "lr", {"C": 1.0, "maxIter": 1000}, scaled=True),
     ModelSpec("svm", "svm", {"maxIter": 100}, scaled=True),
 ]
-# Default tuning grids (min_samples_split has no MLlib knob; dropped).
-RF_GRID = {"numTrees": [50, 100, 200], "maxDepth": [10, 20, 30]}
-GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 6, 10], "stepSize": [0.01, 0.1, 0.2]}
 
 
 def add_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -114,9 +114,13 @@ def score(model: PipelineModel, df: DataFrame, keys=("disease", "region", "date"
     """The caller's ``keys``, actual (only if ``df`` has ``label``), predicted and the probability
     of class 1.  An SVM has no probability; the logistic function of its margin stands for it
     (0.5 at the boundary, monotone in the margin, not calibrated)."""
-    out = model.transform(df)
-    prob = (vector_to_array("probability")[1] if "probability" in out.columns
-            else 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1])))
+    if isinstance(model, BoostedModel):
+        out = boosting.probability(df, model).withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
+        prob = F.col("probability")
+    else:
+        out = model.transform(df)
+        prob = (vector_to_array("probability")[1] if "probability" in out.columns
+                else 1 / (1 + F.exp(-vector_to_array("rawPrediction")[1])))
     actual = [F.col(label).cast("int").alias("actual")] if label in df.columns else []
     return out.select(*[c for c in keys if c in df.columns], *actual,
                       F.col("prediction").cast("int").alias("predicted"), prob.alias("probability"))
@@ -151,8 +155,32 @@ def cross_validate(spec: ModelSpec, train: DataFrame, feature_cols, folds: int =
     return maps, list(m.avgMetrics), list(m.stdMetrics), m
 
 
+def _train_hist(spec: ModelSpec, data: DataFrame, feature_cols, cv_folds: int, cv_rows: int | None, seed: int = 42):
+    """As :func:`train_one`, for histogram boosting: the model and those of the cross-validation are one
+    lockstep fit, whose time is the training time."""
+    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    part = None
+    if cv_folds:
+        sub = train if cv_rows is None else cv_subsample(train, "row_id", cv_rows, seed)
+        folds = fold_column(sub, "label", "row_id", cv_folds, seed).select(F.col("row_id").alias("_id"), "fold").dropDuplicates(["_id"])
+        train, part = train.join(folds, F.col("row_id") == F.col("_id"), "left").drop("_id"), "fold"
+    specs = [boosting.BoostSpec(spec.name, leave_out=k, seed=seed, **spec.params) for k in (None, *range(cv_folds or 0))]
+    t0 = time.time()
+    models, held = boosting.fit(train, list(feature_cols), specs, weight="weight" if spec.balanced else None, part=part, keys=["row_id"],
+                                stages=[specs[0].trees] if cv_folds else None)
+    elapsed = time.time() - t0
+    cv = [r["auc"] for r in E.roc_auc_by(held, "model", "label", "probability").collect()] if held is not None else []
+    return models[0], score(models[0], test), elapsed, float(np.mean(cv)) if cv else None, float(np.std(cv)) if cv else None
+
+
 def train_one(spec: ModelSpec, data: DataFrame, feature_cols, cv_folds: int = 3, cv_rows: int = 5000):
     """Fit on the training split, score the test split; returns (metrics dict, model, predictions)."""
+    if spec.kind == "hist":
+        model, preds, elapsed, mean, std = _train_hist(spec, data, feature_cols, cv_folds, cv_rows)
+        preds = cut_lineage(preds, "predictions")
+        return ({"model": spec.name, "auc": E.roc_auc(preds, "actual", "probability").first()["auc"],
+                 "accuracy": E.accuracy(preds, "actual", "predicted").first()["accuracy"], "cv_auc_mean": mean, "cv_auc_std": std,
+                 "training_time": elapsed}, model, preds)
     train = data.where(~F.col("is_test"))
     test = data.where(F.col("is_test"))
     wsum = train.agg(F.sum("weight")).first()[0] if spec.balanced else train.count()
@@ -185,6 +213,8 @@ def train_all(spark: SparkSession, data: DataFrame, feature_cols, specs=None, cv
 
 def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols) -> DataFrame | None:
     """(feature, importance) of a tree model; None for linear models."""
+    if isinstance(model, BoostedModel):
+        return spark.createDataFrame(list(model.importance().items()), "feature string, importance double")
     last = model.stages[-1]
     if not hasattr(last, "featureImportances"):
         return None
@@ -192,9 +222,14 @@ def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols)
     return spark.createDataFrame(list(zip(feature_cols, [float(v) for v in imp])), "feature string, importance double")
 
 
-def save_pipeline(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_pipeline(model, path: str) -> None:
+    if isinstance(model, BoostedModel):
+        boosting.save(SparkSession.active(), model, path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_pipeline(path: str):
+    """The model that :func:`save_pipeline` wrote."""
+    spark = SparkSession.active()
+    return boosting.load(spark, path) if path_exists(spark, f"{path}/about") else PipelineModel.load(path)

@@ -6,11 +6,14 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _WRITTEN: dict[str, list[str]] = {}      # application -> intermediate tables
+_SHIPPED: set[str] = set()               # applications whose executors have this package
 
 
 def build_session(master: str | None = None, app: str = "episcope",
@@ -52,7 +55,6 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         path = fallback or tempfile.mkdtemp(prefix="episcope-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
@@ -77,13 +79,46 @@ def drop_intermediate(spark: SparkSession) -> int:
     """Delete the tables that :func:`cut_lineage` wrote in this application, once no result
     that reads them is needed any more.  Returns their number."""
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
-        at = jvm.org.apache.hadoop.fs.Path(p)
-        at.getFileSystem(conf).delete(at, True)
+        _delete(spark, p)
     return len(paths)
 
 
+def drop_table(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the intermediate table that ``df`` reads (one that :func:`cut_lineage` returned)."""
+    mine = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        for p in [p for p in mine if folder.endswith(p.rsplit("/", 1)[-1])]:
+            _delete(spark, p)
+            mine.remove(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(conf).delete(at, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (once per application), for clusters
+    on whose machines it is not installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="episcope-code-")) / f"{top.name}.zip"    # the driver's copy, which Spark serves
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Partition count used by the order-sensitive operators."""
     try:
