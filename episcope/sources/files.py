@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from episcope.functions.calendar import week_to_date
 from episcope.functions.text import parse_list_literal
+from episcope.sources import ranges
 
 # Text tokens pandas reads as missing by default (subset used here).
 NA_TOKENS = ["", "NA", "N/A", "n/a", "NaN", "nan", "null", "NULL", "None", "#N/A", "<NA>", "-NaN", "-nan"]
@@ -59,15 +60,18 @@ def normalize_missing(df: DataFrame, cols=None, tokens=None) -> DataFrame:
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Columns are matched by header name (any order, missing ones NULL), then typed.
 
-    All files of one path must have one header; a file with another order or other columns
-    is an error, never a silent shift of columns (read such files path by path).  Cells that
-    do not parse as the field type, and NaN, become NULL.  ``multi_line`` allows line breaks
-    in cells, at the price of one task per file.
+    Cells that do not parse as the field type, and NaN, become NULL.  All files of one path must have
+    one header; a file with another order or other columns is an error, never a silent shift of
+    columns (read such files path by path).  ``multi_line`` allows line breaks in cells and a header of its
+    own for each file (:mod:`episcope.sources.ranges`; a file is still read by many tasks).
     """
-    opts = {"header": True, "multiLine": multi_line, "escape": '"'}
-    names = spark.read.options(**opts, inferSchema=False).csv(path).columns
-    raw = spark.read.options(**opts, enforceSchema=False) \
-        .schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
+    if multi_line:
+        raw = ranges.read_csv(spark, path, [f.name for f in schema.fields])
+    else:
+        opts = {"header": True, "escape": '"'}
+        names = spark.read.options(**opts, inferSchema=False).csv(path).columns
+        raw = spark.read.options(**opts, enforceSchema=False) \
+            .schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).csv(path)
     have = set(raw.columns)
     cols = []
     for f in schema.fields:
@@ -116,14 +120,11 @@ def read_health_table(spark: SparkSession, root: str, key: str, schema: T.Struct
 
 
 def read_health_document(spark: SparkSession, path: str, key: str, item_schema: T.StructType) -> DataFrame:
-    """A single JSON document ``{key: [records...], ...}`` -> rows of ``key``.
-
-    A multi-line document is one non-splittable record: use it for the small
-    collector payloads only; bulk data should be landed as JSON lines
-    (:func:`read_health_table`)."""
-    doc = spark.read.option("multiLine", True).schema(
-        T.StructType([T.StructField(key, T.ArrayType(item_schema))])).json(path)
-    return doc.selectExpr(f"inline({key})")
+    """A JSON document ``{key: [records...], ...}`` (or a folder of them) -> rows of ``key``.  A document is
+    read by as many tasks as it has byte ranges (:mod:`episcope.sources.ranges`); a record that does not
+    parse gives a row of NULLs."""
+    items = ranges.json_items(spark, path, key)
+    return items.select(F.from_json("item", item_schema).alias("r")).select("r.*")
 
 
 def read_environment(spark: SparkSession, root: str) -> DataFrame:
