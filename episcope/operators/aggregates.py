@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episcope.functions.numeric import round_half_up
+from episcope.operators.moments import correlations
 from episcope.operators.ordering import _names
 
 
@@ -164,22 +165,13 @@ def binned_rate(df: DataFrame, col: str, flag: str = "outbreak", bins: int = 5)
 
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
     """Pairwise Pearson correlations (upper triangle, i<j) as rows (i, j, a, b, r), over
-    pairwise-complete rows; r is NULL when either column is constant there.
-
-    One pass whatever the number of columns: each row gives its pairs of values, which are
-    combined per (i, j) in every task, so the shuffle has one row per pair and task.
-    """
+    pairwise-complete rows (NULL and NaN are missing); r is NULL when either column is constant there.
+    One pass, and one row a task in the shuffle (:mod:`episcope.operators.moments`)."""
     cols = list(cols)
-    v = df.select(F.array(*[_dbl(c) for c in cols]).alias("v"))
-    left = v.select("v", F.posexplode("v").alias("i", "x"))
-    pairs = left.select("i", "x", F.posexplode("v").alias("j", "y")).where("j > i and x is not null and y is not null")
-    den = F.stddev_pop("x") * F.stddev_pop("y")
-    const = (F.max("x") == F.min("x")) | (F.max("y") == F.min("y"))
-    r = pairs.groupBy(F.col("i").alias("_i"), F.col("j").alias("_j")) \
-        .agg(F.when(~const, F.try_divide(F.covar_pop("x", "y"), den)).alias("r"))
     names = F.array(*[F.lit(c) for c in cols])
-    n = len(cols)
-    grid = df.sparkSession.range(n * n).select((F.col("id") / n).cast("int").alias("i"), (F.col("id") % n).cast("int").alias("j")).where("j > i")
+    p = len(cols)
+    grid = df.sparkSession.range(p * p).select((F.col("id") / p).cast("int").alias("i"), (F.col("id") % p).cast("int").alias("j")).where("j > i")
+    r = correlations(df, cols).withColumnsRenamed({"i": "_i", "j": "_j"})
     return grid.join(r, (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")), "left") \
         .select("i", "j", F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), "r")
 
