@@ -22,7 +22,6 @@ from episcope.session import cut_lineage
 
 DEFAULT_BUCKET_ROWS = 50_000      # rows of a series in one task; callers and tests may set it
 
-MAX_ONE_TASK = 100_000            # distinct category values that one task ranks
 
 
 @dataclass(frozen=True)
@@ -233,23 +232,6 @@ def resample_daily_interpolate(df: DataFrame, series, date_col: str, value_cols,
     return x.drop("_day", "_next_date", *["_next_" + c for c in value_cols])
 
 
-def encode_rank(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Label code = 0-based rank of the value among the sorted distinct values.
-
-    The distinct values (a category list) are found map-side and written; up to
-    MAX_ONE_TASK of them are ranked in one task, more by range buckets.  The codes are
-    size-checked and broadcast (a hot category never meets a sort-merge join).  NULL
-    keeps NULL.
-    """
-    out = out or f"{col}_encoded"
-    values = cut_lineage(df.select(col).where(F.col(col).isNotNull()).distinct(), "codes")
-    if values.limit(MAX_ONE_TASK + 1).count() <= MAX_ONE_TASK:
-        codes = values.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
-    else:
-        codes = series_ordinal(values, [], [col], stable=True).withColumn(out, (F.col(RN) - 1).cast("int")).drop(RN)
-    return df.join(bounded_broadcast(codes, materialize=True), [col], "left")
-
-
 def every_nth(df: DataFrame, order, n: int = 7) -> DataFrame:
     """Rows 1, 1+n, 1+2n, ... of a total order (``iloc[::n]``)."""
     x = series_ordinal(df, [], order)

@@ -26,8 +26,9 @@ from episcope.operators.filters import (
 from episcope.operators.joins import left_join
 from episcope.operators.ordering import _names
 from episcope.session import cut_lineage
+from episcope.operators.encoding import encode_rank
 from episcope.operators.windows import (
-    centered_mean, diff, encode_rank, forward_fill, label_outbreaks, lag, resample_daily_interpolate,
+    centered_mean, diff, forward_fill, label_outbreaks, lag, resample_daily_interpolate,
     rolling_mean, rolling_std, series_window,
 )
 

@@ -229,9 +229,16 @@ def q_a12(spark, sf):
     return A.value_counts(proxy.social(spark, sf), "platform")
 
 
-@register("a13_target_distribution", f"select outbreak, count(*) as count from ({SURV_L}) s group by outbreak")
+@register("a13_target_distribution", f"""
+with c as (select outbreak, count(*) as n, cast(floor(count(*) * 0.2 + 0.5) as bigint) as t from ({SURV_L}) s group by outbreak)
+select 'all' as split, outbreak, n as count from c union all select 'test', outbreak, t from c where t > 0
+union all select 'train', outbreak, n - t from c where n > t""")
 def q_a13(spark, sf):
-    return _surv_l(spark, sf).groupBy("outbreak").agg(F.count(F.lit(1)).alias("count"))
+    keys = ["disease", "region", "date"]
+    s = _surv_l(spark, sf).select(*keys, "outbreak").withColumn("row_id", F.pmod(F.xxhash64(*keys), F.lit(2147483647)))
+    parted = S.stratified_split(s, "outbreak", "row_id", 0.2, 42, tiebreak=keys) \
+        .withColumn("split", F.explode(F.array(F.lit("all"), F.when(F.col("is_test"), "test").otherwise("train"))))
+    return parted.groupBy("split", "outbreak").agg(F.count(F.lit(1)).alias("count"))
 
 
 @register("a14_symptom_frequency", f"""
@@ -552,11 +559,14 @@ def q_w7(spark, sf):
                                         ["cases", "deaths", "hospitalizations"])
 
 
+from episcope.operators import encoding as ENC  # noqa: E402
+
+
 @register("w8_encode_rank", f"""
 select s.*, cast(dense_rank() over (order by disease) - 1 as integer) as disease_encoded,
        cast(dense_rank() over (order by region) - 1 as integer) as region_encoded from ({Q.SURV}) s""")
 def q_w8(spark, sf):
-    return W.encode_rank(W.encode_rank(proxy.surveillance(spark, sf), "disease"), "region")
+    return ENC.encode_rank(ENC.encode_rank(proxy.surveillance(spark, sf), "disease"), "region")
 
 
 @register("w9_time_series", f"select disease, date, cases from ({Q.SURV}) s order by disease, date")
@@ -1129,10 +1139,10 @@ def q_s4(spark, sf):
     root = _scratch(spark, "health")
     s = proxy.surveillance(spark, sf).select(
         "disease", "region", "cases", "deaths", "hospitalizations",
-        F.year("date").alias("year"), F.date_format("date", "w").alias("_iso"),
+        F.year("date").alias("year"),
         # week number with Monday as first day (weeks before the first Monday are week 0)
         F.floor((F.dayofyear("date") + 6 - F.weekday("date")) / 7).cast("int").alias("week"))
-    IO.combine_sources({"surveillance_data": s.drop("_iso")}, root)
+    IO.combine_sources({"surveillance_data": s}, root)
     return IO.read_surveillance_json(spark, root).select("disease", "region", "cases", "year", "week", "date")
 
 
@@ -1223,24 +1233,27 @@ def q_s10(spark, sf):
 
 
 @register("s11_combine_sources", f"""
-select 'environmental_data' as source, count(*) as records from ({Q.ENV}) e
-union all select 'owid_data', least(count(*), 1000) from ({OWID_SQL}) o
-union all select 'surveillance_data', count(*) from ({Q.SURV}) s""")
+select 'environmental_data' as source, cast(null as varchar) as name, date, temperature as value from ({Q.ENV}) e
+union all select * from (select 'owid_data', location, date, new_cases from ({OWID_SQL}) o order by location, date limit 1000) x
+union all select 'surveillance_data', disease || '|' || region, date, cast(cases as double) from ({Q.SURV}) s""", ["value"])
 def q_s11(spark, sf):
+    """Every row of the three sources as read back from the combined data set."""
     root = _scratch(spark, "bundle")
     o = proxy.table(spark, sf, "orders")
     owid = (o.join(proxy.table(spark, sf, "customer"), o.o_custkey == F.col("c_custkey"))
             .join(proxy.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy(F.col("n_name").alias("location"), F.to_date("o_orderdate").alias("date"))
             .agg(F.count(F.lit(1)).cast("double").alias("new_cases")))
-    paths = IO.combine_sources({"environmental_data": proxy.environment(spark, sf), "owid_data": owid,
-                                "surveillance_data": proxy.surveillance(spark, sf)}, root,
-                               caps={"owid_data": 1000}, order={"owid_data": ["location", "date"]})
-    out = None
-    for key, p in paths.items():
-        part = spark.read.json(p).agg(F.count(F.lit(1)).alias("records")).select(F.lit(key).alias("source"), "records")
-        out = part if out is None else out.unionByName(part)
-    return out
+    IO.combine_sources({"environmental_data": proxy.environment(spark, sf), "owid_data": owid,
+                        "surveillance_data": proxy.surveillance(spark, sf)}, root,
+                       caps={"owid_data": 1000}, order={"owid_data": ["location", "date"]})
+
+    def rows(key, name, value):
+        t = IO.read_health_table(spark, root, key, "location string, disease string, region string, date date, temperature double, new_cases double, cases long")
+        return t.select(F.lit(key).alias("source"), name.alias("name"), "date", F.col(value).cast("double").alias("value"))
+    return rows("environmental_data", F.lit(None).cast("string"), "temperature") \
+        .unionByName(rows("owid_data", F.col("location"), "new_cases")) \
+        .unionByName(rows("surveillance_data", F.concat_ws("|", "disease", "region"), "cases"))
 
 
 # ----------------------------------------------------------------------------- streaming roll-up
@@ -1303,19 +1316,20 @@ def q_e13(spark, sf):
 
 
 def _saved_and_loaded(spark, sf):
+    """(test rows without their code of the disease, the fitted model, the saved model and encoder read back)."""
     data, cols = _training_data(spark, sf)
     spec = ML.ANALYSIS_MODELS[2]
     train = data.where(~F.col("is_test"))
     model = ML.build_pipeline(spec, cols, train.agg(F.sum("weight")).first()[0]).fit(train)
     path = _scratch(spark, "pipeline")
-    ML.save_pipeline(model, path)
-    return data.where(F.col("is_test")), model, ML.load_pipeline(path)
+    ML.save_scoring(ML.Scoring(model, [ENC.RankEncoder.fit(data, "disease")]), path)
+    return data.where(F.col("is_test")), model, ML.load_scoring(spark, path)
 
 
 @register("ml13_predict_outbreak")
 def q_ml13(spark, sf):
     test, _model, loaded = _saved_and_loaded(spark, sf)
-    return ML.predict({"logistic_regression": loaded}, "logistic_regression", test.drop("label", "outbreak"), ML_KEYS)
+    return loaded.score(test.drop("label", "outbreak", "disease_encoded"), ML_KEYS)
 
 
 @register("s12_save_load_model", f"""
@@ -1324,7 +1338,7 @@ from (select outbreak, count(*) as n from ({SURV_L}) s group by outbreak) c""")
 def q_s12(spark, sf):
     test, model, loaded = _saved_and_loaded(spark, sf)
     a = ML.score(model, test).select(*ML_KEYS, F.col("probability").alias("p_fit"))
-    b = ML.score(loaded, test).select(*ML_KEYS, F.col("probability").alias("p_loaded"))
+    b = loaded.score(test.drop("disease_encoded"), ML_KEYS).select(*ML_KEYS, F.col("probability").alias("p_loaded"))
     j = a.join(b, list(ML_KEYS))
     return j.agg(F.count(F.lit(1)).alias("rows"),
                  F.sum(F.when(F.col("p_fit") != F.col("p_loaded"), 1).otherwise(0)).alias("mismatches"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episcope.operators import evaluation as E
+from episcope.operators.encoding import RankEncoder
 from episcope.operators.sampling import cv_subsample, fold_column, stratified_split
 from episcope.plans import boosting
 from episcope.plans.boosting import BoostedModel
@@ -39,6 +41,15 @@ class ModelSpec:
     scaled: bool = False      # linear models see standardised features
     balanced: bool = False    # class weights n / (2 n_class)
     select_k: int | None = None
+    calibrated: bool = False  # a margin's probability by Platt scaling on out-of-fold margins
+
+
+@dataclass
+class CalibratedModel:
+    """A margin classifier with P(class 1) = 1 / (1 + exp(slope * margin + shift))."""
+    model: PipelineModel
+    slope: float
+    shift: float
 
 
 # The analysis configuration (boosted trees 300 x depth 8, lr 0.05;
@@ -53,7 +64,7 @@ TRAINER_MODELS = [
     ModelSpec("random_forest", "rf", {"numTrees": 100}),
     ModelSpec("gradient_boosting", "gbt", {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1}),
     ModelSpec("logistic_regression", "lr", {"C": 1.0, "maxIter": 1000}, scaled=True),
-    ModelSpec("svm", "svm", {"maxIter": 100}, scaled=True),
+    ModelSpec("svm", "svm", {"maxIter": 100}, scaled=True, calibrated=True),
 ]
 
 
@@ -112,11 +123,15 @@ def prepare_training_frame(features: DataFrame, label: str = "outbreak", keys=("
 
 def score(model: PipelineModel, df: DataFrame, keys=("disease", "region", "date"), label: str = "label") -> DataFrame:
     """The caller's ``keys``, actual (only if ``df`` has ``label``), predicted and the probability
-    of class 1.  An SVM has no probability; the logistic function of its margin stands for it
-    (0.5 at the boundary, monotone in the margin, not calibrated)."""
+    of class 1.  For an SVM that is not calibrated the logistic function of its margin stands for the
+    probability; a calibrated one predicts the class that its probability names."""
     if isinstance(model, BoostedModel):
         out = boosting.probability(df, model).withColumn("prediction", (F.col("probability") > 0.5).cast("double"))
         prob = F.col("probability")
+    elif isinstance(model, CalibratedModel):
+        out = model.model.transform(df)
+        prob = 1 / (1 + F.exp(model.slope * vector_to_array("rawPrediction")[1] + model.shift))
+        out = out.withColumn("prediction", (prob > 0.5).cast("double"))
     else:
         out = model.transform(df)
         prob = (vector_to_array("probability")[1] if "probability" in out.columns
@@ -155,6 +170,54 @@ def cross_validate(spec: ModelSpec, train: DataFrame, feature_cols, folds: int =
     return maps, list(m.avgMetrics), list(m.stdMetrics), m
 
 
+def platt(margins: DataFrame, margin: str = "margin", label: str = "label", rounds: int = 100) -> tuple[float, float]:
+    """(slope, shift) of P(1) = 1 / (1 + exp(slope * margin + shift)), by damped Newton steps; a step is one
+    aggregation of seven sums.  Targets are (n1 + 1) / (n1 + 2) and 1 / (n0 + 2), so that separable margins do
+    not drive the slope to infinity."""
+    f, y = F.col(margin).cast("double"), F.col(label) == 1
+    n1, n0 = margins.agg(F.count(F.when(y, 1)), F.count(F.when(~y, 1))).first()
+    target = F.when(y, (n1 + 1) / (n1 + 2)).otherwise(1 / (n0 + 2))
+
+    def sums(a, b):
+        z = F.lit(float(a)) * f + F.lit(float(b))
+        p = F.when(z >= 0, F.exp(-z) / (1 + F.exp(-z))).otherwise(1 / (1 + F.exp(z)))
+        # -t log p - (1 - t) log(1 - p), without overflow
+        loss = F.when(z >= 0, target * z + F.log1p(F.exp(-z))).otherwise((target - 1) * z + F.log1p(F.exp(z)))
+        d, w = target - p, p * (1 - p)
+        return [float(x or 0.0) for x in margins.agg(F.sum(loss), F.sum(f * d), F.sum(d), F.sum(f * f * w), F.sum(f * w), F.sum(w)).first()]
+    a, b = 0.0, float(np.log((n0 + 1) / (n1 + 1)))
+    loss, ga, gb, haa, hab, hbb = sums(a, b)
+    for _ in range(rounds):
+        if abs(ga) < 1e-7 * (n1 + n0) and abs(gb) < 1e-7 * (n1 + n0):
+            break
+        haa, hbb = haa + 1e-12, hbb + 1e-12
+        det = haa * hbb - hab * hab
+        da, db = -(hbb * ga - hab * gb) / det, -(haa * gb - hab * ga) / det
+        step = 1.0
+        while step > 1e-10:
+            following = sums(a + step * da, b + step * db)
+            if following[0] < loss + 1e-4 * step * (ga * da + gb * db):
+                break
+            step /= 2
+        else:
+            break
+        a, b = a + step * da, b + step * db
+        loss, ga, gb, haa, hab, hbb = following
+    return a, b
+
+
+def calibrate(spec: ModelSpec, train: DataFrame, feature_cols, model: PipelineModel, folds: int = 3, seed: int = 42) -> CalibratedModel:
+    """``model`` with Platt scaling fitted on margins that models of the other folds give."""
+    data = cut_lineage(fold_column(train, "label", "row_id", folds, seed), "calibration-folds")
+    parts = []
+    for k in range(folds):
+        rest = data.where(F.col("fold") != k)
+        n = rest.agg(F.sum("weight") if spec.balanced else F.count(F.lit(1))).first()[0]
+        other = build_pipeline(spec, feature_cols, n).fit(rest)
+        parts.append(other.transform(data.where(F.col("fold") == k)).select("label", vector_to_array("rawPrediction")[1].alias("margin")))
+    return CalibratedModel(model, *platt(cut_lineage(reduce(DataFrame.unionByName, parts), "margins")))
+
+
 def _train_hist(spec: ModelSpec, data: DataFrame, feature_cols, cv_folds: int, cv_rows: int | None, seed: int = 42):
     """As :func:`train_one`, for histogram boosting: the model and those of the cross-validation are one
     lockstep fit, whose time is the training time."""
@@ -186,6 +249,8 @@ def train_one(spec: ModelSpec, data: DataFrame, feature_cols, cv_folds: int = 3,
     wsum = train.agg(F.sum("weight")).first()[0] if spec.balanced else train.count()
     t0 = time.time()
     model = build_pipeline(spec, feature_cols, wsum).fit(train)
+    if spec.calibrated:
+        model = calibrate(spec, train, feature_cols, model)
     preds = score(model, test)
     m = {"auc": E.roc_auc(preds, "actual", "probability").first()["auc"],
          "accuracy": E.accuracy(preds, "actual", "predicted").first()["accuracy"]}
@@ -215,7 +280,7 @@ def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols)
     """(feature, importance) of a tree model; None for linear models."""
     if isinstance(model, BoostedModel):
         return spark.createDataFrame(list(model.importance().items()), "feature string, importance double")
-    last = model.stages[-1]
+    last = (model.model if isinstance(model, CalibratedModel) else model).stages[-1]
     if not hasattr(last, "featureImportances"):
         return None
     imp = last.featureImportances.toArray().tolist()
@@ -223,8 +288,12 @@ def feature_importance(spark: SparkSession, model: PipelineModel, feature_cols)
 
 
 def save_pipeline(model, path: str) -> None:
+    spark = SparkSession.active()
     if isinstance(model, BoostedModel):
-        boosting.save(SparkSession.active(), model, path)
+        boosting.save(spark, model, path)
+    elif isinstance(model, CalibratedModel):
+        model.model.write().overwrite().save(f"{path}/model")
+        spark.createDataFrame([(model.slope, model.shift)], "slope double, shift double").write.mode("overwrite").parquet(f"{path}/calibration")
     else:
         model.write().overwrite().save(path)
 
@@ -232,4 +301,35 @@ def save_pipeline(model, path: str) -> None:
 def load_pipeline(path: str):
     """The model that :func:`save_pipeline` wrote."""
     spark = SparkSession.active()
-    return boosting.load(spark, path) if path_exists(spark, f"{path}/about") else PipelineModel.load(path)
+    if path_exists(spark, f"{path}/about"):
+        return boosting.load(spark, path)
+    if path_exists(spark, f"{path}/calibration"):
+        return CalibratedModel(PipelineModel.load(f"{path}/model"), *spark.read.parquet(f"{path}/calibration").first())
+    return PipelineModel.load(path)
+
+
+@dataclass
+class Scoring:
+    """A model with the encoders of its raw columns: scores rows that still have names instead of codes."""
+    model: object
+    encoders: list[RankEncoder]
+
+    def score(self, df: DataFrame, keys=("disease", "region", "date"), unseen: str | int = "error") -> DataFrame:
+        """As :func:`score`; a name that an encoder has not seen is an error, or gets ``unseen`` as its code."""
+        for e in self.encoders:
+            df = e.transform(df, unseen)
+        return score(self.model, df, keys)
+
+
+def save_scoring(scoring: Scoring, path: str) -> None:
+    """The model in ``path/scorer`` and each encoder's sorted dictionary in ``path/encoders/<column>``."""
+    save_pipeline(scoring.model, f"{path}/scorer")
+    for e in scoring.encoders:
+        e.save(f"{path}/encoders/{e.col}")
+    SparkSession.active().createDataFrame([(e.col,) for e in scoring.encoders], "col string").coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+
+
+def load_scoring(spark: SparkSession, path: str) -> Scoring:
+    columns = [r["col"] for r in spark.read.parquet(f"{path}/columns").collect()]
+    found = [RankEncoder.load(spark, f"{path}/encoders/{c}") for c in columns]
+    return Scoring(load_pipeline(f"{path}/scorer"), [e for e in found if e is not None])
