@@ -48,9 +48,13 @@ def _shard_path(folder: str, shard: int) -> str:
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str = "doc_id",
-                 text: str = "text", vocabulary: int = 50_257) -> DataFrame:
+                 text: str = "text", vocabulary: int | None = None) -> DataFrame:
     """Write the shards; one task makes one shard, their number is the session's shuffle
-    partitions.  Returns the manifest (shard, path, docs, ids, bytes)."""
+    partitions.  Ids take 16 bits if ``vocabulary`` (default: from the tokenizer file, its largest id and one)
+    and the end id allow, else 32.  Returns the manifest (shard, path, docs, ids, bytes)."""
+    if vocabulary is None:
+        from tokenizers import Tokenizer
+        vocabulary = 1 + max(Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values(), default=0)
     wide = vocabulary > 65_536 or end_id > 65_535
 
     def write(batches):
