@@ -45,7 +45,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from episcope.llm.common import cut, mix64, partitions_of, small_batches
@@ -282,9 +282,11 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         .join(classes.select(F.col("rep").alias("_rep")), F.col("_copy") == F.col("_rep"), "left_anti")
     words = rows.select("key", "buckets").join(bounded_broadcast(cut(copies, "copies")), F.col("key") == F.col("_copy"), "left_anti") \
         .select(F.explode("buckets").alias("bucket"), F.col("key").alias("id"))
-    stars = cut(words.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("last > centre").drop("last"), "stars", tidy=True)
-    members = cut(words.join(stars.withColumnRenamed("bucket", "_bucket"), F.col("bucket") == F.col("_bucket"))
-                  .select("bucket", "id", "centre"), "buckets", tidy=True)
+    # one shuffle: a bucket's least and greatest id beside each member; members alone in their bucket (most) end here.
+    # A window spills, so a hot bucket costs its task time and disk, not memory.
+    of_bucket = Window.partitionBy("bucket")
+    members = cut(words.withColumn("centre", F.min("id").over(of_bucket)).withColumn("_last", F.max("id").over(of_bucket))
+                  .filter("_last > centre").drop("_last"), "buckets", tidy=True)
 
     pairs = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = verified(pairs, src, size, percent)
