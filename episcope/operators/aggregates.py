@@ -228,3 +228,22 @@ def report_dataset_summary(surv: DataFrame, region: str = "region") -> DataFrame
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(F.col(col).isNotNull()).distinct()
 
+
+def anova_f(df: DataFrame, label: str, cols) -> DataFrame:
+    """F statistic of each feature between the classes of ``label``: (feature, f_value), one pass.
+
+    Missing values and rows without a class do not count.  The table between holds one row a class; the
+    statistic is null with fewer than two classes, or without spread inside the classes.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    parts = df.where(F.col(label).isNotNull()).groupBy(label).agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"n{i}"), F.avg(c).alias(f"m{i}"), F.var_pop(c).alias(f"v{i}"))])
+    per = parts.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").cast("double").alias("m"), F.col(f"v{i}").alias("v"))
+        for i, c in enumerate(cols)])).alias("x")).select("x.*").where(F.col("n") > 0)
+    tot = per.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("mean"),
+        F.sum(F.col("n") * F.col("v")).alias("within"), F.collect_list(F.struct("n", "m")).alias("classes"))
+    between = F.aggregate("classes", F.lit(0.0), lambda acc, c: acc + c["n"] * (c["m"] - F.col("mean")) * (c["m"] - F.col("mean")))
+    f = F.try_divide(F.try_divide(between, F.col("k") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("k")))
+    return tot.select("feature", f.alias("f_value"))

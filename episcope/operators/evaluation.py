@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from episcope.operators.joins import bounded_broadcast
 from episcope.operators.ordering import _names, running_totals
+from episcope.operators.windows import lead, series_window
 from episcope.session import cut_lineage
 
 # Unit costs of the cost-benefit report (currency units).
@@ -130,14 +131,27 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score") -> Da
         F.sum(y).cast("long").alias("pos"), F.sum(1 - y).cast("long").alias("neg"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score", thin: bool = False,
+              bucket_rows: int | None = None) -> DataFrame:
     """One ROC point per distinct score (descending): threshold, fpr, tpr.
 
-    Points are not thinned (every threshold is kept).
+    ``thin`` drops the points where the curve keeps its step: those whose next score adds the same positives and
+    negatives as their own.  The first and last score stay, and a point (infinity, 0, 0) starts the curve.
+    The next score of a bucket's last row comes with the halo, so no task sees every score.
     """
     d = cut_lineage(score_table(df, label, score).withColumn("_neg_score", -F.col("score")), "scores")
     cum = running_totals(d, ["_neg_score"], ["pos", "neg"], stable=True)
     p_tot, n_tot = d.agg(F.sum("pos"), F.sum("neg")).first()  # one row: two numbers
+    if thin:
+        cum = cut_lineage(cum, "curve")
+        lo, hi = cum.agg(F.min("_neg_score"), F.max("_neg_score")).first()
+        x = series_window(cum, [], ["_neg_score"], [lead("_next_pos", "pos", 1), lead("_next_neg", "neg", 1)],
+                          bucket_rows=bucket_rows, stable=True)
+        same = F.col("_next_pos").eqNullSafe(F.col("pos")) & F.col("_next_neg").eqNullSafe(F.col("neg"))
+        ends = F.col("_neg_score").isin([v for v in (lo, hi) if v is not None])
+        start = cum.sparkSession.createDataFrame([(float("-inf"), float("inf"), 0, 0)],
+                                                 "_neg_score double, score double, pos_cum long, neg_cum long")
+        cum = x.where(~same | ends).select(*start.columns).unionByName(start)
     return cum.select(F.col("score").alias("threshold"),
                       F.try_divide(F.col("neg_cum").cast("double"), F.lit(n_tot).cast("long")).alias("fpr"),
                       F.try_divide(F.col("pos_cum").cast("double"), F.lit(p_tot).cast("long")).alias("tpr"))

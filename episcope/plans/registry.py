@@ -6,6 +6,8 @@ Every query reads the supplied tables (through the proxies) in full.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from episcope.functions.calendar import calendar_features
@@ -580,7 +582,7 @@ from episcope.operators import evaluation as E  # noqa: E402
 from episcope.operators import sampling as S  # noqa: E402
 from episcope.operators import sets as U  # noqa: E402
 from episcope.operators.scaling import standard_scale  # noqa: E402
-from episcope.operators.sentiment import LEXICON, lexicon_sentiment  # noqa: E402
+from episcope.operators.sentiment import LEXICON, lexicon_sentiment, modified_sentiment  # noqa: E402
 from episcope.sources import landed  # noqa: E402
 from episcope.functions.numeric import round_half_up  # noqa: E402
 from episcope.functions.text import parse_list_literal  # noqa: E402
@@ -690,6 +692,35 @@ def q_x3(spark, sf):
     return lexicon_sentiment(proxy.posts_text(spark, sf), "text").select("doc_id", "polarity", "subjectivity")
 
 
+# words of the supplied documents stand in for lexicon, negators and intensifiers, which they hardly hold
+PROXY_LEXICON = {"the": (0.4, 0.5), "that": (-0.6, 0.7), "und": (-0.5, 0.6), "la": (0.3, 0.9), "with": (0.8, 0.2), "es": (-0.9, 0.4)}
+PROXY_NEGATORS = ("no", "of", "en", "der")
+PROXY_INTENSIFIERS = {"in": 1.3, "is": 1.5, "de": 0.5}
+_WORDS = ", ".join(f"'{w}'" for w in PROXY_LEXICON)
+_STOPS = _WORDS + ", '.', '!', '?', ';', chr(10)"
+_NEGS = ", ".join(f"'{w}'" for w in PROXY_NEGATORS)
+_stop = lambda c: f"coalesce({c} in ({_STOPS}), false)"
+_neg = lambda c: f"coalesce({c} in ({_NEGS}), false)"
+
+
+@register("x3_modified_sentiment", f"""
+with lex(word, pol, subj) as (values {', '.join(f"('{k}', cast({v[0]} as double), cast({v[1]} as double))" for k, v in PROXY_LEXICON.items())}),
+boost(bword, b) as (values {', '.join(f"('{k}', cast({v} as double))" for k, v in PROXY_INTENSIFIERS.items())}),
+d as (select doc_id, regexp_extract_all(regexp_replace(lower(text), 'n[''’]t', 'nt', 'g'), '[\\p{{L}}\\p{{N}}_]+|[.!?;\\n]') as ws from documents),
+t as (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as pos from d),
+l as (select *, lag(w, 1) over o as w1, lag(w, 2) over o as w2, lag(w, 3) over o as w3 from t window o as (partition by doc_id order by pos)),
+h as (select doc_id, coalesce(b, 1.0) as b, pol, subj,
+       case when {_neg('w1')} or ({_neg('w2')} and not {_stop('w1')})
+                 or ({_neg('w3')} and not {_stop('w2')} and not {_stop('w1')}) then -0.5 else 1.0 end as turned
+     from l join lex on w = word left join boost on w1 = bword),
+s as (select doc_id, avg(greatest(-1.0, least(1.0, pol * b * turned))) as p, avg(least(1.0, subj * b)) as q from h group by doc_id)
+select doc_id, coalesce(p, 0.0) as polarity, coalesce(q, 0.0) as subjectivity from documents left join s using (doc_id)""",
+          ["polarity", "subjectivity"])
+def q_x3_modified(spark, sf):
+    return modified_sentiment(proxy.posts_text(spark, sf), "text", PROXY_LEXICON, PROXY_NEGATORS, PROXY_INTENSIFIERS) \
+        .select("doc_id", "polarity", "subjectivity")
+
+
 U1_SQL = f"""
 with t as (select cast(id as varchar) as id, 'twitter' as platform, text as raw_text, created_at,
                   cast(coalesce(like_count, 0) + coalesce(retweet_count, 0) as bigint) as engagement_score,
@@ -798,6 +829,23 @@ def q_u4(spark, sf):
     return U.distinct_values(proxy.surveillance(spark, sf), "disease")
 
 
+ORDER_GAPS = """select o_orderkey, o_orderdate, case when o_orderstatus = 'F' and o_orderkey % 7 <> 0 then cast(o_totalprice as double) end as price,
+       case when o_orderkey % 11 = 0 then o_orderpriority end as priority from orders"""
+
+
+@register("f6_forward_fill_gaps", f"""
+select o_orderkey, {_ffill('price', 'o_orderdate, o_orderkey')}, {_ffill('priority', 'o_orderdate, o_orderkey', 'null')}
+from ({ORDER_GAPS}) g""", ["price"])
+def q_f6_gaps(spark, sf):
+    # most prices and priorities are missing: long gaps, many buckets that hold no value at all
+    o = proxy.table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate",
+        F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 7 != 0), F.col("o_totalprice").cast("double")).alias("price"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.col("o_orderpriority")).alias("priority"))
+    return W.forward_fill(o, ["price", "priority"], ["o_orderdate", "o_orderkey"], fill_value=0, buckets=48) \
+        .select("o_orderkey", "price", "priority")
+
+
 # ----------------------------------------------------------------------------- 2.9 sampling
 
 LEHMER_SQL = "(((({id} % 2147483647) + 42) * 48271) % 2147483647)"
@@ -861,6 +909,20 @@ def q_e2(spark, sf):
     return E.roc_curve(proxy.scored(spark, sf))
 
 
+@register("e2_roc_curve_thinned", f"""
+with d as (select cast(score as double) as score, cast(sum(label) as bigint) as pos, cast(sum(1 - label) as bigint) as neg
+           from ({Q.SCORED}) s group by 1),
+c as (select *, sum(pos) over (order by score desc rows between unbounded preceding and current row) as cp,
+             sum(neg) over (order by score desc rows between unbounded preceding and current row) as cn,
+             sum(pos) over () as p_, sum(neg) over () as n_, max(score) over () as top,
+             lead(pos) over (order by score desc) as np, lead(neg) over (order by score desc) as nn from d)
+select score as threshold, cast(cn as double) / n_ as fpr, cast(cp as double) / p_ as tpr from c
+where np is null or np <> pos or nn <> neg or score = top
+union all select cast('inf' as double), 0.0, 0.0""", ["fpr", "tpr"])
+def q_e2_thinned(spark, sf):
+    return E.roc_curve(proxy.scored(spark, sf), thin=True)
+
+
 @register("e3_accuracy", f"select avg(cast(label = prediction as double)) as accuracy from ({Q.SCORED}) s", ["accuracy"])
 def q_e3(spark, sf):
     return E.accuracy(proxy.scored(spark, sf))
@@ -967,6 +1029,7 @@ def q_ml4(spark, sf):
 
 # ----------------------------------------------------------------------------- 2.10 MLlib (rows-only checks)
 
+from episcope.plans import report as REPORT  # noqa: E402
 from episcope.plans import training as ML  # noqa: E402
 from episcope.plans import tuning as TUNE  # noqa: E402
 
@@ -1270,10 +1333,16 @@ def q_stream(spark, sf):
     return STREAM.latest_daily_rows(spark, out)
 
 
-def _trainer_run(spark, sf, specs=None, cv_folds=3):
+_TRAINER_RUNS: dict = {}
+
+
+def _trainer_run(spark, sf, cv_folds=3):
+    """The trainer's models, fitted once per application and scale."""
     data, cols = _training_data(spark, sf)
-    perf, fitted = ML.train_all(spark, data, cols, specs or ML.TRAINER_MODELS, cv_folds=cv_folds)
-    return data, cols, perf, fitted
+    key = (spark.sparkContext.applicationId, sf, cv_folds)
+    if key not in _TRAINER_RUNS:
+        _TRAINER_RUNS[key] = ML.train_all(spark, data, cols, ML.TRAINER_MODELS, cv_folds=cv_folds)
+    return data, cols, *_TRAINER_RUNS[key]
 
 
 @register("ml14_train_all")
@@ -1355,6 +1424,56 @@ def q_ml5(spark, sf):
     return spark.createDataFrame(chosen, "feature string, position int")
 
 
+@register("ml5_anova_scores", f"""
+with f as materialized ({FLAGSHIP_SQL}),
+u as (unpivot (select outbreak, {', '.join(f'cast({c} as double) as {c}' for c in FLAGSHIP_FEATURES)} from f)
+      on {', '.join(FLAGSHIP_FEATURES)} into name feature value v),
+c as (select feature, outbreak, count(v) as n, avg(v) as m, var_pop(v) as s from u where outbreak is not null group by 1, 2),
+g as (select feature, count(*) as k, sum(n) as n, sum(n * m) / sum(n) as mean, sum(n * s) as within from c where n > 0 group by 1),
+b as (select c.feature, sum(c.n * (m - mean) * (m - mean)) as between_ from c join g using (feature) where c.n > 0 group by 1)
+select feature, case when k > 1 and n > k and within > 0
+       then floor(100 * ((between_ / (k - 1)) / (within / (n - k))) + 0.5) / 100 end as f_value
+from g join b using (feature)""", ["f_value"])
+def q_ml5_anova(spark, sf):
+    """The F statistic of every feature, as the selection of the best k ranks them."""
+    scores = A.anova_f(q_flagship(spark, sf), "outbreak", FLAGSHIP_FEATURES)
+    return scores.withColumn("f_value", round_half_up("f_value", 2))
+
+
+REPORT_SOURCES = ["surveillance", "social posts", "environment"]
+
+
+@register("s10_analysis_report", f"""
+with v as materialized ({SURV_L})
+select (select count(*) from v) as surveillance_records, (select count(*) from ({Q.SOCIAL}) s) as social_media_posts,
+       (select count(*) from ({Q.ENV}) e) as environmental_records, count(distinct region) as countries_covered,
+       min(date) as start, max(date) as "end", floor(datediff('day', min(date), max(date)) / 365.25 * 10 + 0.5) / 10 as years_span,
+       cast(sum(outbreak) as bigint) as total_outbreaks, avg(cast(outbreak as double)) as outbreak_rate,
+       count(distinct case when outbreak = 1 then region end) as countries_with_outbreaks,
+       cast({len(FLAGSHIP_FEATURES)} as bigint) as total_features, count(*) as shape_rows, true as metrics_valid,
+       cast(floor(sum(outbreak) * 0.2 + 0.5) as bigint) as test_outbreaks, cast({len(ML.TRAINER_MODELS)} as bigint) as models
+from v""", ["years_span", "outbreak_rate"])
+def q_s10_report(spark, sf):
+    """Every section of the report as read back; what a model decides is held against its bounds."""
+    data, cols, perf, fitted = _trainer_run(spark, sf)
+    report = REPORT.analysis_report(_surv_l(spark, sf), proxy.social(spark, sf), proxy.environment(spark, sf), data, cols, perf,
+                                    {k: p for k, (_m, p) in fitted.items()}, REPORT_SOURCES)
+    p = _scratch(spark, "analysis-report")
+    IO.write_report(report, p)
+    r = spark.read.schema(report.schema).json(p)
+    metrics, impact = F.col("best_model_results.performance_metrics"), F.col("best_model_results.real_world_impact")
+    valid = reduce(lambda a, b: a & b, [metrics[c].between(0, 1) for c in ("auc", "accuracy", "cv_auc_mean", "cv_auc_std")])
+    valid = valid & (impact["correctly_predicted"] + impact["missed_outbreaks"] == impact["test_outbreaks"]) \
+        & (F.abs(impact["detection_rate"] * impact["test_outbreaks"] - impact["correctly_predicted"]) < 1e-6) \
+        & F.array_contains("technical_specifications.models_trained", F.col("best_model_results.model_name"))
+    return r.select(
+        "dataset_summary.surveillance_records", "dataset_summary.social_media_posts", "dataset_summary.environmental_records",
+        "dataset_summary.countries_covered", "dataset_summary.date_range.*", "dataset_summary.outbreak_statistics.*",
+        "feature_engineering.total_features", F.col("feature_engineering.dataset_shape")[0].alias("shape_rows"),
+        valid.alias("metrics_valid"), impact["test_outbreaks"].alias("test_outbreaks"),
+        F.size("technical_specifications.models_trained").cast("long").alias("models"))
+
+
 @register("ml11_cross_validate")
 def q_ml11(spark, sf):
     data, cols = _training_data(spark, sf)

@@ -42,17 +42,11 @@ def normalize_tweets(tweets: DataFrame, as_of=None, days_back: int = 7,
     return t
 
 
-def top_k_per_group(df: DataFrame, group: str, order, k: int, salt_col: str, salts: int = 16) -> DataFrame:
-    """First ``k`` rows of each group in ``order``, skew-safe.
-
-    Phase 1 ranks inside (group, salt) sub-groups, so a hot group is spread over
-    ``salts`` tasks; phase 2 ranks at most ``salts * k`` survivors per group.
-    """
-    salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salts))
-    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
-    x = df.withColumn("_salt", salt).withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
-    w2 = Window.partitionBy(group).orderBy(*order)
-    return x.withColumn("_r2", F.row_number().over(w2)).where(F.col("_r2") <= k).drop("_salt", "_r1", "_r2")
+def top_k_per_group(df: DataFrame, group: str, order, k: int) -> DataFrame:
+    """First ``k`` rows of each group in ``order``.  Spark limits the rank inside each task before the shuffle
+    (WindowGroupLimit, partial), so a hot group sends at most ``k`` rows a task, whatever its share of the rows."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
 def normalize_reddit(posts: DataFrame, keywords=None, limit: int | None = None) -> DataFrame:
@@ -62,7 +56,7 @@ def normalize_reddit(posts: DataFrame, keywords=None, limit: int | None = None)
     """
     p = posts.where(contains_any(["title", "selftext"], keywords))
     if limit is not None:
-        p = top_k_per_group(p, "subreddit", [F.col("created_utc").desc(), F.col("id")], int(limit), "id")
+        p = top_k_per_group(p, "subreddit", [F.col("created_utc").desc(), F.col("id")], int(limit))
     return p.select(
         F.col("id").cast("string").alias("id"), "title", F.col("selftext").alias("text"), "score",
         "upvote_ratio", "num_comments",
