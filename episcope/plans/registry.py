@@ -1350,6 +1350,31 @@ def q_ml14(spark, sf):
     return _trainer_run(spark, sf)[2]
 
 
+@register("ml14_models_checked", f"""
+with n as (select cast(sum(floor(n * 0.2 + 0.5)) as bigint) as test_rows,
+                  cast(sum(case when outbreak = 1 then floor(n * 0.2 + 0.5) else 0 end) as bigint) as test_outbreaks
+           from (select outbreak, count(*) as n from ({SURV_L}) s group by outbreak) c)
+select model, test_rows, test_outbreaks, true as probabilities_valid, true as accuracy_agrees, true as auc_agrees
+from n, (values {', '.join(f"('{m.name}')" for m in ML.TRAINER_MODELS)}) m(model)""")
+def q_ml14_checked(spark, sf):
+    """Each trained model's test rows, counted by SQL's split, and its accuracy and AUC worked out a second
+    way (confusion counts; MLlib's evaluator without binning) from its predictions."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    _data, _cols, perf, fitted = _trainer_run(spark, sf, cv_folds=0)
+    out = None
+    for name, (_model, preds) in fitted.items():
+        preds = cut_lineage(preds, "predictions")
+        area = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="actual", numBins=0).evaluate(preds)
+        c = E.confusion_counts(preds, "actual", "predicted").crossJoin(
+            preds.agg(F.min(F.coalesce(F.col("probability").between(0, 1), F.lit(False))).alias("probabilities_valid")))
+        row = c.join(perf.where(F.col("model") == name)).select(
+            "model", F.col("n").alias("test_rows"), (F.col("tp") + F.col("fn")).alias("test_outbreaks"), "probabilities_valid",
+            (F.abs((F.col("tp") + F.col("tn")) / F.col("n") - F.col("accuracy")) < 1e-9).alias("accuracy_agrees"),
+            (F.abs(F.lit(area) - F.col("auc")) < 1e-9).alias("auc_agrees"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register("e12_model_comparison")
 def q_e12(spark, sf):
     perf = _trainer_run(spark, sf)[2]
