@@ -84,3 +84,44 @@ def test_boosting_and_selection(spark):
     _r, model, _p = ML.train_one(spec, data, cols, cv_folds=0)
     sel = [s for s in model.stages if hasattr(s, "selectedFeatures")][0]
     assert sorted(cols[i] for i in sel.selectedFeatures) == ["f0", "f1"]
+
+
+def test_models_train_side_by_side_on_one_table_of_folds(spark, monkeypatch):
+    import threading
+    df, cols = _fixture(spark, n=600)
+    data = ML.prepare_training_frame(df, "outbreak", ("disease", "region", "date"))
+    specs = [ML.ModelSpec("lr", "lr", {"C": 1.0, "maxIter": 20}, scaled=True), ML.ModelSpec("svm", "svm", {"maxIter": 10}, scaled=True)]
+    alone = {s.name: ML.cross_validate(s, data.where("not is_test"), cols, folds=2, rows=300)[1:3] for s in specs}
+    tables, together, plain = [], threading.Barrier(2), ML.train_one
+    written = ML.fold_column
+
+    def folds(*args, **kw):
+        tables.append(1)
+        return written(*args, **kw)
+
+    def one(*args, **kw):
+        together.wait(60)             # broken unless both models are in training
+        return plain(*args, **kw)
+    monkeypatch.setattr(ML, "fold_column", folds)
+    monkeypatch.setattr(ML, "train_one", one)
+    perf, fitted = ML.train_all(spark, data, cols, specs, cv_folds=2, cv_rows=300)
+    assert len(tables) == 1 and set(fitted) == {"lr", "svm"}
+    for r in perf.collect():
+        assert (r["cv_auc_mean"], r["cv_auc_std"]) == pytest.approx((alone[r["model"]][0][0], alone[r["model"]][1][0]))
+
+
+def test_folds_fit_side_by_side(spark, monkeypatch):
+    import threading
+    df, cols = _fixture(spark, n=600)
+    data = ML.prepare_training_frame(df, "outbreak", ("disease", "region", "date"))
+    spec = ML.ModelSpec("svm", "svm", {"maxIter": 5}, scaled=True, calibrated=True)
+    together, plain = threading.Barrier(4), ML.build_pipeline
+
+    def fit(self, *args, **kw):
+        together.wait(60)             # the whole model and three folds
+        return pipeline_fit(self, *args, **kw)
+    pipeline_fit = ML.Pipeline.fit
+    monkeypatch.setattr(ML.Pipeline, "fit", fit)
+    train = data.where("not is_test")
+    model = ML.calibrate(spec, train, cols, lambda: plain(spec, cols).fit(train))
+    assert model.slope < 0
