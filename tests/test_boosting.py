@@ -203,3 +203,18 @@ def test_auc_of_groups(spark):
     for g in range(4):
         assert got[g] == pytest.approx(E.roc_auc(df.where((F.col("g") == g) & F.col("score").isNotNull())).first()["auc"])
     assert got[9] is None
+
+
+def test_jobs_of_small_models_do_not_grow_with_their_trees(spark):
+    x, y = _rows(200)
+    df = _frame(spark, x, y)
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for trees in (2, 25):
+        group = f"boost-{trees}"
+        spark.sparkContext.setJobGroup(group, "")
+        specs = [B.BoostSpec("all", trees, 2), B.BoostSpec("fold", trees, 3, subsample=0.7, leave_out=0)]
+        models, held = B.fit(df, COLS, specs, part="fold", keys=["row_id"], stages=[1, trees])
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+        assert [len(m.trees) for m in models] == [trees, trees] and held.where(F.col("trees") == trees).count() == 67
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
