@@ -87,7 +87,7 @@ def nested_shares(x: np.ndarray, forest: list[tuple], depths, sizes) -> dict[tup
 
 
 def tune_forest(train: DataFrame, features: list[str], grid: dict | None = None, folds: int = 5, label: str = "label",
-                row_id: str = "row_id", seed: int = 42, parallelism: int = 8):
+                row_id: str = "row_id", seed: int = 42, parallelism: int = 15):
     """(points best first, best parameters, model fitted on all rows with them)."""
     grid = {**FOREST_GRID, **(grid or {})}
     spark = train.sparkSession
@@ -98,8 +98,9 @@ def tune_forest(train: DataFrame, features: list[str], grid: dict | None = None,
     root = ensure_checkpoint_dir(spark).rstrip("/")
 
     def fit(leaf: int, rows: DataFrame, trees: int, depth: int):
+        # node ids are kept beside the rows: else each level sends the whole forest to the tasks and walks it from the root
         return RandomForestClassifier(featuresCol="_vector", labelCol="_label", seed=seed, numTrees=trees, maxDepth=depth,
-                                      minInstancesPerNode=leaf).fit(rows)
+                                      minInstancesPerNode=leaf, cacheNodeIds=True).fit(rows)
 
     def held_out(job):
         leaf, fold = job

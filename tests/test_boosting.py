@@ -218,3 +218,8 @@ def test_jobs_of_small_models_do_not_grow_with_their_trees(spark):
         assert [len(m.trees) for m in models] == [trees, trees] and held.where(F.col("trees") == trees).count() == 67
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[0] == jobs[1]
+
+
+def test_grid_forests_keep_their_node_ids(spark):
+    _ranked, _best, tuned = TU.tune_forest(_prepared(spark, 200).where("not is_test"), COLS, {"trees": (2,), "depth": (2,), "leaf": (1,)}, folds=2)
+    assert tuned.getCacheNodeIds()
