@@ -31,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, mix64, small_batches
+from episcope.llm.common import cut, lean, mix64, small_batches
 from episcope.llm.suffix_sort import deep_shallow
 
 LAST = 2 ** 63 - 1                  # stands for a null key
 BASE = 0x9E3779B97F4A7C15           # of the rolling hash, odd
 CHUNK = 1 << 20                     # places of a text that are hashed at once
-FLUSH = 1_500_000                   # extents that a task compares among themselves at once
+FLUSH = 750_000                     # extents that a task compares among themselves at once
+SEND = 65_536                       # rows of an Arrow batch that a task sends back
 FOUND = "kind int, mh long, eh long, doc long, tag int, start long, meta int"
 NAMES = [c.split()[0] for c in FOUND.split(", ")]
 TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
@@ -127,14 +128,18 @@ def _repeats(doc, tag, start, count, width, spread):
 def _find(width: int, gram: int):
     """Task: extents of its documents, one of each class; later copies as removed runs."""
     def flush(parts):
-        mh, eh, doc, tag, start, count, off = (np.concatenate(x) for x in zip(*parts))
+        cols = list(zip(*parts))
+        parts.clear()
+        for i in range(len(cols)):          # one column at a time: the pieces go as the whole comes
+            cols[i] = np.concatenate(cols[i])
+        mh, eh, doc, tag, start, meta = cols
+        del cols
         order = np.lexsort((tag, start, doc, eh, mh))
-        mh, eh, doc, tag, start, count, off = (x[order] for x in (mh, eh, doc, tag, start, count, off))
+        mh, eh, doc, tag, start, meta = (x[order] for x in (mh, eh, doc, tag, start, meta))
         keep, later, _ = _classes(mh, eh, doc, tag, start)
-        meta = ((count << 10) | off).astype(np.int32)
-        yield _batch(EXTENT, mh[keep], eh[keep], doc[keep], tag[keep], start[keep], meta[keep])
+        yield from small_batches([_batch(EXTENT, mh[keep], eh[keep], doc[keep], tag[keep], start[keep], meta[keep])], SEND)
         if later.any():
-            yield _repeats(doc[later], tag[later], start[later], count[later], width, True)
+            yield from small_batches([_repeats(doc[later], tag[later], start[later], (meta[later] >> 10).astype(np.int64), width, True)], SEND)
 
     def run(batches):
         parts, held = [], 0
@@ -144,7 +149,7 @@ def _find(width: int, gram: int):
                     continue
                 for start, count, place, mh, eh in [extents(text, width, gram)]:
                     parts.append((mh, eh, np.full(len(start), doc, dtype=np.int64), np.full(len(start), tag, dtype=np.int32),
-                                  start, count, place - start))
+                                  start, ((count << 10) | (place - start)).astype(np.int32)))
                     held += len(start)
                 if held >= FLUSH:
                     yield from flush(parts)
@@ -253,8 +258,8 @@ def _compare(width: int):
 
 def repeated_runs(src: DataFrame, width: int, gram: int, group_rows: int) -> DataFrame:
     """(doc, tag, start, stop): runs of bytes to remove, which may overlap.  src: doc, data, tag."""
-    found = src.mapInArrow(_find(width, gram), FOUND)
-    decided = cut(found.repartition("mh").sortWithinPartitions("mh", "eh", "doc", "start", "tag").mapInArrow(_decide(width), FOUND), "extents", tidy=True)
+    found = src.mapInArrow(lean(_find(width, gram)), FOUND)
+    decided = cut(found.repartition("mh").sortWithinPartitions("mh", "eh", "doc", "start", "tag").mapInArrow(lean(_decide(width)), FOUND), "extents", tidy=True)
     runs = decided.filter(F.col("kind") == REPEAT).select("doc", "tag", "start", F.col("eh").alias("stop"))
 
     ask = decided.filter(F.col("kind") == OPEN).select("mh", F.col("eh").alias("classes"), F.col("doc").alias("d"), F.col("tag").alias("t"), "start",
@@ -264,7 +269,7 @@ def repeated_runs(src: DataFrame, width: int, gram: int, group_rows: int) -> Dat
                 F.expr(f"substring(data, cast(start + 1 as int), count + {width - 1})").alias("ctx"))
     ctx = cut(ctx, "contexts", tidy=True)
     small = ctx.filter(F.col("classes") <= group_rows).drop("classes").repartition("mh").sortWithinPartitions("mh")
-    runs = runs.unionByName(small.mapInArrow(_compare(width), "doc long, tag int, start long, stop long"))
+    runs = runs.unionByName(small.mapInArrow(lean(_compare(width)), "doc long, tag int, start long, stop long"))
 
     strings = ctx.filter(F.col("classes") > group_rows) \
         .select("doc", "tag", "start", "ctx", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("i")) \
@@ -310,5 +315,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     runs = cut(repeated_runs(src, width, gram, group_rows), "runs", tidy=True).groupBy(F.col("doc").alias("d"), F.col("tag").alias("t")) \
         .agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
     whole = src.join(runs, (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("t")), "left").select("doc", "data", "runs")
-    return whole.mapInArrow(_apply, "doc long, n_bytes long, spans array<struct<start:bigint,stop:bigint>>, kept binary") \
+    return whole.mapInArrow(lean(_apply), "doc long, n_bytes long, spans array<struct<start:bigint,stop:bigint>>, kept binary") \
         .select(F.when(F.col("doc") != LAST, F.col("doc")).alias(key), "n_bytes", "spans", "kept")

@@ -241,3 +241,14 @@ def test_deep_shallow_sort():
         order, lcp = deep_shallow(s, rng.choice([0, 1, 4, 12]))
         assert [s[i] for i in order] == sorted(s)
         assert lcp == [0] + [common_prefix(s[a], s[b]) for a, b in zip(order, order[1:])]
+
+
+def test_dedup_tasks_send_bounded_batches(monkeypatch):
+    import pyarrow as pa
+    from episcope.llm import common, suffix_dedup
+    texts = [("%d same passage of some length, " % i * 9).encode() for i in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(30), pa.int64()), pa.array(texts), pa.array([0] * 30, pa.int32())], names=["doc", "data", "tag"])
+    whole = pa.Table.from_batches(list(suffix_dedup._find(40, 8)([batch])))
+    monkeypatch.setattr(suffix_dedup, "SEND", 16)
+    got = list(common.lean(suffix_dedup._find(40, 8))([batch]))
+    assert max(b.num_rows for b in got) <= 16 < whole.num_rows and pa.Table.from_batches(got).to_pylist() == whole.to_pylist()
