@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, mix64, partitions_of, small_batches
+from episcope.llm.common import cut, lean, mix64, partitions_of, small_batches
 from episcope.llm.components import connected_components
 from episcope.operators.joins import bounded_broadcast
 
@@ -196,7 +196,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     # the texts stay where they are as long as the list of their ids passes the size check
     few = bounded_broadcast(cut(ids, "ids"))
-    found = docs.join(few, docs["key"] == few["id"], "left_semi").mapInArrow(sets, "id long, set binary")
+    found = docs.join(few, docs["key"] == few["id"], "left_semi").mapInArrow(lean(sets), "id long, set binary")
     found = cut(found, "sets", tidy=True)
     width = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_CHUNK).cast("int").alias("parts"))
     centres = found.join(width, F.col("id") == F.col("a")) \
@@ -205,7 +205,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
         .select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "set")
     n = partitions_of(docs.sparkSession)
     rows = centres.unionByName(members).repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return cut(rows.mapInArrow(_verify(percent), "a long, b long").distinct(), "links", tidy=True)
+    return cut(rows.mapInArrow(lean(_verify(percent)), "a long, b long").distinct(), "links", tidy=True)
 
 
 def _cross_pairs(percent: int):
@@ -253,7 +253,7 @@ def _rare_groups(large: DataFrame, docs: DataFrame, size: int, percent: int) ->
 
     of = cut(large.select(F.col("id").alias("_id"), "band", "component").distinct(), "large")
     few = bounded_broadcast(cut(of.select("_id").distinct(), "large-ids"))
-    have = docs.join(few, docs["key"] == few["_id"], "left_semi").mapInArrow(shingles, "id long, n long, h long")
+    have = docs.join(few, docs["key"] == few["_id"], "left_semi").mapInArrow(lean(shingles), "id long, n long, h long")
     have = cut(have, "shingles", tidy=True)
     # a shingle of one document only comes before all others and needs no group
     common = cut(have.groupBy(F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "common", tidy=True)
@@ -273,7 +273,7 @@ def _rare_groups(large: DataFrame, docs: DataFrame, size: int, percent: int) ->
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """(key, n_shingles, component_id): one row per row of ``docs``."""
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = cut(src.mapInArrow(_describe(size, percent), "key long, n long, h1 long, h2 long, buckets array<long>, sketches array<struct<band:int,bits:binary>>"), "sketches")
+    rows = cut(src.mapInArrow(lean(_describe(size, percent)), "key long, n long, h1 long, h2 long, buckets array<long>, sketches array<struct<band:int,bits:binary>>"), "sketches")
     of_set = ["n", "h1", "h2"]
     classes = rows.filter("n > 0").groupBy(*of_set).agg(F.min("key").alias("rep"))
 

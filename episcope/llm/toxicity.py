@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from episcope.llm.common import small_batches
+from episcope.llm.common import lean, small_batches
 
 BITS = 18
 SENTENCES = "array<struct<start:int,end:int,score:double>>"
@@ -172,4 +172,4 @@ def score(docs: DataFrame, model: NoisyOr, text: str = "text", sentence_floor: f
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(found, sent)],
                                              names=[*cols, "score", "sentences"])
 
-    return docs.select(*cols).mapInArrow(run, kind)
+    return docs.select(*cols).mapInArrow(lean(run), kind)
