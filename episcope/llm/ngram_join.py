@@ -8,15 +8,17 @@ linked documents have a block in which nothing differs (pigeonhole).  The join i
 on the XOR of its shingles' 64-bit hashes, which is equal when the block's shingles are and tells
 apart what the block's few parity bits do not.  Blocks without shingles would agree by chance;
 as there are more blocks than d + 1, a document with more than d filled blocks leaves its
-empty ones out (an untouched block that is filled remains), the rare others keep them.
+empty ones out (an untouched block that is filled remains), the rare others keep them.  And of
+its filled blocks, only the first d + 1 are needed, d for its own size and that of its largest partner
+there: before the first untouched one, which is the same in both documents, at most d others come.
 Documents compare in the band of the larger one: each sends its blocks to its own band and, if
 a partner may lie there, to the next band.
 
 Equal sets are one class; only its smallest id joins.  Rows that agree on a block form a
 bucket, and no bucket is expanded into pairs:
 
-1. every member is verified against the bucket's smallest id (a star), links are followed to
-   components, and buckets whose members then lie in one component are done;
+1. every member whose sketch lies within the bound is verified against the bucket's smallest id (a
+   star), links are followed to components, and buckets whose members then lie in one component are done;
 2. in the rest, members outside the bucket's main component meet the members of other
    components by the sketches' Hamming distance, and only pairs within the bound are verified.
    Buckets of more than PAIR_CHUNK members (documents that share a passage) are not compared as
@@ -112,9 +114,9 @@ def blocks_for(least: int, most: int) -> int:
         n += max(1, n // 50)
 
 
-def sketch(shingles: np.ndarray, band: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+def sketch(shingles: np.ndarray, band: int, least: int, most: int, own: int) -> tuple[np.ndarray, np.ndarray]:
     """(bucket ids of the blocks that join, parity bits: 16 a block) for a band whose sets have
-    ``least`` shingles or more and, if linked, differ in at most ``most``."""
+    ``least`` shingles or more and, if linked, differ in at most ``most``, this set in at most ``own``."""
     blocks = blocks_for(least, most)
     r = mix64(shingles ^ K[7])
     block = (r % np.uint64(blocks)).astype(np.int64)
@@ -123,7 +125,7 @@ def sketch(shingles: np.ndarray, band: int, least: int, most: int) -> tuple[np.n
     filled, first = np.unique(block[order], return_index=True)
     xors = np.zeros(blocks, dtype=np.uint64)
     xors[filled] = np.bitwise_xor.reduceat(r[order], first)
-    at = filled if len(filled) > most else np.arange(blocks)
+    at = filled[:own + 1] if len(filled) > own else np.arange(blocks)
     bucket = (mix64(xors[at] + mix64(at.astype(np.uint64) * K[0] + np.uint64(band))) << np.uint64(BAND_BITS)) | np.uint64(band)
     return bucket.view(np.int64), np.packbits(bits, bitorder="little")
 
@@ -138,9 +140,9 @@ def _sketches(n: int, shingles: np.ndarray, percent: int) -> list[tuple[int, np.
     for band in (own, own + 1):
         if band == own or n * 100 // percent >= edges[band]:
             top = (edges[band + 1] if band + 1 < len(edges) else max(edges[band] + 1, int(edges[band] * RATIO))) - 1
-            most = bound(top, top, percent)
-            if most > 0:                         # else only equal sets link, which are one class already
-                buckets, bits = sketch(shingles, band, max(1, edges[band] * percent // 100), most)
+            most, differ = bound(top, top, percent), bound(n, min(top, n * 100 // percent), percent)
+            if differ > 0:                       # else only equal sets link, which are one class already
+                buckets, bits = sketch(shingles, band, max(1, edges[band] * percent // 100), most, differ)
                 out.append((band, buckets, bits.tobytes()))
     return out
 
@@ -168,16 +170,45 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verify(percent: int):
-    """Rows (a, part, b, set), sorted so that the centre's set (b null) comes first in each (a, part)."""
+def _near(percent: int):
+    """Of rows (a, b, band, n and bits of both) the pairs whose sketches lie within the bound."""
+    def run(batches):
+        for batch in small_batches(batches):
+            bands_, na, nb = (batch.column(i).to_numpy() for i in (2, 3, 5))
+            bits = [batch.column(i).to_pylist() for i in (4, 6)]
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for band in np.unique(bands_):
+                at = np.flatnonzero(bands_ == band)
+                x, y = (np.frombuffer(b"".join([c[i] for i in at]), dtype="<u2").reshape(len(at), -1) for c in bits)
+                keep[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= bound(na[at], nb[at], percent)
+            yield batch.select([0, 1]).filter(pa.array(keep))
+    return run
+
+
+def _within_bound(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) of ``pairs`` (a, b, band) that can link by their sketches: these are a tenth
+    of the sets, so what is only alike in a block costs no text."""
+    pairs = cut(pairs, "candidates")
+    ids = bounded_broadcast(cut(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "ids"))
+    sk = rows.join(ids, F.col("key") == F.col("_id"), "left_semi").select("key", "n", F.explode("sketches").alias("s")) \
+        .select("key", "n", F.col("s.band").alias("band"), F.col("s.bits").alias("bits"))
+    for side in ("a", "b"):
+        of = sk.withColumnsRenamed({c: f"_{c}{side}" for c in sk.columns})
+        pairs = pairs.join(of, (F.col(side) == F.col(f"_key{side}")) & (F.col("band") == F.col(f"_band{side}")))
+    near = pairs.select("a", "b", "band", "_na", "_bitsa", "_nb", "_bitsb").mapInArrow(lean(_near(percent)), "a long, b long")
+    return cut(near.distinct(), "pairs", tidy=True)
+
+
+def _verify(size: int, percent: int):
+    """Rows (a, part, b, text), sorted so that the centre's text (b null) comes first in each (a, part)."""
     def run(batches):
         current, centre = None, None
         for batch in small_batches(batches):
             found = []
-            for a, part, b, s in zip(*(c.to_pylist() for c in batch.columns)):
+            for a, part, b, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if b is None:
-                    current, centre = (a, part), np.frombuffer(s, dtype="<u8")
-                elif current == (a, part) and _linked(centre, np.frombuffer(s, dtype="<u8"), percent):
+                    current, centre = (a, part), shingle_set(text, size)
+                elif current == (a, part) and _linked(centre, shingle_set(text, size), percent):
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
                                              names=["a", "b"])
@@ -185,27 +216,21 @@ def _verify(percent: int):
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those (a, b) whose sets link.  Sets are made from the whole texts of the documents that
-    occur in pairs.  A centre with many partners is copied once for every STAR_CHUNK of them."""
-    def sets(batches):
-        for b in small_batches(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, size).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
-                                             names=["id", "set"])
-
-    pairs = cut(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    """Those of the stored (a, b) whose sets link.  The whole texts of the documents that occur in pairs
+    travel (they compress, hashes don't), the sets are made where a pair meets.  A centre with many
+    partners is copied once for every STAR_CHUNK of them."""
+    ids = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
     # the texts stay where they are as long as the list of their ids passes the size check
     few = bounded_broadcast(cut(ids, "ids"))
-    found = docs.join(few, docs["key"] == few["id"], "left_semi").mapInArrow(lean(sets), "id long, set binary")
-    found = cut(found, "sets", tidy=True)
-    width = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_CHUNK).cast("int").alias("parts"))
-    centres = found.join(width, F.col("id") == F.col("a")) \
-        .select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "set")
-    members = pairs.join(width.withColumnRenamed("a", "_a"), F.col("a") == F.col("_a")).join(found, F.col("b") == F.col("id")) \
-        .select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "set")
-    n = partitions_of(docs.sparkSession)
-    rows = centres.unionByName(members).repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return cut(rows.mapInArrow(lean(_verify(percent)), "a long, b long").distinct(), "links", tidy=True)
+    width = pairs.groupBy(F.col("a").alias("_a")).agg(F.ceil(F.count(F.lit(1)) / STAR_CHUNK).cast("int").alias("parts"))
+    centres = width.select(F.col("_a").alias("id"), F.col("_a").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                           F.lit(None).cast("long").alias("b"))
+    members = pairs.join(width, F.col("a") == F.col("_a")) \
+        .select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b")
+    wanted = cut(centres.unionByName(members), "wanted")
+    rows = docs.join(few, docs["key"] == few["_id"], "left_semi").join(wanted, F.col("key") == F.col("id")).select("a", "part", "b", "text") \
+        .repartition(partitions_of(docs.sparkSession), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return cut(rows.mapInArrow(lean(_verify(size, percent)), "a long, b long").distinct(), "links", tidy=True)
 
 
 def _cross_pairs(percent: int):
@@ -288,7 +313,9 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     members = cut(words.withColumn("centre", F.min("id").over(of_bucket)).withColumn("_last", F.max("id").over(of_bucket))
                   .filter("_last > centre").drop("_last"), "buckets", tidy=True)
 
-    pairs = members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    band = F.col("bucket").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
+    pairs = _within_bound(members.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"), band.alias("band")).distinct(),
+                          rows, percent)
     links = verified(pairs, src, size, percent)
     labels = connected_components(links)
 
@@ -300,7 +327,6 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     state = parts.groupBy("bucket").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count(F.lit(1)).alias("c"),
                                         F.sum("m").alias("m"), F.sum("who").alias("who"))
     # buckets of the same members are compared once; with two members the star has said it all
-    band = F.col("bucket").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
     open_ = state.filter("c > 1 and m > 2").groupBy("m", "who", "main", band.alias("band")).agg(F.min("bucket").alias("bucket"))
     rest = cut(known.join(open_.select(F.col("bucket").alias("_b"), "main", "band", "m"), F.col("bucket") == F.col("_b"))
                .select(F.col("bucket").alias("grp"), "band", "id", "component", (F.col("component") != F.col("main")).alias("mine"),
@@ -318,7 +344,7 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         more = full.groupBy("grp", "band", "x", "y").applyInPandas(_cross_pairs(percent), "a long, b long").distinct()
         more = more.join(pairs.select(F.least("a", "b").alias("_pa"), F.greatest("a", "b").alias("_pb")),
                          (F.col("a") == F.col("_pa")) & (F.col("b") == F.col("_pb")), "left_anti")
-        labels = connected_components(links.union(verified(more, src, size, percent)))
+        labels = connected_components(links.union(verified(cut(more, "pairs", tidy=True), src, size, percent)))
 
     lab = labels.select(F.col("node").alias("_node"), "component")
     named = classes.join(lab, F.col("rep") == F.col("_node"), "left") \

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from episcope.llm import decontamination, ngram_join, suffix_dedup
@@ -108,6 +109,38 @@ def test_join_of_unlinked_documents_that_share_a_passage(make_docs, monkeypatch,
     assert sum(sizes) < 20 * len(rows)
 
 
+def test_documents_send_only_the_blocks_that_a_link_needs():
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        for n in (12, 40, 95, 350, 700):
+            own = rng.integers(0, 2 ** 63, n, dtype=np.uint64)
+            sent = {band: set(buckets.tolist()) for band, buckets, _ in ngram_join._sketches(n, np.unique(own), percent)}
+            assert all(len(b) <= 1 + ngram_join.bound(n, n * 100 // percent, percent) for b in sent.values())
+            for m in range(n, n * 100 // percent + 1):          # the largest partners, and those that swap shingles
+                swapped = (ngram_join.bound(n, m, percent) - (m - n)) // 2
+                if (m > n or swapped > 0) and swapped >= 0:
+                    other = np.unique(np.concatenate([own[swapped:], rng.integers(0, 2 ** 63, m - n + swapped, dtype=np.uint64)]))
+                    if ngram_join._linked(np.unique(own), other, percent):
+                        met = {band: set(b.tolist()) for band, b, _ in ngram_join._sketches(len(other), other, percent)}
+                        assert any(met.get(band, set()) & b for band, b in sent.items())
+
+
+def test_pairs_outside_the_bound_cost_no_text(make_docs, monkeypatch):
+    rng = random.Random(21)
+    passage = _text(rng, 24)
+    rows = [(i, f"{passage} {_text(rng, 48)}") for i in range(400)] + [(1000, f"{passage} {_text(rng, 48)}")]
+    rows += [(2000 + i, _edited(rng, rows[9 * i][1], 1)) for i in range(30)]
+    inner, seen = ngram_join.verified, []
+
+    def counted(pairs, docs, size, percent):
+        seen.append(pairs.count())
+        return inner(pairs, docs, size, percent)
+
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    assert _components(ngram_join.link_components(make_docs(rows), size=5, percent=80)) == _brute(rows, 5, 80)
+    assert sum(seen) < 100                       # the passage alone brings 400 pairs
+
+
 def test_join_edge_rows(make_docs):
     out = ngram_join.link_components(make_docs([(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (9, "A b c d")])).collect()
     assert sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in out) == [(-1, -1), (5, 5), (5, 5), (9, 5)]
