@@ -31,7 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, encoder, mix64, open_fs, partitions_of, small_batches, write_whole
+from episcope.llm.common import cut, encoder, forget_encoders, lean, mix64, open_fs, partitions_of, small_batches, write_whole
+from episcope.operators.joins import bounded_broadcast
+from episcope.operators.ordering import range_bucket
 
 MAGIC, HEAD, TRAILER = b"TOKSHRD1", "<8sQ", "<QQ8s"
 HEAD_BYTES, TRAILER_BYTES = struct.calcsize(HEAD), struct.calcsize(TRAILER)
@@ -47,6 +49,25 @@ def _shard_path(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:06d}.tok"
 
 
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, wide: bool, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, tie, shard): each document's raw ids, made where it is read, so that ids and not texts are dealt
+    out and sorted, by tasks that need no encoder.  ``tie``: the text of rows whose key repeats, else null.
+    ``shard`` follows the key, by sampled bounds: a range partitioning would encode everything twice, for its sample."""
+    def encode(batches):
+        enc = encoder(tokenizer)
+        for b in small_batches(batches):
+            ids = (enc.encode(t or "", end_id) for t in b.column(1).to_pylist())
+            raw = list(ids) if wide else [np.frombuffer(x, dtype="<u4").astype("<u2").tobytes() for x in ids]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), b.column(2), b.column(3)], names=["key", "ids", "tie", "shard"])
+
+    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    again = cut(src.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "again")
+    tied = src.join(bounded_broadcast(again), F.col("key").eqNullSafe(F.col("_key")), "left") \
+        .select("key", "text", F.when(F.col("_n").isNotNull(), F.col("text")).alias("tie"),
+                range_bucket(src, "key", partitions_of(docs.sparkSession)).cast("int").alias("shard"))
+    return tied.mapInArrow(lean(encode), "key long, ids binary, tie string, shard int")
+
+
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str = "doc_id",
                  text: str = "text", vocabulary: int | None = None) -> DataFrame:
     """Write the shards; one task makes one shard, their number is the session's shuffle
@@ -56,20 +77,20 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
         from tokenizers import Tokenizer
         vocabulary = 1 + max(Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values(), default=0)
     wide = vocabulary > 65_536 or end_id > 65_535
+    width = 4 if wide else 2
 
     def write(batches):
-        enc, shard = encoder(tokenizer), TaskContext.get().partitionId()
-        keys, nulls, counts = [], [], []
+        forget_encoders()                        # the worker's caches are of no use from here on
+        shard, keys, nulls, counts = TaskContext.get().partitionId(), [], [], []
 
         def body():
-            yield struct.pack(HEAD, MAGIC, 4 if wide else 2)
+            yield struct.pack(HEAD, MAGIC, width)
             for b in small_batches(batches):
-                for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    ids = np.frombuffer(enc.encode(t or "", end_id), dtype="<u4")
+                for k, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     keys.append(k or 0)
                     nulls.append(k is None)
-                    counts.append(len(ids))
-                    yield (ids if wide else ids.astype("<u2")).tobytes()
+                    counts.append(len(ids) // width)
+                    yield ids
             yield np.array(keys, dtype="<i8").tobytes() + np.array(nulls, dtype="u1").tobytes() + np.array(counts, dtype="<i8").tobytes()
             yield struct.pack(TRAILER, len(keys), sum(counts), MAGIC)
 
@@ -85,9 +106,9 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
                 [pa.array([shard], pa.int32()), pa.array([path]), pa.array([len(keys)], pa.int64()),
                  pa.array([sum(counts)], pa.int64()), pa.array([size], pa.int64())], names=["shard", "path", "docs", "ids", "bytes"])
 
-    src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    ordered = src.repartitionByRange(partitions_of(docs.sparkSession), "key").sortWithinPartitions("key", "text")
-    return cut(ordered.mapInArrow(write, MANIFEST), "shards")
+    coded = encoded(docs, tokenizer, end_id, wide, key, text)
+    ordered = coded.repartitionById(partitions_of(docs.sparkSession), F.col("shard")).sortWithinPartitions("key", "tie").select("key", "ids")
+    return cut(ordered.mapInArrow(lean(write), MANIFEST), "shards", tidy=True)
 
 
 def read_contents(f) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from episcope.llm import packing, token_index
+from episcope.llm import common, packing, token_index
 from episcope.llm.common import Encoder, shared_path
 
 TEXTS = [(1, "Hello world, it's 2024.\n\nNew  line"), (2, None), (3, ""), (4, "a" * 5000), (5, "word " * 3000), (7, "naïve — 東京 😀 <|endoftext|> x"),
@@ -45,6 +45,16 @@ def test_shards_and_index_round_trip(spark, make_docs, tokenizer):
     assert token_index.lookup(foreign, folder, 5).count() == 0
 
 
+def test_ids_are_dealt_out_not_texts(make_docs, tokenizer):
+    tok = Tokenizer.from_file(tokenizer)
+    got = token_index.encoded(make_docs(TEXTS + [(None, "b"), (None, "a")]), tokenizer, 2, wide=False).collect()
+    want = sorted((k or 0, np.array(_ids(tok, t, 2), dtype="<u2").tobytes(), t if k in (7, None) else None) for k, t in [*TEXTS, (None, "b"), (None, "a")])
+    assert sorted((r["key"] or 0, bytes(r["ids"]), r["tie"]) for r in got) == want
+    common.encoder(tokenizer)
+    common.forget_encoders()
+    assert not common._ENCODERS
+
+
 def test_perfect_hash_is_minimal():
     for n in (0, 1, 2, 70, 5000):
         h = np.unique(np.random.default_rng(n).integers(0, 2 ** 63, size=n, dtype=np.uint64))
