@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, lean, mix64, partitions_of, small_batches
+from episcope.llm.common import cut, keep, lean, mix64, partitions_of, small_batches
 from episcope.llm.components import connected_components
 from episcope.operators.joins import bounded_broadcast
 
@@ -71,7 +71,8 @@ class _WordHash(dict):
         return h
 
 
-_WORDS = _WordHash()
+WORDS = "words"
+_WORDS = keep(WORDS, _WordHash())
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -195,7 +196,7 @@ def _within_bound(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     for side in ("a", "b"):
         of = sk.withColumnsRenamed({c: f"_{c}{side}" for c in sk.columns})
         pairs = pairs.join(of, (F.col(side) == F.col(f"_key{side}")) & (F.col("band") == F.col(f"_band{side}")))
-    near = pairs.select("a", "b", "band", "_na", "_bitsa", "_nb", "_bitsb").mapInArrow(lean(_near(percent)), "a long, b long")
+    near = pairs.select("a", "b", "band", "_na", "_bitsa", "_nb", "_bitsb").mapInArrow(lean(_near(percent), keeps=WORDS), "a long, b long")
     return cut(near.distinct(), "pairs", tidy=True)
 
 
@@ -230,7 +231,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     wanted = cut(centres.unionByName(members), "wanted")
     rows = docs.join(few, docs["key"] == few["_id"], "left_semi").join(wanted, F.col("key") == F.col("id")).select("a", "part", "b", "text") \
         .repartition(partitions_of(docs.sparkSession), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return cut(rows.mapInArrow(lean(_verify(size, percent)), "a long, b long").distinct(), "links", tidy=True)
+    return cut(rows.mapInArrow(lean(_verify(size, percent), keeps=WORDS), "a long, b long").distinct(), "links", tidy=True)
 
 
 def _cross_pairs(percent: int):
@@ -278,7 +279,7 @@ def _rare_groups(large: DataFrame, docs: DataFrame, size: int, percent: int) ->
 
     of = cut(large.select(F.col("id").alias("_id"), "band", "component").distinct(), "large")
     few = bounded_broadcast(cut(of.select("_id").distinct(), "large-ids"))
-    have = docs.join(few, docs["key"] == few["_id"], "left_semi").mapInArrow(lean(shingles), "id long, n long, h long")
+    have = docs.join(few, docs["key"] == few["_id"], "left_semi").mapInArrow(lean(shingles, keeps=WORDS), "id long, n long, h long")
     have = cut(have, "shingles", tidy=True)
     # a shingle of one document only comes before all others and needs no group
     common = cut(have.groupBy(F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "common", tidy=True)
@@ -298,7 +299,7 @@ def _rare_groups(large: DataFrame, docs: DataFrame, size: int, percent: int) ->
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """(key, n_shingles, component_id): one row per row of ``docs``."""
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows = cut(src.mapInArrow(lean(_describe(size, percent)), "key long, n long, h1 long, h2 long, buckets array<long>, sketches array<struct<band:int,bits:binary>>"), "sketches")
+    rows = cut(src.mapInArrow(lean(_describe(size, percent), keeps=WORDS), "key long, n long, h1 long, h2 long, buckets array<long>, sketches array<struct<band:int,bits:binary>>"), "sketches")
     of_set = ["n", "h1", "h2"]
     classes = rows.filter("n > 0").groupBy(*of_set).agg(F.min("key").alias("rep"))
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, encoder, small_batches
+from episcope.llm.common import ENCODERS, cut, encoder, lean, small_batches
 
 PIECES = ("key long, start long, length long, ids binary, doc_tokens long, window_id long, "
           "offset long, open boolean, task int")
@@ -137,7 +137,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
     """One row per piece: key, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
     sequence_id, offset.  The pieces of a sequence lie gaplessly from offset 0."""
     src = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    pieces = cut(src.mapInArrow(_pack_task(tokenizer, end_id, window, open_windows, min_piece), PIECES), "pieces")
+    pack = lean(_pack_task(tokenizer, end_id, window, open_windows, min_piece), keeps=ENCODERS)
+    pieces = cut(src.mapInArrow(pack, PIECES), "pieces")
     is_open = pieces.filter("open")
     fills = is_open.groupBy("window_id").agg(F.sum("length").alias("fill"),
                                              F.floor(F.first("task") / merge_parts).alias("grp"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from episcope.llm.common import small_batches
+from episcope.llm.common import cut, lean, small_batches
 
 # The base patterns, in the order in which equal starts are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -87,7 +87,7 @@ def train(docs: DataFrame, text: str = "text", backoff: float = 20.0) -> np.ndar
     """Log-likelihood ratio of each transition, learned from all documents; None without a
     training secret.  The driver receives at most 2 * 69 * 69 sums.  A transition's share is
     smoothed by ``backoff`` rows of the model's overall character shares."""
-    rows = docs.select(text).mapInArrow(_count, "label int, pair int, n long") \
+    rows = docs.select(text).mapInArrow(lean(_count), "label int, pair int, n long") \
         .groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros((2, STATES, STATES))
     for r in rows:
@@ -134,11 +134,14 @@ def scan(docs: DataFrame, text: str = "text", model: np.ndarray | None = None, m
             spans_t = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, spans_t)], names=[*cols, "spans"])
 
-    return docs.select(*cols).mapInArrow(run, out_type)
+    return docs.select(*cols).mapInArrow(lean(run), out_type)
 
 
 def mask(docs: DataFrame, text: str = "text", spans: str = "spans", mark: str = "[SECRET]") -> DataFrame:
-    """Replace each span of ``text`` by ``mark`` (overlapping spans by one) and drop ``spans``."""
+    """Replace each span of ``text`` by ``mark`` (overlapping spans by one) and drop ``spans``.  ``docs`` is written
+    first: in one plan with the scan, each task would scan twice and hold two Python workers at once."""
+    docs = cut(docs, "scanned")
+
     @F.pandas_udf("string")
     def masked(t, s):
         import pandas as pd

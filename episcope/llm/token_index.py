@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from episcope.llm.common import cut, encoder, forget_encoders, lean, mix64, open_fs, partitions_of, small_batches, write_whole
+from episcope.llm.common import ENCODERS, cut, encoder, lean, mix64, open_fs, partitions_of, small_batches, write_whole
 from episcope.operators.joins import bounded_broadcast
 from episcope.operators.ordering import range_bucket
 
@@ -65,7 +65,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, wide: bool, key: str =
     tied = src.join(bounded_broadcast(again), F.col("key").eqNullSafe(F.col("_key")), "left") \
         .select("key", "text", F.when(F.col("_n").isNotNull(), F.col("text")).alias("tie"),
                 range_bucket(src, "key", partitions_of(docs.sparkSession)).cast("int").alias("shard"))
-    return tied.mapInArrow(lean(encode), "key long, ids binary, tie string, shard int")
+    return tied.mapInArrow(lean(encode, keeps=ENCODERS), "key long, ids binary, tie string, shard int")
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str = "doc_id",
@@ -80,7 +80,6 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
     width = 4 if wide else 2
 
     def write(batches):
-        forget_encoders()                        # the worker's caches are of no use from here on
         shard, keys, nulls, counts = TaskContext.get().partitionId(), [], [], []
 
         def body():
