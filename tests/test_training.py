@@ -125,3 +125,23 @@ def test_folds_fit_side_by_side(spark, monkeypatch):
     train = data.where("not is_test")
     model = ML.calibrate(spec, train, cols, lambda: plain(spec, cols).fit(train))
     assert model.slope < 0
+
+
+def test_model_comparison_cross_validates_on_all_training_rows(spark, monkeypatch):
+    from episcope.plans import registry as R
+    df, cols = _fixture(spark, n=7000)
+    data = ML.prepare_training_frame(df, "outbreak", ("disease", "region", "date"))
+    spec = ML.ModelSpec("lr", "lr", {"C": 1.0, "maxIter": 10}, scaled=True)
+    rows, written = [], ML.cv_table
+
+    def folds(*args, **kw):
+        table = written(*args, **kw)
+        rows.append(table.count())
+        return table
+    monkeypatch.setattr(R, "_training_data", lambda _spark, _sf: (data, cols))
+    monkeypatch.setattr(ML, "TRAINER_MODELS", [spec])
+    monkeypatch.setattr(ML, "cv_table", folds)
+    out = R.q_e12(spark, "all-training-rows").collect()
+    train = data.where("not is_test")
+    assert rows == [train.count()] and rows[0] > 5000
+    assert out[0]["cv_auc_mean"] == pytest.approx(ML.cross_validate(spec, train, cols, rows=None, refit=False)[1][0])
