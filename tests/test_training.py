@@ -145,3 +145,86 @@ def test_model_comparison_cross_validates_on_all_training_rows(spark, monkeypatc
     train = data.where("not is_test")
     assert rows == [train.count()] and rows[0] > 5000
     assert out[0]["cv_auc_mean"] == pytest.approx(ML.cross_validate(spec, train, cols, rows=None, refit=False)[1][0])
+
+
+def test_train_all_cross_validates_on_all_training_rows(spark, monkeypatch):
+    df, cols = _fixture(spark, n=7000)
+    data = ML.prepare_training_frame(df, "outbreak", ("disease", "region", "date"))
+    rows, written = [], ML.cv_table
+
+    def folds(*args, **kw):
+        table = written(*args, **kw)
+        rows.append(table.count())
+        return table
+    monkeypatch.setattr(ML, "cv_table", folds)
+    ML.train_all(spark, data, cols, [ML.ModelSpec("lr", "lr", {"C": 1.0, "maxIter": 5}, scaled=True)], cv_folds=2)
+    assert rows == [data.where("not is_test").count()] and rows[0] > 5000
+
+
+def test_cuts_of_trees_come_from_all_rows(spark):
+    # the label changes at one of the 32 steps of equal weight: only cuts of all rows meet it
+    df = ML.cut_lineage(spark.range(12_000).select(F.col("id").cast("double").alias("f0"), (F.pmod("id", F.lit(7))).cast("double").alias("f1"),
+                                                   (F.col("id") >= 6000).cast("double").alias("label")))
+    model = ML.build_pipeline(ML.ModelSpec("gbt", "gbt", {"maxIter": 1, "maxDepth": 1}), ["f0", "f1"]).fit(df)
+    assert ML.score(model, df, keys=()).where("actual <> predicted").count() == 0
+
+
+def _plain_cuts(x, w, bins=32):
+    values, at = np.unique(x, return_inverse=True)
+    weight = np.bincount(at, w)
+    if len(values) <= bins:
+        return ((values[:-1] + values[1:]) / 2).tolist()
+    step, out, here = w.sum() / bins, [], weight[0]
+    target = step
+    for i in range(1, len(values)):
+        before, here = here, here + weight[i]
+        if abs(before - target) < abs(here - target):
+            out.append((values[i - 1] + values[i]) / 2)
+            target += step
+    return out
+
+
+@pytest.fixture(scope="module")
+def odd_columns(spark):
+    rng = np.random.default_rng(5)
+    n = 3000
+    x = {"even": rng.normal(size=n), "few": rng.integers(0, 5, n).astype(float), "hot zero": np.where(rng.random(n) < 0.6, 0.0, rng.gamma(2, size=n)),
+         "rounded": np.round(rng.exponential(3, n)), "one": np.full(n, 7.0)}
+    x["label"] = (x["even"] + 0.3 * x["few"] - 0.5 * x["hot zero"] + rng.normal(scale=0.7, size=n) > 0.4).astype(float)
+    x["weight"] = np.where(x["label"] == 1, 1.75, 0.625)
+    rows = [(i, *map(float, r)) for i, r in enumerate(zip(*x.values()))]
+    return ML.cut_lineage(spark.createDataFrame(rows, "id long, " + ", ".join(f"`{c}` double" for c in x))), x, list(x)[:5]
+
+
+def test_candidate_cuts_follow_the_rule(spark, odd_columns):
+    from episcope.plans import cuts as C
+    df, x, cols = odd_columns
+    for weight in (None, "weight"):
+        w = x["weight"] if weight else np.ones(len(x["label"]))
+        assert C.candidate_cuts(df, cols, 32, weight) == [_plain_cuts(x[c], w) for c in cols]
+    odd = spark.createDataFrame([(1.0, None), (float("nan"), 2.0), (3.0, 3.0), (None, 4.0), (float("inf"), 4.0)], "a double, b double")
+    assert C.candidate_cuts(odd, ["a", "b"]) == [[2.0], [2.5, 3.5]]
+    assert C.candidate_cuts(odd.limit(0), ["a", "b"]) == [[], []]
+
+
+def test_binned_learners_equal_the_unsampled_ones(odd_columns, monkeypatch, tmp_path):
+    from episcope.plans import cuts as C
+    df, _x, cols = odd_columns
+    for spec in (ML.ModelSpec("rf", "rf", {"numTrees": 4, "maxDepth": 4}, balanced=True), ML.ModelSpec("gbt", "gbt", {"maxIter": 3, "maxDepth": 3}),
+                 ML.ModelSpec("selected", "rf", {"numTrees": 3, "maxDepth": 4}, select_k=3)):
+        found = []
+        for limit in (C.SAMPLED_FROM, 0):
+            with monkeypatch.context() as m:
+                m.setattr(C, "SAMPLED_FROM", limit)
+                model = ML.build_pipeline(spec, cols).fit(df)
+            ML.save_pipeline(model, f"{tmp_path}/{spec.name}-{limit}")
+            rows = ML.score(ML.load_pipeline(f"{tmp_path}/{spec.name}-{limit}"), df, keys=("id",)).orderBy("id").collect()
+            found.append((model.stages[-1].featureImportances.toArray().tolist(), [r["probability"] for r in rows]))
+        assert found[0][0] == pytest.approx(found[1][0]) and found[0][1] == pytest.approx(found[1][1])
+
+
+def test_missing_values_are_a_bin_of_their_own(spark):
+    rows = [(float(i % 500) if i % 7 else None, float("nan") if i % 5 == 0 else float(i % 50), float(i % 7 == 0)) for i in range(11_000)]
+    df = ML.cut_lineage(spark.createDataFrame(rows, "a double, b double, label double"))
+    model = ML.build_pipeline(ML.ModelSpec("rf", "rf", {"numTrees": 5, "maxDepth": 4}), ["a", "b"]).fit(df)
+    assert ML.score(model, df, keys=()).where("actual <> predicted").count() == 0
